@@ -1,0 +1,342 @@
+"""The rules that decide the answers, each on a tiny table and in both ANSI modes."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import rows, trips, values, zones
+from tripstats.functions import labels, timestamps
+from tripstats.functions.columns import location_key
+from tripstats.model import COMPAT, GREEN, TYPED, YELLOW
+from tripstats.operators import aggregate, enrich, predicates, rank
+from tripstats.operators.cleanse import all_text, cleanse
+from tripstats.plans import jobs
+
+DAY = ("2023-01-01 00:00:00", "2023-01-31 23:59:59")
+
+
+def doubles(spark, *numbers):
+    return spark.createDataFrame([(n,) for n in numbers], "x double")
+
+
+def texts(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "x string")
+
+
+# ---- comparisons ------------------------------------------------------------
+
+FARES = [6.0, 9.3, 50.0, 99.0, 500.0, 5.0, 100.0, 250.0, 1000.0, None]
+
+
+def test_above_as_text(any_ansi):
+    kept = values(predicates.above(doubles(any_ansi, *FARES), "x", "50", COMPAT), "x")
+    assert sorted(kept) == [6.0, 9.3, 50.0, 99.0, 500.0]
+
+
+def test_above_as_number(any_ansi):
+    kept = values(predicates.above(doubles(any_ansi, *FARES), "x", "50"), "x")
+    assert sorted(kept) == [99.0, 100.0, 250.0, 500.0, 1000.0]
+
+
+def test_below(any_ansi):
+    df = doubles(any_ansi, 0.99, -1.0, 1.0e-4, 1.0, 12.0, None)
+    assert sorted(values(predicates.below(df, "x", "1", COMPAT), "x")) == [-1.0, 0.99]
+    assert sorted(values(predicates.below(df, "x", "1"), "x")) == [-1.0, 1.0e-4, 0.99]
+
+
+@pytest.mark.parametrize("mode", [TYPED, COMPAT])
+def test_fee_above_zero(any_ansi, mode):
+    df = doubles(any_ansi, 1.25, 0.0, -0.0, -1.25, 1.75, None)
+    assert sorted(values(predicates.above(df, "x", "0.0", mode), "x")) == [1.25, 1.75]
+
+
+def test_single_passenger(any_ansi):
+    df = texts(any_ansi, "1.0", "1", "1.00", "2.0", "", None)
+    by_text = df.filter(predicates.is_value(df, "x", "1.0", COMPAT))
+    by_number = df.filter(predicates.is_value(df, "x", "1.0"))
+    assert values(by_text, "x") == ["1.0"]
+    assert sorted(values(by_number, "x")) == ["1", "1.0", "1.00"]
+
+
+MEASURES = [-0.5, -1.0, 0.0, 2.5, 1.0e-4, 1.0e7, 3.0e9, 9999999.5, None]
+
+
+def test_non_negative_as_text(any_ansi):
+    kept = values(predicates.non_negative(doubles(any_ansi, *MEASURES), ["x"], COMPAT), "x")
+    assert sorted(kept) == [-0.5, 0.0, 2.5, 9999999.5]
+
+
+def test_non_negative_as_number(any_ansi):
+    kept = values(predicates.non_negative(doubles(any_ansi, *MEASURES), ["x"]), "x")
+    assert sorted(kept) == [0.0, 1.0e-4, 2.5, 9999999.5, 1.0e7, 3.0e9]
+
+
+def test_non_negative_of_odd_text(any_ansi):
+    df = texts(any_ansi, "3000000000.0", "2147483647.9", " 7 ", "abc", "", "1e3", "+4.", "-0.9")
+    kept = values(predicates.non_negative(df, ["x"], COMPAT), "x")
+    assert sorted(kept) == sorted(["2147483647.9", " 7 ", "+4.", "-0.9"])
+
+
+def test_unknown_mode_is_refused(spark):
+    with pytest.raises(ValueError):
+        predicates.above(doubles(spark, 1.0), "x", "0", "loose")
+
+
+# ---- times ------------------------------------------------------------------
+
+
+def test_unreadable_times_drop(any_ansi):
+    df = texts(any_ansi, "2024-01-01 00:09:58", "2024-01-01 00:09:58.778549", "soon", "", None)
+    assert values(predicates.parsable(df, ["x"]), "x") == ["2024-01-01 00:09:58"]
+
+
+def test_typed_times_keep_fractions(any_ansi):
+    df = trips(any_ansi, {"pickup_ts": "2024-01-01 00:09:58.778549"}, {"dropoff_ts": None})
+    assert predicates.parsable(df).count() == 1
+    assert cleanse(df).count() == 1
+    assert cleanse(df, mode=COMPAT).count() == 0
+
+
+EDGES = ["2023-01-01 00:00:00", "2023-01-01 00:00:01", "2023-01-31 23:59:58", "2023-01-31 23:59:59"]
+
+
+@pytest.mark.parametrize(
+    "closed, kept", [("neither", EDGES[1:3]), ("left", EDGES[:3]), ("right", EDGES[1:]), ("both", EDGES)]
+)
+@pytest.mark.parametrize("as_text", [False, True])
+def test_time_range_ends(any_ansi, closed, kept, as_text):
+    df = trips(any_ansi, *[{"pickup_ts": t} for t in EDGES])
+    if as_text:
+        df = all_text(df)
+    inside = predicates.time_range(df, "pickup_ts", *DAY, closed=closed)
+    assert sorted(map(str, values(inside, "pickup_ts"))) == kept
+
+
+def test_time_range_open_sides(spark):
+    df = trips(spark, *[{"pickup_ts": t} for t in EDGES])
+    assert predicates.time_range(df, "pickup_ts", None, EDGES[1]).count() == 1
+    assert predicates.time_range(df, "pickup_ts", EDGES[1], None).count() == 3
+    with pytest.raises(ValueError):
+        predicates.time_range(df, "pickup_ts", None, None, closed="half")
+
+
+def test_durations_as_text(any_ansi):
+    df = trips(
+        any_ansi,
+        {"pickup_ts": "2023-01-02 10:00:00", "dropoff_ts": "2023-01-03 10:08:26"},
+        {"pickup_ts": "2023-01-02 10:02:10", "dropoff_ts": "2023-01-02 10:00:00"},
+    )
+    for mode in (TYPED, COMPAT):
+        result = jobs.durations(df, mode=mode, with_seconds=True)
+        assert sorted(values(result, "duration")) == [
+            "INTERVAL '-0 00:02:10' DAY TO SECOND",
+            "INTERVAL '1 00:08:26' DAY TO SECOND",
+        ]
+        assert sorted(values(result, "duration_seconds")) == [-130, 86906]
+
+
+def test_seconds_and_back(any_ansi):
+    df = texts(any_ansi, "2023-01-02 10:00:00", "later")
+    seconds = timestamps.unix_seconds(df, "x")
+    back = F.timestamp_seconds(seconds).cast("string")
+    assert rows(df.select(seconds, back)) == [(1672653600, "2023-01-02 10:00:00"), (None, None)]
+
+
+def test_day_and_month(any_ansi):
+    df = all_text(trips(any_ansi, {"pickup_ts": "2023-05-06 23:59:59"}))
+    picked = df.select(timestamps.day(df, "pickup_ts"), timestamps.month(df, "pickup_ts"))
+    assert rows(picked) == [(date(2023, 5, 6), "2023-05")]
+
+
+# ---- cleansing --------------------------------------------------------------
+
+
+def test_two_cleansing_variants(any_ansi):
+    df = trips(any_ansi, {"fare_amount": -3.0}, {"trip_distance": -1.5}, {}, {"fare_amount": None})
+    assert cleanse(df).count() == 1
+    assert cleanse(df, non_negative=False).count() == 4
+    assert cleanse(df, mode=COMPAT).count() == 1
+
+
+def test_cleanse_keeps_types_unless_compat(spark):
+    df = trips(spark, {})
+    assert cleanse(df).schema == df.schema
+    assert {f.dataType.simpleString() for f in cleanse(df, mode=COMPAT).schema} == {"string"}
+
+
+def test_fleet_is_named_not_guessed(any_ansi):
+    df = trips(any_ansi, {}, {"taxi_type": "green_taxi"}, {"taxi_type": "other"})
+    assert predicates.of_fleet(df, GREEN.tag).count() == 1
+    assert cleanse(df.limit(0)).count() == 0
+
+
+# ---- joins and counts -------------------------------------------------------
+
+
+def test_unmatched_trips_stay(any_ansi):
+    df = trips(any_ansi, {}, {"PULocationID": 99}, {"PULocationID": None})
+    zone_table = zones(any_ansi, (1, "Queens"))
+    assert sorted(values(enrich.with_zone(df, zone_table, "pickup"), "Pickup_Borough"), key=str) == [
+        None, None, "Queens"
+    ]
+    counts = enrich.count_per_borough(df, zone_table, "pickup")
+    assert sorted(rows(counts), key=str) == [
+        ("yellow_taxi", "Queens", 1),
+        ("yellow_taxi", None, 2),
+    ]
+
+
+def test_enriched_columns(spark):
+    df = trips(spark, {})
+    result = enrich.with_zones(df, zones(spark, (1, "Queens", "Astoria"), (2, "Bronx", "Norwood")))
+    assert result.columns == [
+        *df.columns,
+        "Pickup_Borough", "Pickup_Zone", "Pickup_service_zone",
+        "Dropoff_Borough", "Dropoff_Zone", "Dropoff_service_zone",
+    ]
+    assert rows(result.select("Pickup_Zone", "Dropoff_Zone")) == [("Astoria", "Norwood")]
+
+
+def test_join_key_of_text(any_ansi):
+    df = texts(any_ansi, "132", "132.0", " 132", "x", "", None)
+    assert values(df.select(location_key(df, "x").alias("k")), "k") == [132, 132, 132, None, None, None]
+
+
+def test_one_sided_and_null_boroughs_drop_from_the_combined_list(any_ansi):
+    df = trips(
+        any_ansi,
+        {"PULocationID": 1, "DOLocationID": 1},
+        {"PULocationID": 1, "DOLocationID": 2},
+        {"PULocationID": 9, "DOLocationID": 9},
+    )
+    zone_table = zones(any_ansi, (1, "Queens"), (2, "Bronx"))
+    result = jobs.top_boroughs_combined(df, zone_table, fleet=YELLOW)
+    assert result.columns == ["Borough", "YPickup_Count", "YDropoff_Count", "Count_Sum"]
+    assert rows(result) == [("Queens", 2, 1, 3)]
+    assert rows(jobs.top_boroughs_combined(df, zone_table)) == [("yellow_taxi", "Queens", 2, 1, 3)]
+
+
+# ---- ranking ----------------------------------------------------------------
+
+
+def test_ties_break_by_key(any_ansi):
+    df = any_ansi.createDataFrame(
+        [("a", "x", 5), ("a", "y", 5), ("a", None, 5), ("b", "x", 1)], "g string, k string, n int"
+    )
+    assert rows(rank.top_k(df, 2, "n", ["g", "k"])) == [("a", None, 5), ("a", "x", 5)]
+    best = rank.top_k_per_group(df, 2, ["g"], "n", ["k"])
+    assert sorted(rows(best), key=str) == [("a", "x", 5), ("a", None, 5), ("b", "x", 1)]
+
+
+def test_listed_labels_keep_other_names(any_ansi):
+    names = ["Manhattan", "Queens", "Unknown", "Brooklyn", "Bronx", "Staten Island", "EWR", None]
+    df = any_ansi.createDataFrame([(n, "green_taxi") for n in names], "b string, t string")
+    listed = labels.listed_with_fleet_suffix(F.col("b"), F.col("t"))
+    assert values(df.select(listed.alias("l")), "l") == [
+        "Manhattan_Green", "Queens_Green", "Unknown_Green", "Brooklyn_Green", "Bronx_Green",
+        "Staten Island", "EWR", None,
+    ]
+    every = labels.with_fleet_suffix(F.col("b"), F.col("t"))
+    assert values(df.select(every.alias("l")), "l")[5:] == ["Staten Island_Green", "EWR_Green", None]
+
+
+def test_month_labels_keep_other_months(any_ansi):
+    df = texts(any_ansi, "2023-01", "2023-07", "2023-08", "2008-12", None)
+    label = labels.month_with_fleet(F.col("x"), F.lit("yellow_taxi"))
+    assert values(df.select(label.alias("l")), "l") == [
+        "January (Yellow)", "July (Yellow)", "2023-08", "2008-12", None
+    ]
+
+
+def test_busiest_month_can_leave_out_stray_years(any_ansi):
+    df = trips(
+        any_ansi,
+        *[{"pickup_ts": "2008-12-31 22:00:00"}] * 3,
+        *[{"pickup_ts": "2023-05-01 08:00:00"}] * 2,
+        {"pickup_ts": "2023-06-01 08:00:00", "taxi_type": "green_taxi"},
+    )
+    assert rows(jobs.busiest_month(df)) == [("2008-12", 3), ("June (Green)", 1)]
+    year = ("2023-01-01 00:00:00", "2024-01-01 00:00:00")
+    assert rows(jobs.busiest_month(df, year)) == [("May (Yellow)", 2), ("June (Green)", 1)]
+
+
+# ---- means and shares -------------------------------------------------------
+
+
+def test_fare_per_mile_denominators(any_ansi):
+    df = trips(
+        any_ansi,
+        {"pickup_ts": "2023-03-05 10:00:00", "fare_amount": 12.0, "trip_distance": 2.0},
+        {"pickup_ts": "2023-03-05 11:00:00", "fare_amount": 9.0, "trip_distance": 0.0},
+    )
+    for mode in (TYPED, COMPAT):
+        result = jobs.fare_per_mile(df, mode=mode)
+        assert result.columns == ["fare_per_mile", "len(fare_per_mile)", "avg_fpm"]
+        assert rows(result) == [(6.0, 2, 3.0)]
+        assert rows(jobs.fare_per_mile(df, denominator="valid", mode=mode)) == [(6.0, 1, 6.0)]
+
+
+def test_daily_mean_divides_by_the_given_days(any_ansi):
+    df = trips(
+        any_ansi,
+        *[{"pickup_ts": "2023-07-03 10:00:00", "airport_fee": 1.75}] * 40,
+        *[{"pickup_ts": "2023-07-04 10:00:00", "airport_fee": 1.25}] * 22,
+        {"pickup_ts": "2023-07-04 10:00:00", "airport_fee": None},
+        {"pickup_ts": "2023-07-01 00:00:00", "airport_fee": 1.25},
+    )
+    for mode in (TYPED, COMPAT):
+        result = jobs.daily_with_mean(df, mode=mode)
+        assert result.columns == ["tpep_pickup_datetime", "count", "total", "mean"]
+        assert rows(result) == [(date(2023, 7, 3), 40, 2.0, 2.0), (date(2023, 7, 4), 22, 2.0, 2.0)]
+
+
+def test_mean_rounds_half_up(any_ansi):
+    daily = any_ansi.createDataFrame([(date(2023, 7, 1), 5)], "day date, count bigint")
+    assert rows(jobs.with_daily_mean(daily, 2)) == [(date(2023, 7, 1), 5, 2.5, 3.0)]
+
+
+def test_share_keeps_null_in_the_denominator(any_ansi):
+    df = trips(any_ansi, {}, {"passenger_count": None}, {"passenger_count": 2.0}, {})
+    for mode in (TYPED, COMPAT):
+        result = jobs.share(df, fleet=YELLOW, mode=mode)
+        assert result.columns == ["yellow_total", "yellow_single_total", "percentage"]
+        assert rows(result) == [(4, 2, 50.0)]
+
+
+def test_share_of_no_trips_is_null(any_ansi):
+    assert rows(jobs.share(trips(any_ansi, {}), fleet=GREEN)) == [(0, 0, None)]
+    assert rows(jobs.share(trips(any_ansi, {}).limit(0))) == []
+
+
+def test_complement(any_ansi):
+    result = jobs.share_with_complement(jobs.share(trips(any_ansi, {}, {"passenger_count": 3.0})))
+    assert rows(result.select("percentage", "other_percentage")) == [(50.0, 50.0)]
+
+
+def test_attached_values_are_on_every_row(any_ansi):
+    df = any_ansi.range(5)
+    result = aggregate.attach(df, df.agg(F.sum("id").alias("s"), F.max("id").alias("m")), total="s", top="m")
+    assert sorted(rows(result)) == [(i, 10, 4) for i in range(5)]
+
+
+def test_filtered_by_day(any_ansi):
+    df = trips(
+        any_ansi,
+        {"fare_amount": 99.0, "trip_distance": 0.5},
+        {"fare_amount": 7.0, "trip_distance": 0.5},
+        {"fare_amount": 250.0, "trip_distance": 0.5},
+        {"fare_amount": 99.0, "trip_distance": 0.5, "pickup_ts": "2023-01-01 00:00:00"},
+    )
+    by_number = jobs.filtered_by_day(df, fleet=YELLOW)
+    assert by_number.columns == ["tpep_pickup_datetime", "count"]
+    assert rows(by_number) == [(date(2023, 1, 2), 2)]
+    assert rows(jobs.filtered_by_day(df, fleet=YELLOW, mode=COMPAT)) == [(date(2023, 1, 2), 2)]
+    assert jobs.filtered_by_day(df, fleet=GREEN).columns == ["lpep_pickup_datetime", "count"]
+
+
+def test_wall_clock_timestamps_are_the_same(spark):
+    df = trips(spark, {"pickup_ts": datetime(2023, 1, 5, 8, 0, 0)})
+    plain = df.withColumn("pickup_ts", F.col("pickup_ts").cast("timestamp_ntz"))
+    for table in (df, plain):
+        assert predicates.time_range(table, "pickup_ts", *DAY, closed="neither").count() == 1

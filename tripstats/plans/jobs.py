@@ -96,9 +96,22 @@ def top_boroughs_combined(
     """
     trips = _clean(trips, fleet, mode)
     by = ["taxi_type"] if fleet is None else []
+    return combined_top_boroughs(
+        enrich.count_per_role_and_borough(trips, zones, by), k, fleet
+    )
+
+
+def combined_top_boroughs(
+    per_role: DataFrame, k: int = TOP_BOROUGHS, fleet: Fleet | None = None
+) -> DataFrame:
+    """The list of ``top_boroughs_combined`` from counts per role and borough.
+
+    Both counts of a borough come from one grouping of the table, not from
+    joining it with itself.
+    """
+    by = ["taxi_type"] if fleet is None else []
     initial = fleet.short if fleet else ""
     pickups, dropoffs = f"{initial}Pickup_Count", f"{initial}Dropoff_Count"
-    per_role = enrich.count_per_role_and_borough(trips, zones, by)
     both = (
         per_role.groupBy(*by, "Borough")
         .agg(
@@ -263,6 +276,15 @@ def busiest_month(
     if period is not None:
         trips = predicates.time_range(trips, "pickup_ts", *period)
     counts = aggregate.count_by(trips, "taxi_type", month(trips, "pickup_ts").alias("month"))
+    return labelled_busiest_month(counts, year, months)
+
+
+def labelled_busiest_month(
+    counts: DataFrame,
+    year: int = labels.LABELLED_YEAR,
+    months: Iterable[int] = labels.LABELLED_MONTHS,
+) -> DataFrame:
+    """The list of ``busiest_month`` from counts per fleet and month."""
     best = rank.top_k_per_group(counts, 1, ["taxi_type"], "count", ["month"])
     label = labels.month_with_fleet(F.col("month"), F.col("taxi_type"), year, months)
     return best.orderBy(F.desc("taxi_type")).select(label.alias("month"), "count")

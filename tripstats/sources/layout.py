@@ -29,6 +29,11 @@ def write_trip_table(trips: DataFrame, path: str) -> None:
     )
 
 
+def months_of(period: tuple[str, str]) -> tuple[str, str]:
+    """First and last month of a period, for pruning: ``('2023-07', '2023-07')``."""
+    return period[0][:7], period[1][:7]
+
+
 def read_trip_table(
     spark: SparkSession,
     path: str,

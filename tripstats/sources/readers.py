@@ -74,6 +74,13 @@ def normalise(df: DataFrame, fleet: Fleet) -> DataFrame:
     return df
 
 
+def with_fleet_names(df: DataFrame, fleet: Fleet) -> DataFrame:
+    """Common timestamp names back to those of the fleet."""
+    return df.withColumnsRenamed(
+        {"pickup_ts": fleet.pickup_column, "dropoff_ts": fleet.dropoff_column}
+    )
+
+
 def unite_fleets(yellow: DataFrame, green: DataFrame) -> DataFrame:
     """Both fleets as one table; a column only one fleet has is NULL for the other."""
     return normalise(yellow, YELLOW).unionByName(

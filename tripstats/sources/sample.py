@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.model import GREEN, TIMESTAMPS, TS_FORMAT, YELLOW, Fleet
+from tripstats.sources.readers import with_fleet_names
 
 # ---- fixed values -----------------------------------------------------------
 # Ids from here on have no zone, so that unmatched trips occur.
@@ -90,9 +91,7 @@ def fleet_feed(spark: SparkSession, sf_dir: str, fleet: Fleet) -> DataFrame:
     measures first.
     """
     own = trips(spark, sf_dir).filter(F.col("taxi_type") == fleet.tag)
-    own = own.withColumnsRenamed(
-        {"pickup_ts": fleet.pickup_column, "dropoff_ts": fleet.dropoff_column}
-    )
+    own = with_fleet_names(own, fleet)
     if fleet == YELLOW:
         return own
     measures = ["trip_distance", "fare_amount", "passenger_count"]
