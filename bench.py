@@ -22,7 +22,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from tripstats import registry  # noqa: E402
 from tripstats.model import COMPAT, FLEETS, YELLOW  # noqa: E402
 from tripstats.operators import aggregate, enrich, predicates, rank  # noqa: E402
-from tripstats.operators.cleanse import cleanse  # noqa: E402
+from tripstats.operators.cleanse import all_text, cleanse  # noqa: E402
 from tripstats.registry.analyses import JULY, TEXT_BOUNDS  # noqa: E402
 from tripstats.sources import sample  # noqa: E402
 
@@ -64,7 +64,7 @@ def median_seconds(action) -> float:
 
 def _text_trips(spark: SparkSession, sf_dir: str, tag: str) -> DataFrame:
     trips = sample.trips(spark, sf_dir, pickup=True, dropoff=True)
-    return cleanse(predicates.of_fleet(trips, tag), mode=COMPAT)
+    return cleanse(all_text(predicates.of_fleet(trips, tag)), mode=COMPAT)
 
 
 def plain_borough_counts(spark: SparkSession, sf_dir: str) -> None:

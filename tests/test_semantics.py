@@ -67,6 +67,39 @@ def test_non_negative_as_text(any_ansi):
     assert sorted(kept) == [-0.5, 0.0, 2.5, 9999999.5]
 
 
+def test_non_negative_by_value_equals_by_text(any_ansi):
+    """For doubles the compat rule is decided by value; it must equal the text rule."""
+    edges = [0.0, -0.0, 1.0, -1.0, 0.001, -0.001, 9.999e-4, -9.999e-4, 9999999.999999, 1.0e7]
+    edges += [-0.9999999999, 2147483647.5, 2147483648.0, float("nan"), float("inf"), -1.0e-9, None]
+    wide = [s * m * 10.0**e for s in (1, -1) for m in (1.0, 1.7, 9.99) for e in range(-6, 11)]
+    df = doubles(any_ansi, *edges, *wide)
+    by_value = predicates.non_negative(df, ["x"], COMPAT).select(F.col("x").cast("string"))
+    by_text = predicates.non_negative(all_text(df), ["x"], COMPAT)
+    assert sorted(values(by_value, "x")) == sorted(values(by_text, "x"))
+
+
+def test_compat_drops_fractions_of_a_second_by_value_and_by_text(any_ansi):
+    df = trips(
+        any_ansi,
+        *[{"pickup_ts": f"2024-01-01 00:09:58{f}"} for f in ("", ".5", ".000001", ".999999")],
+        {"pickup_ts": "1969-12-31 23:59:58"},
+        {"pickup_ts": "1969-12-31 23:59:58.5"},
+    )
+    plain = df.withColumn("pickup_ts", F.col("pickup_ts").cast("timestamp_ntz"))
+    for table in (df, plain, all_text(df), all_text(plain)):
+        kept = predicates.parsable(table, mode=COMPAT)
+        assert sorted(str(v) for v in values(kept, "pickup_ts")) == [
+            "1969-12-31 23:59:58", "2024-01-01 00:09:58"
+        ]
+
+
+def test_compat_results_are_text(any_ansi):
+    df = trips(any_ansi, {"fare_amount": 10.0})
+    enriched = jobs.enrich_trips(df, zones(any_ansi, (1, "Queens")), mode=COMPAT)
+    assert {f.dataType.simpleString() for f in enriched.schema} == {"string"}
+    assert rows(jobs.durations(df, mode=COMPAT)) == [("10.0", "INTERVAL '0 00:20:00' DAY TO SECOND")]
+
+
 def test_non_negative_as_number(any_ansi):
     kept = values(predicates.non_negative(doubles(any_ansi, *MEASURES), ["x"]), "x")
     assert sorted(kept) == [0.0, 1.0e-4, 2.5, 9999999.5, 1.0e7, 3.0e9]

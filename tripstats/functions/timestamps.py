@@ -20,6 +20,11 @@ def parsed(df: DataFrame, name: str, fmt: str = TS_FORMAT) -> Column:
     return F.col(name)
 
 
+def whole_second(name: str) -> Column:
+    """Whether a timestamp has no fraction of a second."""
+    return F.unix_micros(F.col(name).cast("timestamp")) % 1_000_000 == 0
+
+
 def unix_seconds(df: DataFrame, name: str, fmt: str = TS_FORMAT) -> Column:
     """Seconds since the epoch; read in the session time zone, NULL if unreadable."""
     return F.unix_timestamp(parsed(df, name, fmt))

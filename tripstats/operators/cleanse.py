@@ -22,15 +22,16 @@ def cleanse(
     measures: Iterable[str] = MEASURES,
     non_negative: bool = True,
     mode: str = TYPED,
+    keep_types: bool = False,
 ) -> DataFrame:
     """Drop rows with unreadable times and, on request, with negative measures.
 
-    Typed mode leaves the columns in their types. Compat mode casts them all to
-    text first and then applies the text rules.
+    Compat mode applies the rules to the values as text and returns every column
+    as text. ``keep_types`` leaves the columns as they are, for a job that goes
+    on filtering: predicates on typed columns reach the scan, on text they do not.
     """
-    if check_mode(mode) == COMPAT:
-        df = all_text(df)
-    df = predicates.parsable(df, timestamps)
+    check_mode(mode)
+    df = predicates.parsable(df, timestamps, mode=mode)
     if non_negative:
         df = predicates.non_negative(df, measures, mode)
-    return df
+    return all_text(df) if mode == COMPAT and not keep_types else df

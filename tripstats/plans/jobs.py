@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstats.functions import labels
-from tripstats.functions.columns import numeric
+from tripstats.functions.columns import numeric, text
 from tripstats.functions.timestamps import day, elapsed, interval_seconds, interval_text, month
-from tripstats.model import TYPED, Fleet
+from tripstats.model import COMPAT, TYPED, Fleet
 from tripstats.operators import aggregate, enrich, predicates, rank
-from tripstats.operators.cleanse import cleanse
+from tripstats.operators.cleanse import all_text, cleanse
 
 # ---- fixed values -----------------------------------------------------------
 WEEK_ONE = ("2023-01-01 00:00:00", "2023-01-07 23:59:59")
@@ -39,14 +39,15 @@ BAND = 0.2
 def _clean(trips: DataFrame, fleet: Fleet | None, mode: str, non_negative: bool = True):
     if fleet is not None:
         trips = predicates.of_fleet(trips, fleet.tag)
-    return cleanse(trips, non_negative=non_negative, mode=mode)
+    return cleanse(trips, non_negative=non_negative, mode=mode, keep_types=True)
 
 
 def enrich_trips(
     trips: DataFrame, zones: DataFrame, fleet: Fleet | None = None, mode: str = TYPED
 ) -> DataFrame:
     """Trips with the zone of both ends; negative measures stay."""
-    return enrich.with_zones(_clean(trips, fleet, mode, non_negative=False), zones)
+    zoned = enrich.with_zones(_clean(trips, fleet, mode, non_negative=False), zones)
+    return all_text(zoned) if mode == COMPAT else zoned
 
 
 def borough_counts(
@@ -222,7 +223,8 @@ def durations(
         _clean(trips, fleet, mode, non_negative=False), "pickup_ts", *period, closed=closed
     )
     interval = elapsed(trips, "pickup_ts", "dropoff_ts")
-    columns = [F.col("fare_amount"), interval_text(interval).alias("duration")]
+    fare = F.col("fare_amount") if mode == TYPED else text("fare_amount")
+    columns = [fare.alias("fare_amount"), interval_text(interval).alias("duration")]
     if with_seconds:
         columns.append(interval_seconds(interval).alias("duration_seconds"))
     return trips.select(*columns)
