@@ -183,6 +183,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--start", help="first time of the period, yyyy-MM-dd HH:mm:ss")
     parser.add_argument("--end", help="end of the period")
     parser.add_argument("--days", type=int, default=jobs.DAYS_IN_JULY)
+    parser.add_argument("--preview", action="store_true", help="print schema and first rows")
     parser.add_argument("-k", type=int, default=jobs.TOP_BOROUGHS)
     return parser.parse_args(argv)
 
@@ -197,6 +198,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     for name, table, small in JOBS[args.job](inputs):
         written.append(sinks.stamped(args.out.rstrip("/"), name))
         sinks.write_csv(table, written[-1], single_file=small)
+        if args.preview:
+            table.printSchema()
+            result = spark.read.csv(written[-1], header=True, schema=table.schema)
+            result.show(truncate=False)
     return written
 
 

@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripstats.functions.timestamps import day
+
 
 def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Rows per key as ``count``."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
 
+def count_by_month(df: DataFrame, timestamp: str, *keys: str) -> DataFrame:
+    """Rows per key and month (``yyyy-MM``) as ``count``.
+
+    Rows are counted per day first, so only one row per day is formatted as text.
+    """
+    daily = count_by(df, *keys, day(df, timestamp).alias("_day"))
+    return daily.groupBy(*keys, F.date_format("_day", "yyyy-MM").alias("month")).agg(
+        F.sum("count").alias("count")
+    )
+
+
 def fixed_divisor_mean(total: Column, divisor: int) -> Column:
     """A sum over a divisor the caller names, such as the days of a month."""
     return total.cast("double") / F.lit(float(divisor))

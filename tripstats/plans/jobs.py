@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripstats.functions import labels
 from tripstats.functions.columns import numeric, text
-from tripstats.functions.timestamps import day, elapsed, interval_seconds, interval_text, month
+from tripstats.functions.timestamps import day, elapsed, interval_seconds, interval_text
 from tripstats.model import COMPAT, TYPED, Fleet
 from tripstats.operators import aggregate, enrich, predicates, rank
 from tripstats.operators.cleanse import all_text, cleanse
@@ -277,7 +277,7 @@ def busiest_month(
     trips = _clean(trips, None, mode)
     if period is not None:
         trips = predicates.time_range(trips, "pickup_ts", *period)
-    counts = aggregate.count_by(trips, "taxi_type", month(trips, "pickup_ts").alias("month"))
+    counts = aggregate.count_by_month(trips, "pickup_ts", "taxi_type")
     return labelled_busiest_month(counts, year, months)
 
 

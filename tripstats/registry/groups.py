@@ -55,9 +55,7 @@ def count_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = sample.trips(spark, sf_dir)
-    month = timestamps.month(trips, "pickup_ts").alias("month")
-    return aggregate.count_by(trips, "taxi_type", month)
+    return aggregate.count_by_month(sample.trips(spark, sf_dir), "pickup_ts", "taxi_type")
 
 
 def global_count(spark: SparkSession, sf_dir: str) -> DataFrame:
