@@ -15,7 +15,7 @@ YELLOW_CSV = """taxi_type,tpep_pickup_datetime,tpep_dropoff_datetime,PULocationI
 yellow_taxi,2023-07-02 10:00:00,2023-07-02 10:10:00,1,2,2.0,10.0,1.0,1.25,0.5
 yellow_taxi,2023-07-03 10:00:00,2023-07-03 11:10:00,1,1,0.0,7.0,2.0,0.0,
 yellow_taxi,not a time,2023-07-03 11:10:00,1,1,0.5,7.0,2.0,0.0,
-yellow_taxi,2023-07-03 12:00:00,2023-07-03 12:10:00,3,2,1.0,-7.0,,1.75,
+yellow_taxi,2023-07-03 12:00:00,2023-07-03 12:10:00,3,2.0,1.0,-7.0,,1.75,
 """
 # The columns of the next month swap places and one is spelled otherwise.
 DRIFTED_CSV = """tpep_pickup_datetime,taxi_type,tpep_dropoff_datetime,DOLocationID,PULocationID,fare_amount,trip_distance,passenger_count,Airport_fee
@@ -45,9 +45,12 @@ def files(tmp_path):
 
 
 def test_header_drift_is_realigned(any_ansi, files):
-    df = readers.read_trip_csv(any_ansi, [files["yellow"], files["drifted"]])
+    df = readers.normalise(
+        readers.read_trip_csv(any_ansi, [files["yellow"], files["drifted"]]), YELLOW
+    )
     assert df.count() == 5
-    late = df.filter(F.col("tpep_pickup_datetime") == F.lit("2023-07-04 09:00:00").cast("timestamp"))
+    assert rows(df.filter("fare_amount = -7.0").select("DOLocationID")) == [(2,)]
+    late = df.filter(F.col("pickup_ts") == F.lit("2023-07-04 09:00:00").cast("timestamp"))
     assert rows(
         late.select("PULocationID", "DOLocationID", "trip_distance", "fare_amount", "airport_fee", "tip")
     ) == [(1, 2, 4.0, 20.0, 1.75, None)]

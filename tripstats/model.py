@@ -46,15 +46,16 @@ FLEETS = (YELLOW, GREEN)
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Columns of a trip file that the operators use; any other column passes
-# through as text.
+# through as text. Location ids come as `132` or as `132.0`, so they are read as
+# text and become integers when the trips are normalised.
 TRIP_TYPES: dict[str, T.DataType] = {
     "taxi_type": T.StringType(),
     "tpep_pickup_datetime": T.TimestampType(),
     "tpep_dropoff_datetime": T.TimestampType(),
     "lpep_pickup_datetime": T.TimestampType(),
     "lpep_dropoff_datetime": T.TimestampType(),
-    "PULocationID": T.IntegerType(),
-    "DOLocationID": T.IntegerType(),
+    "PULocationID": T.StringType(),
+    "DOLocationID": T.StringType(),
     "trip_distance": T.DoubleType(),
     "fare_amount": T.DoubleType(),
     "passenger_count": T.DoubleType(),
@@ -70,6 +71,7 @@ ZONE_SCHEMA = T.StructType(
     ]
 )
 
+LOCATION_IDS = ("PULocationID", "DOLocationID")
 TIMESTAMPS = ("pickup_ts", "dropoff_ts")
 MEASURES = ("trip_distance", "fare_amount")
 # -----------------------------------------------------------------------------

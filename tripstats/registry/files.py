@@ -15,9 +15,9 @@ from tripstats.sources.workspace import new_path
 MONTH = "1996-07"
 
 
-def _written(df: DataFrame, name: str, single_file: bool = False) -> str:
+def _written(df: DataFrame, name: str, **how) -> str:
     path = new_path(df.sparkSession, name)
-    sinks.write_csv(df, path, single_file)
+    sinks.write_csv(df, path, **how)
     return path
 
 
@@ -26,12 +26,11 @@ def _wall_clock(df: DataFrame, *names: str) -> DataFrame:
 
 
 def csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = sample.trips(spark, sf_dir)
-    paths = [
-        _written(trips.filter(F.col("taxi_type") == fleet.tag), f"infer-{fleet.name}")
-        for fleet in FLEETS
-    ]
-    return _wall_clock(readers.read_csv_inferred(spark, paths), "pickup_ts", "dropoff_ts")
+    """One folder per fleet, written in one pass and read as a list of paths."""
+    trips = sample.trips(spark, sf_dir).withColumn("fleet", F.col("taxi_type"))
+    path = _written(trips, "infer", by=["fleet"])
+    inferred = readers.read_csv_inferred(spark, [f"{path}/fleet={f.tag}" for f in FLEETS])
+    return _wall_clock(inferred, "pickup_ts", "dropoff_ts")
 
 
 def csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripstats.model import GREEN, TRIP_TYPES, YELLOW, ZONE_SCHEMA, Fleet
+from tripstats.functions.columns import location_key
+from tripstats.model import GREEN, LOCATION_IDS, TRIP_TYPES, YELLOW, ZONE_SCHEMA, Fleet
 
 _KNOWN = {name.lower(): name for name in TRIP_TYPES}
 
@@ -65,10 +66,12 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def normalise(df: DataFrame, fleet: Fleet) -> DataFrame:
-    """Fleet-specific timestamp names to common ones; the fleet becomes a column."""
+    """Common timestamp names, integer location ids, and the fleet as a column."""
     df = df.withColumnsRenamed(
         {fleet.pickup_column: "pickup_ts", fleet.dropoff_column: "dropoff_ts"}
     )
+    ids = [name for name in LOCATION_IDS if name in df.columns]
+    df = df.withColumns({name: location_key(df, name) for name in ids})
     if "taxi_type" not in df.columns:
         df = df.withColumn("taxi_type", F.lit(fleet.tag))
     return df

@@ -64,25 +64,29 @@ def _trip_columns(ids: list[Column]) -> list[Column]:
     ]
 
 
-def _items_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _items_with(orders: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    return items.join(orders, items["l_orderkey"] == orders["o_orderkey"])
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def trips(
     spark: SparkSession, sf_dir: str, pickup: bool = False, dropoff: bool = False
 ) -> DataFrame:
-    """The trip view, with the location id of the ends that are asked for."""
-    joined = _items_with_orders(spark, sf_dir)
+    """The trip view, with the location id of the ends that are asked for.
+
+    Customers join the orders, not the far more numerous items.
+    """
     ids = []
+    orders = table(spark, sf_dir, "orders")
+    if dropoff:
+        customer = table(spark, sf_dir, "customer")
+        orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    joined = _items_with(orders, spark, sf_dir)
     if pickup:
         supplier = table(spark, sf_dir, "supplier")
         joined = joined.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
         ids.append(F.col("s_nationkey").alias("PULocationID"))
     if dropoff:
-        customer = table(spark, sf_dir, "customer")
-        joined = joined.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         ids.append(F.col("c_nationkey").alias("DOLocationID"))
     return joined.select(*_trip_columns(ids))
 
@@ -93,7 +97,8 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     Times are text. Items already delivered have an unreadable dropoff time,
     returned ones a negative fare.
     """
-    raw = _items_with_orders(spark, sf_dir).select(*_trip_columns([]), "l_returnflag")
+    items = _items_with(table(spark, sf_dir, "orders"), spark, sf_dir)
+    raw = items.select(*_trip_columns([]), "l_returnflag")
     as_text = {name: F.date_format(name, TS_FORMAT) for name in TIMESTAMPS}
     return raw.withColumns(
         {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -12,13 +13,17 @@ def stamped(base: str, name: str, at: datetime | None = None) -> str:
     return f"{base}/{name}_{(at or datetime.now()).strftime('%d-%m-%Y_%H-%M-%S')}"
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(
+    df: DataFrame, path: str, single_file: bool = False, by: Sequence[str] = ()
+) -> None:
     """Write a CSV folder with headers, replacing what is there.
 
+    ``by`` names columns that become one subfolder per value.
+
     ``single_file`` runs the last stage as one task. It is for results that are
     small by nature (per borough, per day, per month); row-level results stay
     spread over the tasks that made them.
     """
     if single_file:
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).partitionBy(*by).csv(path)
