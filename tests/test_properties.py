@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import rows, zones
+from tripstats.model import COMPAT, YELLOW
 from tripstats.operators import aggregate, enrich, rank
+from tripstats.operators.cleanse import all_text
 from tripstats.plans import jobs
 
 N = 20_000
@@ -110,3 +112,40 @@ def test_share_and_complement_make_a_hundred(spark):
     for row in shares.collect():
         assert row["percentage"] + row["other_percentage"] == pytest.approx(100.0)
         assert 0 < row["single_total"] < row["total"]
+
+
+YEAR = ("2023-01-01 00:00:00", "2023-12-31 23:59:59")
+COMPAT_JOBS = {
+    "enrich": lambda t, z: jobs.enrich_trips(t, z, mode=COMPAT),
+    "borough counts": lambda t, z: jobs.borough_counts(t, z, mode=COMPAT),
+    "filtered": lambda t, z: jobs.filtered_by_day(t, YEAR, mode=COMPAT),
+    "top combined": lambda t, z: jobs.top_boroughs_combined(t, z, mode=COMPAT),
+    "daily": lambda t, z: jobs.daily_with_mean(t, YEAR, fleet=YELLOW, mode=COMPAT),
+    "fare per mile": lambda t, z: jobs.fare_per_mile(t, YEAR, mode=COMPAT).withColumn(
+        "avg_fpm", F.round("avg_fpm", 6)
+    ),
+    "share": lambda t, z: jobs.share(t, mode=COMPAT),
+    "durations": lambda t, z: jobs.durations(t, YEAR, mode=COMPAT),
+    "top merged": lambda t, z: jobs.top_boroughs_merged(t, z, listed=None, mode=COMPAT),
+    "busiest month": lambda t, z: jobs.busiest_month(t, mode=COMPAT),
+}
+
+
+@pytest.mark.parametrize("name", COMPAT_JOBS)
+def test_compat_on_typed_columns_equals_text_columns(spark, tmp_path_factory, name):
+    """Deciding the text rules by value gives what comparing real text gives."""
+    path = str(tmp_path_factory.getbasetemp() / "compat-trips")
+    random_trips(spark, 11).withColumn(
+        "trip_distance", F.when(F.rand(12) < 0.01, 1.0e-4).otherwise(F.col("trip_distance"))
+    ).withColumn(
+        "pickup_ts",
+        F.when(F.rand(13) < 0.05, F.col("pickup_ts") + F.expr("INTERVAL '0.25' SECOND")).otherwise(
+            F.col("pickup_ts")
+        ),
+    ).write.mode("ignore").parquet(path)
+    trips, zone_table = spark.read.parquet(path), zones(spark, *ZONES)
+    typed = COMPAT_JOBS[name](trips, zone_table)
+    textual = COMPAT_JOBS[name](all_text(trips), zone_table)
+    assert typed.columns == textual.columns
+    assert Counter(rows(typed)) == Counter(rows(textual))
+    assert typed.count() > 0

@@ -306,7 +306,8 @@ SQL = {
     ),
     "fn_regexp_label": ctes.zoned(
         f"""SELECT CASE WHEN Pickup_Borough IN {LISTED}
-              THEN Pickup_Borough || CASE taxi_type WHEN 'yellow_taxi' THEN '_Yellow' ELSE '_Green' END
+              THEN Pickup_Borough
+                   || CASE taxi_type WHEN 'yellow_taxi' THEN '_Yellow' ELSE '_Green' END
               ELSE Pickup_Borough END AS Pickup_Borough, count
         FROM ({_PER_PICKUP})"""
     ),
