@@ -62,8 +62,9 @@ def median_seconds(action) -> float:
 # ---- the plain way ----------------------------------------------------------
 
 
-def _text_trips(spark: SparkSession, sf_dir: str, tag: str) -> DataFrame:
-    trips = sample.trips(spark, sf_dir, pickup=True, dropoff=True)
+def _text_trips(spark: SparkSession, sf_dir: str, tag: str, ids: bool = True) -> DataFrame:
+    """Trips of one fleet as text; without location ids where no zone is asked for."""
+    trips = sample.trips(spark, sf_dir, pickup=ids, dropoff=ids)
     return cleanse(all_text(predicates.of_fleet(trips, tag)), mode=COMPAT)
 
 
@@ -104,7 +105,7 @@ def plain_filtered_by_day(spark: SparkSession, sf_dir: str) -> None:
 
 def plain_fare_per_mile(spark: SparkSession, sf_dir: str) -> None:
     trips = predicates.time_range(
-        _text_trips(spark, sf_dir, YELLOW.tag), "pickup_ts", *JULY, closed="neither"
+        _text_trips(spark, sf_dir, YELLOW.tag, ids=False), "pickup_ts", *JULY, closed="neither"
     )
     distance = F.col("trip_distance").try_cast("double")
     rows = trips.select(
@@ -119,7 +120,7 @@ def plain_fare_per_mile(spark: SparkSession, sf_dir: str) -> None:
 
 def plain_share(spark: SparkSession, sf_dir: str) -> None:
     for fleet in FLEETS:
-        trips = _text_trips(spark, sf_dir, fleet.tag)
+        trips = _text_trips(spark, sf_dir, fleet.tag, ids=False)
         trips.count()
         trips.filter(F.col("passenger_count") == "1.0").count()
 
