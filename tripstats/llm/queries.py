@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstats.llm import exact, packing, repeats
+from tripstats.llm import exact, jaccard, language, packing, quality, repeats
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,23 @@ def op4_salted_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_documents(spark, sf_dir))
 
 
+def op5_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its rule statistics and verdict."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.judge(_documents(spark, sf_dir), labels)
+
+
+def op6_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    found = language.identify(_documents(spark, sf_dir))
+    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+def op7_bayesian_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near duplicates and its number of links."""
+    return jaccard.near_duplicates(_documents(spark, sf_dir))
+
+
 def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences of 1024."""
     packed = packing.pack(_documents(spark, sf_dir))
@@ -34,6 +51,9 @@ def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_fixed_block_anchors": op2_fixed_block_anchors,
     "op4_salted_exact_dedup": op4_salted_exact_dedup,
+    "op5_isolation_forest": op5_isolation_forest,
+    "op6_viterbi_language": op6_viterbi_language,
+    "op7_bayesian_jaccard": op7_bayesian_jaccard,
     "op8_bounded_best_fit": op8_bounded_best_fit,
 }
 
@@ -70,4 +90,29 @@ SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
         FROM r
     """,
+    "op7_bayesian_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents),
+        p AS (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, least(len(ws), 1)))) AS i
+              FROM w),
+        g AS MATERIALIZED (SELECT DISTINCT doc_id, hash(array_to_string(ws[i:i + 4], ' ')) AS gram FROM p),
+        s AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+              FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS MATERIALIZED (
+            SELECT x, y FROM c JOIN s sx ON x = sx.doc_id JOIN s sy ON y = sy.doc_id
+            WHERE common * 10 >= 8 * (sx.n + sy.n - common)),
+        reach AS (SELECT doc_id AS x, doc_id AS y FROM w
+                  UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+        class AS (SELECT x AS doc_id, min(y) AS class_id FROM reach GROUP BY x),
+        copies AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY sig) AS representative
+                   FROM (SELECT doc_id, list(gram ORDER BY gram) AS sig FROM g GROUP BY doc_id)),
+        degree AS (SELECT x AS doc_id, count(*) AS n FROM link GROUP BY x)
+        SELECT w.doc_id, class_id, CAST(coalesce(degree.n, 0) AS BIGINT) AS n_links,
+               CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles,
+               coalesce(representative, w.doc_id) AS representative
+        FROM w JOIN class USING (doc_id) LEFT JOIN s USING (doc_id)
+        LEFT JOIN copies USING (doc_id) LEFT JOIN degree USING (doc_id)
+    """,
 }
