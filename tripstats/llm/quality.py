@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstats.llm.arrays import mix, text_bytes, text_slices, windows, words
+from tripstats.llm.arrays import text_bytes, text_slices, windows, words
 from tripstats.llm.groups import written
 
 WINDOW = 8
@@ -29,10 +29,7 @@ _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-FEATURES = [
-    "log_words", "chars_per_word", "symbols_per_word", "dup_lines_per_word", "repeat_share",
-    "upper_share", "digit_share", "mark_share", "distinct_share", "line_words",
-]
+FEATURES = ["chars_per_word", "symbols_per_word", "mark_share", "upper_share"]
 SCHEMA = pa.schema(
     [("doc_id", pa.int64())]
     + [(x, pa.int64()) for x in COUNTS]
@@ -46,10 +43,10 @@ def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _duplicate_lines(text: str) -> tuple[int, int]:
-    """(lines with a word that equal an earlier line, lines with a word)."""
+def _duplicate_lines(text: str) -> int:
+    """Lines with a word that equal an earlier line."""
     lines = [x for x in text.split("\n") if _HAS_WORD.search(x)]
-    return len(lines) - len(set(lines)), len(lines)
+    return len(lines) - len(set(lines))
 
 
 def _repeated_words(found, n_texts: int) -> np.ndarray:
@@ -67,14 +64,6 @@ def _repeated_words(found, n_texts: int) -> np.ndarray:
     return np.bincount(found.doc[covered], minlength=n_texts)
 
 
-def _distinct_words(found, n_texts: int) -> np.ndarray:
-    order = np.lexsort((found.hash, found.doc))
-    doc, value = found.doc[order], found.hash[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    return np.bincount(doc[new], minlength=n_texts)
-
-
 def statistics(docs: DataFrame) -> DataFrame:
     """The rule statistics of every document: doc_id, COUNTS and FEATURES as an array."""
 
@@ -89,25 +78,22 @@ def statistics(docs: DataFrame) -> DataFrame:
             chars = np.zeros(n, np.int64)
             np.add.at(chars, found.doc, total[found.end] - total[found.start])
             symbols = _per_text(_SYMBOLS[data], offsets)
-            lines = np.array([_duplicate_lines(x) for x in texts.to_pylist()]).reshape(n, 2)
+            lines = [_duplicate_lines(x) for x in texts.to_pylist()]
             repeated = _repeated_words(found, n)
             per_word, per_char = np.maximum(n_words, 1), np.maximum(chars, 1)
+            letter = (data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122)
+            letter |= (data >= 48) & (data <= 57)  # or a digit
+            marks = chars - _per_text(letter & lead, offsets)
             upper = _per_text((data >= 65) & (data <= 90), offsets)
-            digit = _per_text((data >= 48) & (data <= 57), offsets)
-            letters = (data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122)
-            marks = chars - _per_text(letters & lead, offsets) - digit
-            features = np.stack(
+            features = [chars / per_word, symbols / per_word, marks / per_char, upper / per_char]
+            rows = list(np.stack(features, axis=1))
+            columns = [n_words, chars, symbols, lines, repeated]
+            yield pa.RecordBatch.from_arrays(
                 [
-                    np.log1p(n_words), chars / per_word, symbols / per_word,
-                    lines[:, 0] / per_word, repeated / per_word, upper / per_char,
-                    digit / per_char, marks / per_char,
-                    _distinct_words(found, n) / np.sqrt(per_word), np.log1p(n_words / np.maximum(lines[:, 1], 1)),
+                    part["doc_id"],
+                    *(pa.array(x, pa.int64()) for x in columns),
+                    pa.array(rows, SCHEMA.field("features").type),
                 ],
-                axis=1,
-            )
-            columns = [n_words, chars, symbols, lines[:, 0], repeated]
-            yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], *(pa.array(x, pa.int64()) for x in columns), pa.array(list(features), SCHEMA.field("features").type)],
                 schema=SCHEMA,
             )
 

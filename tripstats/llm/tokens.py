@@ -3,16 +3,26 @@
 from __future__ import annotations
 
 import os
-import re
 from functools import cache
 
 import numpy as np
 
-#: Entries remembered by one Python worker.
-MEMORY = 400_000
+#: Words remembered by one Python worker, about 200 bytes each.
+MEMORY = 1_000_000
 
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Words encoded in one call, parted by a mark that is a token of its own.
+TOGETHER = 200
+MARK = " |"
+START = "\0"
+
+# White space other than blank and line end, as one string (fixed values).
+_OTHER_SPACE = (
+    "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_IRREGULAR = ("  ", " \n", "\n ", "\n\n", START, *_OTHER_SPACE)
+#: Words up to this length stay in a full memory; longer ones rarely come back.
+SHORT = 9
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,9 +38,12 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
     Both public vocabularies split a text into words before anything else, and no word
-    spans a change from a character to a following blank. So a text is cut there, each
-    distinct piece is encoded once by the library, and a text is the join of its pieces.
-    A text with other white space than blanks and line ends is encoded whole.
+    spans a change from another character to a blank or line end. So a text is cut there,
+    each distinct word is encoded once by the library, and a text is the join of its
+    words. A text with irregular white space is encoded whole.
+
+    Words are remembered by a key: as they are after a line end, which they then begin with;
+    with START in front at the start of a text; and else without the blank before them.
     """
 
     def __init__(self, name: str):
@@ -39,35 +52,60 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.known: dict[str, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode new pieces; a closing mark after a letter or digit is a word of its own."""
-        ended = {x for x in pieces if len(x) > 1 and x[-1] in ".," and x[-2].isalnum()}
-        stems = {x[:-1] for x in ended} | {x[-1] for x in ended}
-        new = list((stems | (pieces - ended)).difference(self.known))
-        self.known.update(zip(new, self._library(new)))
+        return [np.array(x.ids, "<u4") for x in found]
+
+    def _learn(self, keys: set[str]) -> None:
+        """Encode new words; a closing mark after a letter or digit is a word of its own."""
+        ended = [x for x in keys if len(x) > 1 and x[-1] in ".," and x[-2].isalnum()]
+        new = keys.difference(ended).union(x[:-1] for x in ended)
+        new |= {START + x[-1] for x in ended}
+        new.difference_update(self.known)
+        alone = [x for x in new if x[:1] == START or not x.strip() or MARK[-1] in x]
+        together = list(new.difference(alone))
+        for x, ids in zip(alone, self._library([_written(x) for x in alone])):
+            self.known[x] = ids.tobytes()
+        lines = [together[i : i + TOGETHER] for i in range(0, len(together), TOGETHER)]
+        joined = ["".join(_written(x) + MARK for x in line) for line in lines]
+        for line, ids in zip(lines, self._library(joined)):
+            raw = ids.tobytes()
+            end = (np.flatnonzero(ids == self.mark) * 4).tolist()
+            if len(end) != len(line):
+                raise ValueError("a word gave the id of the mark between words")
+            for x, a, b in zip(line, [0, *(e + 4 for e in end)], end):
+                self.known[x] = raw[a:b]
         for x in ended:
-            self.known[x] = self.known[x[:-1]] + self.known[x[-1]]
+            self.known[x] = self.known[x[:-1]] + self.known[START + x[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, x in enumerate(texts) if _OTHER_SPACE.search(x)}
-        cut = [[] if i in whole else _PIECES.findall(x) for i, x in enumerate(texts)]
+        whole = [i for i, x in enumerate(texts) if not x or any(s in x for s in _IRREGULAR)]
+        cut = [(START + x).replace("\n", " \n").split(" ") for x in texts]
+        for i in whole:
+            cut[i] = []
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > MEMORY:
-            self.known = {}
-            new = set().union(*cut)
+            self.known = {k: v for k, v in self.known.items() if len(k) <= SHORT}
+            if 2 * len(self.known) > MEMORY:
+                self.known = {}
+            new = set().union(*cut).difference(self.known)
         self._learn(new)
         get = self.known.__getitem__
         out = [b"".join(map(get, x)) for x in cut]
-        for i, ids in zip(sorted(whole), self._library([texts[i] for i in sorted(whole)])):
-            out[i] = ids
+        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = ids.tobytes()
         return out
 
 
+def _written(key: str) -> str:
+    """The word of a key with the white space before it."""
+    if key[:1] == START:
+        return key[1:]
+    return key if key[:1] == "\n" else " " + key
+
+
 @cache
 def encoder(name: str) -> Encoder:
     """One encoder per worker and vocabulary, kept between tasks."""
