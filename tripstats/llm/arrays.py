@@ -138,21 +138,21 @@ def windows(found: Words, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray
     return place, mix(value[place], seed)
 
 
-def pack_keys(bucket: np.ndarray, doc: np.ndarray, doc_ids: np.ndarray, keys: np.ndarray):
-    """Yield (bucket, docs, keys) with the keys of each bucket as bytes, in document order.
+def pack_keys(bucket: np.ndarray, doc_ids: np.ndarray, keys: np.ndarray):
+    """Yield (bucket, docs, keys) with the keys of each bucket as bytes, in the given order.
 
-    docs holds the ids of the bucket's documents and the number of keys of each. Millions
-    of keys so travel in few rows, at little more than the bytes of the keys.
+    docs holds the document ids of the keys, run by run. Millions of keys so travel in few
+    rows, at little more than the bytes of the keys.
     """
-    order = np.argsort(bucket.astype(np.uint16 if bucket.size and bucket.max() < 65536 else np.int64), kind="stable")
-    bucket, doc, keys = bucket[order], doc[order], keys[order]
+    small = bucket.astype(np.uint16) if bucket.max(initial=0) < 65536 else bucket
+    order = np.argsort(small, kind="stable")
+    bucket, doc_ids, keys = bucket[order], doc_ids[order], keys[order]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
     for i, j in zip(cuts, [*cuts[1:], len(bucket)]):
-        runs = np.flatnonzero(np.r_[True, doc[i + 1 : j] != doc[i : j - 1]])
-        ids = doc_ids[doc[i:j][runs]]
+        runs = np.flatnonzero(np.r_[True, doc_ids[i + 1 : j] != doc_ids[i : j - 1]])
         counts = np.diff(np.r_[runs, j - i])
-        packed = np.r_[np.diff(ids, prepend=0), counts].astype(np.int64).tobytes()
-        yield int(bucket[i]), zlib.compress(packed, 1), keys[i:j].tobytes()
+        packed = np.r_[np.diff(doc_ids[i:j][runs], prepend=0), counts].astype(np.int64)
+        yield int(bucket[i]), zlib.compress(packed.tobytes(), 1), keys[i:j].tobytes()
 
 
 def unpack_docs(packed: bytes) -> np.ndarray:
@@ -161,24 +161,24 @@ def unpack_docs(packed: bytes) -> np.ndarray:
     return np.repeat(np.cumsum(ids), counts)
 
 
-def keys_by_document(doc: np.ndarray, keys: np.ndarray):
-    """Yield (document id, bytes of its distinct keys)."""
-    order = np.lexsort((keys, doc))
-    doc, keys = doc[order], keys[order]
-    if not len(doc):
-        return
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (keys[1:] != keys[:-1])]
-    doc, keys = doc[new], keys[new]
-    cuts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-    for i, j in zip(cuts, [*cuts[1:], len(doc)]):
-        yield int(doc[i]), keys[i:j].tobytes()
-
-
-def member(doc: np.ndarray, keys: np.ndarray, of_doc: np.ndarray, of_keys: np.ndarray) -> np.ndarray:
-    """Whether (row, key) is among (of_doc, of_keys)."""
-    if not len(of_keys):
-        return np.zeros(len(keys), bool)
-    pool = np.sort(mix(of_keys) + mix(of_doc, 1))
-    wanted = mix(keys) + mix(doc, 1)
-    at = np.searchsorted(pool, wanted)
-    return pool[np.minimum(at, len(pool) - 1)] == wanted
+def distinct_pairs(doc_ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (document id, key) pairs, sorted."""
+    order = np.lexsort((keys, doc_ids))
+    doc_ids, keys = doc_ids[order], keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (doc_ids[1:] != doc_ids[:-1]) | (keys[1:] != keys[:-1])
+    return doc_ids[new], keys[new]
+
+
+class PairSet:
+    """Membership of (document id, key) pairs, by 64 bits of both."""
+
+    def __init__(self, doc_ids: np.ndarray, keys: np.ndarray):
+        self.pool = np.sort(mix(keys) + mix(doc_ids, 1))
+
+    def has(self, doc_ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        if not len(self.pool):
+            return np.zeros(len(keys), bool)
+        wanted = mix(keys) + mix(doc_ids, 1)
+        at = np.minimum(np.searchsorted(self.pool, wanted), len(self.pool) - 1)
+        return self.pool[at] == wanted

@@ -14,14 +14,15 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstats.llm.arrays import (
     U64,
+    PairSet,
     Words,
-    keys_by_document,
-    member,
+    distinct_pairs,
     mix,
     pack_keys,
     text_slices,
@@ -37,8 +38,9 @@ PACKED = "bucket int, kind int, docs binary, keys binary"
 PACKED_ARROW = pa.schema(
     [("bucket", pa.int32()), ("kind", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary())]
 )
-FOUND = "doc_id long, keys binary"
-FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("keys", pa.binary())])
+FOUND = "part int, docs binary, keys binary"
+FOUND_ARROW = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary())])
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 RESULT = (
     "doc_id long, n_words long, n_removed long, "
     "repeats array<struct<start: long, end: long>>, kept_text string"
@@ -48,118 +50,132 @@ RESULT_ARROW = pa.schema(
         ("doc_id", pa.int64()),
         ("n_words", pa.int64()),
         ("n_removed", pa.int64()),
-        ("repeats", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+        ("repeats", SPANS),
         ("kept_text", pa.string()),
     ]
 )
 
 
-def _table(rows: list, schema: pa.Schema) -> pa.RecordBatch:
+def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays(
         [pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema
     )
 
 
-def _ids(part: pa.RecordBatch) -> np.ndarray:
-    return part["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)
+def _part(parts: int):
+    """The part of a document as a column; _part_of is the same in numpy."""
+    return F.expr(
+        f"cast(coalesce(pmod(doc_id ^ shiftright(doc_id, 17) ^ shiftright(doc_id, 31), {parts}), 0) as int)"
+    )
+
+
+def _part_of(doc_ids: np.ndarray, parts: int) -> np.ndarray:
+    return (doc_ids ^ (doc_ids >> 17) ^ (doc_ids >> 31)) % parts
+
+
+def _ids(batch) -> np.ndarray:
+    """Document ids; 0 for null, which has_id tells apart."""
+    return batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
 
 
 def _anchors_and_probes(docs: DataFrame, block: int, buckets: int) -> DataFrame:
     """32 bits of every rolling window and of every block, by bucket of further bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            found, ids = words(part["text"]), _ids(part)
+        for batch in text_slices(batches):
+            found = words(batch["text"])
             place, value = windows(found, block)
             doc = found.doc[place]
+            ids = _ids(batch)[doc]
             bucket = ((value >> U64(32)) % U64(buckets)).astype(np.int64)
             key = value.astype(np.uint32)
             fixed = (place - found.first[doc]) % block == 0
-            rows = [(b, PROBE, d, k) for b, d, k in pack_keys(bucket, doc, ids, key)]
-            rows += [
-                (b, ANCHOR, d, k)
-                for b, d, k in pack_keys(bucket[fixed], doc[fixed], ids, key[fixed])
-            ]
-            yield _table(rows, PACKED_ARROW)
+            rows = [(b, PROBE, d, k) for b, d, k in pack_keys(bucket, ids, key)]
+            anchors = pack_keys(bucket[fixed], ids[fixed], key[fixed])
+            rows += [(b, ANCHOR, d, k) for b, d, k in anchors]
+            yield _batch(rows, PACKED_ARROW)
 
-    return docs.filter(F.col("doc_id").isNotNull()).mapInArrow(run, PACKED)
+    return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, PACKED)
 
 
-def _unpacked(table: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray]:
-    chosen = [i for i, k in enumerate(table["kind"].to_pylist()) if k == kind]
-    docs, keys = table["docs"], table["keys"]
-    if not chosen:
-        return np.zeros(0, np.int64), np.zeros(0, dtype)
-    return (
-        np.concatenate([unpack_docs(docs[i].as_py()) for i in chosen]),
-        np.concatenate([np.frombuffer(keys[i].as_py(), dtype) for i in chosen]),
-    )
+def _unpacked(docs: list[bytes], keys: list[bytes], dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(document ids, keys) of packed rows."""
+    ids = [unpack_docs(x) for x in docs]
+    return np.concatenate([np.zeros(0, np.int64), *ids]), np.frombuffer(b"".join(keys), dtype)
+
 
+def _of_kind(table: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray]:
+    own = table.filter(pc.equal(table["kind"], kind))
+    return _unpacked(own["docs"].to_pylist(), own["keys"].to_pylist(), dtype)
 
-def _extremes(keys: np.ndarray, docs: np.ndarray):
-    """Each distinct key with its smallest and its largest document."""
+
+def _smallest(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each distinct key with its smallest document."""
     order = np.argsort(keys)
     keys, docs = keys[order], docs[order]
     cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[cuts], np.minimum.reduceat(docs, cuts), np.maximum.reduceat(docs, cuts)
-
-
-def _meetings(table: pa.Table) -> pa.Table:
-    """Per document, the keys of probes that meet an earlier block and of blocks met."""
-    probe_docs, probes = _unpacked(table, PROBE, np.uint32)
-    anchor_docs, anchors = _unpacked(table, ANCHOR, np.uint32)
-    if not len(anchors):
-        return FOUND_ARROW.empty_table()
-    known, least, _ = _extremes(anchors, anchor_docs)
-    at = np.minimum(np.searchsorted(known, probes), len(known) - 1)
-    met = known[at] == probes
-    hit = met & (least[at] < probe_docs)
-    last = np.full(len(known), np.iinfo(np.int64).min)
-    np.maximum.at(last, at[hit], probe_docs[hit])
-    used = anchor_docs < last[np.searchsorted(known, anchors)]
-    rows = keys_by_document(
-        np.r_[probe_docs[hit], anchor_docs[used]], np.r_[probes[hit], anchors[used]]
-    )
-    return pa.Table.from_batches([_table(list(rows), FOUND_ARROW)])
+    return keys[cuts], np.minimum.reduceat(docs, cuts)
+
+
+def _found(docs: np.ndarray, keys: np.ndarray, parts: int) -> pa.Table:
+    docs, keys = distinct_pairs(docs, keys)
+    rows = list(pack_keys(_part_of(docs, parts), docs, keys))
+    return pa.Table.from_batches([_batch(rows, FOUND_ARROW)])
+
+
+def _meetings(anchored: DataFrame, parts: int) -> DataFrame:
+    """By document, the keys of probes that meet an earlier block and of blocks met."""
+
+    def run(table: pa.Table) -> pa.Table:
+        probe_docs, probes = _of_kind(table, PROBE, np.uint32)
+        anchor_docs, anchors = _of_kind(table, ANCHOR, np.uint32)
+        if not len(anchors):
+            return FOUND_ARROW.empty_table()
+        known, least = _smallest(anchors, anchor_docs)
+        at = np.minimum(np.searchsorted(known, probes), len(known) - 1)
+        hit = (known[at] == probes) & (least[at] < probe_docs)
+        last = np.full(len(known), np.iinfo(np.int64).min)
+        np.maximum.at(last, at[hit], probe_docs[hit])
+        used = anchor_docs < last[np.searchsorted(known, anchors)]
+        docs = np.r_[probe_docs[hit], anchor_docs[used]]
+        return _found(docs, np.r_[probes[hit], anchors[used]], parts)
+
+    return anchored.groupBy("bucket").applyInArrow(run, FOUND)
 
 
-def _marked(part: pa.RecordBatch, dtype) -> tuple[np.ndarray, np.ndarray]:
-    """Row number and key of everything found for the rows of a slice."""
-    joined = [b"".join(x or ()) for x in part["found"].to_pylist()]
-    keys = np.frombuffer(b"".join(joined), dtype)
-    return np.repeat(np.arange(len(joined)), [len(x) // keys.itemsize for x in joined]), keys
+def _with_texts(docs: DataFrame, found: DataFrame, run, schema: str) -> DataFrame:
+    """Apply run to the texts of each part together with what was found for them."""
+    return docs.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(run, schema)
 
 
-def _around_meetings(docs: DataFrame, block: int, length: int, buckets: int) -> DataFrame:
+def _pairs(found: pa.Table, dtype) -> PairSet:
+    return PairSet(*_unpacked(found["docs"].to_pylist(), found["keys"].to_pylist(), dtype))
+
+
+def _around_meetings(
+    docs: DataFrame, met: DataFrame, block: int, length: int, buckets: int
+) -> DataFrame:
     """64 bits of every window of ``length`` words around a meeting, by bucket of others."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            found, ids = words(part["text"]), _ids(part)
-            place, value = windows(found, block)
-            row, keys = _marked(part, np.uint32)
-            met = np.zeros(len(found.hash) + 1, np.int64)
-            met[place] = member(found.doc[place], value.astype(np.uint32), row, keys)
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        pairs, out = _pairs(found, np.uint32), []
+        texts = texts.filter(pc.is_valid(texts["doc_id"]))
+        for batch in text_slices(texts.to_batches()):
+            own, ids = words(batch["text"]), _ids(batch)
+            place, value = windows(own, block)
+            met = np.zeros(len(own.hash) + 1, np.int64)
+            met[place] = pairs.has(ids[own.doc[place]], value.astype(np.uint32))
             before = np.r_[0, np.cumsum(met)]
-            place, value = windows(found, length)
+            place, value = windows(own, length)
             near = before[place + length - block + 1] > before[place]
             place, value = place[near], value[near]
-            bucket = (_second_hash(found, length, place) % U64(buckets)).astype(np.int64)
-            rows = [(b, PROBE, d, k) for b, d, k in pack_keys(bucket, found.doc[place], ids, value)]
-            yield _table(rows, PACKED_ARROW)
+            bucket = (_second_hash(own, length, place) % U64(buckets)).astype(np.int64)
+            packed = pack_keys(bucket, ids[own.doc[place]], value)
+            out.append(_batch([(b, PROBE, d, k) for b, d, k in packed], PACKED_ARROW))
+        return pa.Table.from_batches(out, PACKED_ARROW)
 
-    return docs.filter(F.col("found").isNotNull()).mapInArrow(run, PACKED)
-
-
-def _later(table: pa.Table) -> pa.Table:
-    """Per document, the windows that a smaller doc_id has too."""
-    docs, keys = _unpacked(table, PROBE, np.uint64)
-    if not len(keys):
-        return FOUND_ARROW.empty_table()
-    known, least, _ = _extremes(keys, docs)
-    later = least[np.searchsorted(known, keys)] < docs
-    return pa.Table.from_batches([_table(list(keys_by_document(docs[later], keys[later])), FOUND_ARROW)])
+    return _with_texts(docs, met, run, PACKED)
 
 
 def _second_hash(found: Words, length: int, place: np.ndarray) -> np.ndarray:
@@ -170,55 +186,68 @@ def _second_hash(found: Words, length: int, place: np.ndarray) -> np.ndarray:
     return mix(value, 5)
 
 
-def _cut(docs: DataFrame, length: int) -> DataFrame:
+def _later(around: DataFrame, parts: int) -> DataFrame:
+    """By document, the windows that a smaller doc_id has too."""
+
+    def run(table: pa.Table) -> pa.Table:
+        docs, keys = _of_kind(table, PROBE, np.uint64)
+        if not len(keys):
+            return FOUND_ARROW.empty_table()
+        known, least = _smallest(keys, docs)
+        later = least[np.searchsorted(known, keys)] < docs
+        return _found(docs[later], keys[later], parts)
+
+    return around.groupBy("bucket").applyInArrow(run, FOUND)
+
+
+def _cut(docs: DataFrame, later: DataFrame, length: int) -> DataFrame:
     """Words, removed words, maximal repeats and kept text of every document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
-            found = words(part["text"])
-            place, value = windows(found, length)
-            row, keys = _marked(part, np.uint64)
-            hit = place[member(found.doc[place], value, row, keys)]
-            edge = np.zeros(len(found.hash) + 1, np.int64)
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        pairs, out = _pairs(found, np.uint64), []
+        for batch in text_slices(texts.to_batches()):
+            own, ids = words(batch["text"]), _ids(batch)
+            has_id = batch["doc_id"].is_valid().to_numpy(zero_copy_only=False)
+            place, value = windows(own, length)
+            doc = own.doc[place]
+            hit = place[pairs.has(ids[doc], value) & has_id[doc]]
+            edge = np.zeros(len(own.hash) + 1, np.int64)
             np.add.at(edge, hit, 1)
             np.add.at(edge, hit + length, -1)
             gone = np.cumsum(edge)[:-1] > 0
             total = np.r_[0, np.cumsum(gone)]
-            n_removed = total[found.first[1:]] - total[found.first[:-1]]
-            out = []
-            for i, text in enumerate(part["text"].to_pylist()):
-                own = text.encode().split()
-                a, b = found.first[i], found.first[i + 1]
-                spans = []
+            n_removed = total[own.first[1:]] - total[own.first[:-1]]
+            rows = []
+            for i, text in enumerate(batch["text"].to_pylist()):
+                kept, spans = text.encode().split(), []
                 if n_removed[i]:
-                    mask = gone[a:b]
+                    mask = gone[own.first[i] : own.first[i + 1]]
                     turn = np.flatnonzero(np.diff(np.r_[False, mask, False]))
                     spans = [{"start": int(s), "end": int(e)} for s, e in turn.reshape(-1, 2)]
-                    own = compress(own, ~mask)
-                out.append((spans, b" ".join(own).decode()))
-            spans, kept = zip(*out)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part["doc_id"],
-                    pa.array(np.diff(found.first), pa.int64()),
-                    pa.array(n_removed, pa.int64()),
-                    pa.array(spans, RESULT_ARROW.field("repeats").type),
-                    pa.array(kept, pa.string()),
-                ],
-                schema=RESULT_ARROW,
-            )
-
-    return docs.mapInArrow(run, RESULT)
+                    kept = compress(kept, ~mask)
+                rows.append((spans, b" ".join(kept).decode()))
+            spans, kept = zip(*rows)
+            columns = [
+                batch["doc_id"],
+                pa.array(np.diff(own.first), pa.int64()),
+                pa.array(n_removed, pa.int64()),
+                pa.array(spans, SPANS),
+                pa.array(kept, pa.string()),
+            ]
+            out.append(pa.RecordBatch.from_arrays(columns, schema=RESULT_ARROW))
+        return pa.Table.from_batches(out, RESULT_ARROW)
+
+    return _with_texts(docs, later, run, RESULT)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, buckets: int | None = None) -> DataFrame:
     """Remove from every document each word of a passage that a smaller doc_id also has.
 
     A passage is ``length`` or more consecutive words. All documents are judged on the
-    input. Texts cross the network once, partitioned by doc_id; window keys travel packed,
-    and a document's own answer is bounded by its own length, so a passage in a third of
-    all documents adds one key to each. ``buckets`` (default: twice the shuffle
-    partitions) bounds what one task holds.
+    input. Texts cross the network once, dealt to parts by doc_id; both steps that need
+    them read that one exchange. Window keys travel packed, and a document's own answer is
+    bounded by its length, so a passage in a third of all documents adds one key to
+    each. ``buckets`` (default: twice the shuffle partitions) bounds what one task holds.
 
     A null text has no words. A row with a null doc_id is returned unchanged and is no
     reference for others. Rows that share a doc_id don't remove each other's words.
@@ -228,14 +257,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, buckets: int | None =
     """
     spark = docs.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = buckets + 1
     block = (length + 1) // 2
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-    def with_found(found: DataFrame) -> DataFrame:
-        lists = found.groupBy("doc_id").agg(F.collect_list("keys").alias("found"))
-        return docs.join(lists, "doc_id", "left")
-
-    met = _anchors_and_probes(docs, block, buckets).groupBy("bucket").applyInArrow(_meetings, FOUND)
-    windows_near = _around_meetings(with_found(met), block, length, buckets)
-    later = windows_near.groupBy("bucket").applyInArrow(_later, FOUND)
-    return _cut(with_found(later), length)
+    docs = docs.withColumn("part", _part(parts))
+    met = _meetings(_anchors_and_probes(docs, block, buckets), parts)
+    later = _later(_around_meetings(docs, met, block, length, buckets), parts)
+    return _cut(docs, later, length)
