@@ -100,14 +100,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(grow, dtype=U64), np.cumprod(shrink, dtype=U64)
 
 
-def words(texts: pa.Array) -> Words:
-    """Every word of every text, hashed by content to 64 bits."""
+def words(
+    texts: pa.Array, breaks: np.ndarray = IS_SPACE, fold: np.ndarray | None = None
+) -> Words:
+    """Every word of every text, hashed by content to 64 bits.
+
+    ``breaks`` tells for each byte whether it parts words; words that ``fold`` maps to the same
+    bytes have the same hash.
+    """
     data, offsets = text_bytes(texts)
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(none, none, none, np.zeros(len(texts) + 1, np.int64), np.zeros(0, U64))
-    inside = ~IS_SPACE[data]
+    inside = ~breaks[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
@@ -120,7 +126,8 @@ def words(texts: pa.Array) -> Words:
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
     grow, shrink = _powers(1 << max(23, int(n).bit_length()))
     sums = np.zeros(n + 1, U64)
-    np.cumsum(_byte_codes()[data] * grow[:n], dtype=U64, out=sums[1:])
+    codes = _byte_codes() if fold is None else _byte_codes()[fold]
+    np.cumsum(codes[data] * grow[:n], dtype=U64, out=sums[1:])
     return Words(start, end, doc, first, mix((sums[end] - sums[start]) * shrink[start]))
 
 

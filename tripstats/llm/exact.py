@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHITE_SPACE = r"[\x20\x09-\x0D]"
@@ -15,14 +15,11 @@ NO_ID = "9223372036854775808"
 
 def _prepared(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return (
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.char_length(text).alias("n_chars"),
-            F.regexp_replace(text, WHITE_SPACE, "").alias("content"),
-        )
-        .withColumn("digest", F.unhex(F.sha2("content", 256)))
-    )
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.char_length(text).alias("n_chars"),
+        F.regexp_replace(text, WHITE_SPACE, "").alias("content"),
+    ).withColumn("digest", F.unhex(F.sha2("content", 256)))
 
 
 def _rank():
@@ -74,27 +71,48 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     all of them are kept or none. Returns doc_id, keep_id, group_size, kept and
     text_sha256, a row for each input row; other columns of docs are not read.
     """
-    best = F.col("best")
-    scale = F.lit(SCALE).cast("decimal(21,0)")
-    chars = F.expr(f"(best + cast('{HALF}' as decimal(20,0))) div cast('{SCALE}' as decimal(21,0))")
-    kept = winners(docs, salts).select(
-        "digest",
-        "copies",
-        chars.alias("keep_chars"),
-        (chars.cast("decimal(12,0)") * scale - best).alias("keep_rank"),
-    )
-    keep_id = F.when(
-        F.col("keep_rank") != F.lit(NO_ID).cast("decimal(20,0)"), F.col("keep_rank").cast("long")
-    )
+    keep_id, kept = _decided()
     return (
         _prepared(docs)
         .select("doc_id", "digest", "n_chars")
-        .join(kept, "digest")
+        .join(_readable(winners(docs, salts)), "digest")
         .select(
             "doc_id",
             keep_id.alias("keep_id"),
             F.col("copies").alias("group_size"),
-            (F.col("doc_id").eqNullSafe(keep_id) & (F.col("n_chars") == F.col("keep_chars"))).alias("kept"),
+            kept.alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
         )
     )
+
+
+def _readable(best: DataFrame) -> DataFrame:
+    """The ranks of winners taken apart into length and id."""
+    rounded = f"(best + cast('{HALF}' as decimal(20,0))) div cast('{SCALE}' as decimal(21,0))"
+    chars = F.expr(rounded)
+    scale = F.lit(SCALE).cast("decimal(21,0)")
+    keep_rank = chars.cast("decimal(12,0)") * scale - F.col("best")
+    return best.select("digest", "copies", chars.alias("keep_chars"), keep_rank.alias("keep_rank"))
+
+
+def _decided() -> tuple[Column, Column]:
+    """(keep_id, whether the row stays)."""
+    own = F.col("keep_rank") != F.lit(NO_ID).cast("decimal(20,0)")
+    keep_id = F.when(own, F.col("keep_rank").cast("long"))
+    stays = F.col("doc_id").eqNullSafe(keep_id) & (F.col("n_chars") == F.col("keep_chars"))
+    return keep_id, stays
+
+
+def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+    """The rows of docs that exact_duplicates keeps, with all their columns."""
+    row = F.struct(*(F.col(f"`{x}`") for x in docs.columns)).alias("row")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    content = F.regexp_replace(text, WHITE_SPACE, "")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.char_length(text).alias("n_chars"),
+        F.unhex(F.sha2(content, 256)).alias("digest"),
+        row,
+    )
+    _, stays = _decided()
+    return rows.join(_readable(winners(docs, salts)), "digest").filter(stays).select("row.*")

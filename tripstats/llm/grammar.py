@@ -33,8 +33,8 @@ from tripstats.llm.tokens import encoder
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 20
-ROUNDS = 10
-RULES_PER_ROUND = 2048
+ROUNDS = 6
+RULES_PER_ROUND = 4096
 #: A pair must occur this often for a rule of its own.
 LEAST = 6
 MAGIC = b"RPG1"

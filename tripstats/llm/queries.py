@@ -2,16 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstats.llm import exact, jaccard, language, packing, quality, repeats
+from tripstats.llm import (
+    exact,
+    grammar,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    preference,
+    quality,
+    repeats,
+    sanitise,
+)
+from tripstats.sources.workspace import new_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Parameters of the mix: weights of domains and of languages in them; three quarters of all
+#: tokens; no document more than twice.
+DOMAIN_WEIGHTS = {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}
+LANG_WEIGHTS = {"en": 3, "de": 2, "fr": 2, "es": 2}
+SHARE, MAX_EPOCHS = (3, 4), 2
+MIX_WEIGHTS = [(d, None, None, w) for d, w in DOMAIN_WEIGHTS.items()] + [
+    (d, lang, None, w) for d in DOMAIN_WEIGHTS for lang, w in LANG_WEIGHTS.items()
+]
+
+
+def mix_weights(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        MIX_WEIGHTS, "domain string, lang string, source string, weight long"
+    )
+
+
+def domain() -> Column:
+    """A domain for each source: sources are dealt to four by their number."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("long")
+    return F.concat(F.lit("domain"), (number % 4).cast("string"))
+
+
+def op1_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents to train on, by epoch, for the target weights."""
+    docs = _documents(spark, sf_dir)
+    mixed = mixing.mix(docs, domain(), mix_weights(spark), SHARE, MAX_EPOCHS)
+    lang, source = (F.coalesce(x, F.lit(mixing.UNKNOWN)).alias(x) for x in ("lang", "source"))
+    return mixed.select("doc_id", "domain", lang, source, "epoch", "n_tokens", "n_take")
+
+
 def op2_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the passages of 13 words that an earlier document has."""
     found = repeats.remove_repeats(_documents(spark, sf_dir))
@@ -20,6 +62,29 @@ def op2_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("repeats", F.size("repeats").cast("long"))
 
 
+def _joined(spans: Column) -> Column:
+    """kind:start:end of every span, joined by commas."""
+    one = lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])
+    return F.array_join(F.transform(spans, one), ",")
+
+
+def op3_information_sanitiser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that reveal it."""
+    found = sanitise.sanitise(_documents(spark, sf_dir))
+    count = {
+        f"n_{kind}": F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+        for kind in (*sanitise.KINDS, sanitise.GENERALISED, sanitise.REMOVED)
+    }
+    base = F.filter("spans", lambda x: x["kind"].isin(*sanitise.KINDS))
+    return found.select(
+        "doc_id",
+        *(value.alias(name) for name, value in count.items()),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+        F.sha2("sanitised_text", 256).alias("sanitised_sha256"),
+    )
+
+
 def op4_salted_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its content."""
     return exact.exact_duplicates(_documents(spark, sf_dir))
@@ -48,16 +113,96 @@ def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to grammar-compressed files and read back."""
+    path = new_path(spark, "tokens")
+    grammar.write_tokens(_documents(spark, sf_dir), path)
+    return grammar.read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of preference pairs: shared prompts and masked completions."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return preference.format_pairs(*preference.pairs_of(conversations)).drop("text")
+
+
 QUERIES = {
+    "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_fixed_block_anchors": op2_fixed_block_anchors,
+    "op3_information_sanitiser": op3_information_sanitiser,
     "op4_salted_exact_dedup": op4_salted_exact_dedup,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_viterbi_language": op6_viterbi_language,
     "op7_bayesian_jaccard": op7_bayesian_jaccard,
     "op8_bounded_best_fit": op8_bounded_best_fit,
+    "op9_repair_tokens": op9_repair_tokens,
+    "op10_preference_format": op10_preference_format,
 }
 
+def _level_sql(depth: int) -> str:
+    """CTEs that grant the nodes of one level their tokens."""
+    keys, parents = mixing.LEVELS[: depth + 1], mixing.LEVELS[:depth]
+    key, by = keys[-1], f"PARTITION BY {', '.join(parents)}" if parents else ""
+    own, null = ", ".join(keys), " AND ".join(f"{x} IS NULL" for x in mixing.LEVELS[depth + 1 :])
+    rule = f"{key} IS NOT NULL" + (f" AND {null}" if null else "")
+    root = f"(SELECT sum(available) * {SHARE[0]} // {SHARE[1]} AS granted FROM leaves)"
+    above = f"JOIN b{depth - 1} USING ({', '.join(parents)})" if parents else f", {root}"
+    order = f"{by} ORDER BY CAST(capacity AS DOUBLE) / weight, {key}"
+    return f"""
+        n{depth} AS (SELECT {own}, sum(available) * {MAX_EPOCHS} AS capacity FROM leaves GROUP BY {own}),
+        w{depth} AS (SELECT {own}, max(weight) AS weight FROM weights WHERE {rule} GROUP BY {own}),
+        m{depth} AS (SELECT n{depth}.*, coalesce(weight, 1) AS weight, granted AS budget
+                     FROM n{depth} LEFT JOIN w{depth} USING ({own}) {above}),
+        f{depth} AS (
+            SELECT *, capacity * sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                + weight * coalesce(sum(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                <= weight * budget AS is_full
+            FROM m{depth} WHERE weight > 0),
+        g{depth} AS (
+            SELECT *, budget - sum(CASE WHEN is_full THEN capacity ELSE 0 END) OVER ({by}) AS rest,
+                sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({by}) AS open_weight,
+                sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({by} ORDER BY {key}) AS upto
+            FROM f{depth}),
+        b{depth} AS (
+            SELECT {own}, CASE WHEN is_full THEN capacity
+                ELSE upto * rest // open_weight - (upto - weight) * rest // open_weight END AS granted
+            FROM g{depth})"""
+
+
+def _quoted(value) -> str:
+    return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
+
+
+_WEIGHTS = ", ".join(f"({', '.join(map(_quoted, row[:3]))}, {row[3]})" for row in MIX_WEIGHTS)
+
+_MIX_SQL = rf"""
+    WITH weights(domain, lang, source, weight) AS (VALUES {_WEIGHTS}),
+    docs AS (
+        SELECT doc_id, coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
+            coalesce('domain' || TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4, 'unknown') AS domain,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+        FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(n_tokens) AS available FROM docs GROUP BY ALL),
+    {", ".join(_level_sql(depth) for depth in range(3))},
+    leaf AS (SELECT domain, lang, source, granted // available AS epochs, granted % available AS rest
+             FROM b2 JOIN leaves USING (domain, lang, source) WHERE available > 0),
+    placed AS (
+        SELECT *, sum(n_tokens) OVER (
+            PARTITION BY domain, lang, source
+            ORDER BY md5(concat_ws(':', '{mixing.SEED}', epochs, doc_id))) AS upto
+        FROM docs JOIN leaf USING (domain, lang, source)),
+    taken AS (
+        SELECT *, unnest(generate_series(0, CAST(epochs AS BIGINT) - 1)) AS epoch, n_tokens AS n_take FROM placed
+        UNION ALL
+        SELECT *, epochs AS epoch, least(n_tokens, rest - (upto - n_tokens)) AS n_take
+        FROM placed WHERE rest > 0 AND upto - n_tokens < rest)
+    SELECT doc_id, domain, lang, source, CAST(epoch AS INTEGER) AS epoch,
+        CAST(n_tokens AS BIGINT) AS n_tokens, CAST(n_take AS BIGINT) AS n_take
+    FROM taken
+"""
+
 SQL = {
+    "op1_hierarchical_mix": _MIX_SQL,
     "op2_fixed_block_anchors": r"""
         WITH w AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
@@ -115,4 +260,47 @@ SQL = {
         FROM w JOIN class USING (doc_id) LEFT JOIN s USING (doc_id)
         LEFT JOIN copies USING (doc_id) LEFT JOIN degree USING (doc_id)
     """,
+    "op10_preference_format": """
+        WITH t AS (
+            SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL),
+        k AS (
+            SELECT conv_id, first(role ORDER BY turn, role, text) AS open_role,
+                first(text ORDER BY turn, role, text) AS open_text,
+                coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS said,
+                max(turn) FILTER (role = 'assistant') AS last
+            FROM t GROUP BY conv_id),
+        b AS (
+            SELECT *, count(*) OVER (PARTITION BY open_role, open_text) AS n,
+                first_value(conv_id) OVER (PARTITION BY open_role, open_text ORDER BY said DESC, conv_id) AS best_id
+            FROM k),
+        good AS (
+            SELECT b.conv_id AS pair_id, turn, role, text FROM b JOIN t ON t.conv_id = best_id
+            WHERE n > 1 AND b.conv_id <> best_id
+            UNION ALL
+            SELECT conv_id, turn, role, text FROM b JOIN t USING (conv_id)
+            WHERE n = 1 AND (last IS NULL OR turn <= last)),
+        bad AS (
+            SELECT conv_id AS pair_id, turn, role, text FROM b JOIN t USING (conv_id)
+            WHERE n > 1 AND conv_id <> best_id OR n = 1 AND (last IS NULL OR turn < last)
+            UNION ALL
+            SELECT conv_id, last, 'assistant', last(text ORDER BY turn, text) FROM b JOIN t USING (conv_id)
+            WHERE n = 1 AND role = 'assistant' AND turn < last GROUP BY conv_id, last),
+        sg AS (SELECT pair_id, turn, list(row(role, text) ORDER BY role, text) AS x FROM good GROUP BY ALL),
+        sb AS (SELECT pair_id, turn, list(row(role, text) ORDER BY role, text) AS x FROM bad GROUP BY ALL),
+        cut AS (
+            SELECT pair_id, min(turn) AS splits_at FROM sg FULL JOIN sb USING (pair_id, turn)
+            WHERE sg.x IS DISTINCT FROM sb.x GROUP BY pair_id),
+        r AS (
+            SELECT pair_id, turn, role, text,
+                CASE WHEN splits_at IS NULL OR turn < splits_at THEN 'prompt' ELSE 'chosen' END AS part
+            FROM good LEFT JOIN cut USING (pair_id)
+            UNION ALL
+            SELECT pair_id, turn, role, text, 'rejected' FROM bad JOIN cut USING (pair_id) WHERE turn >= splits_at)
+        SELECT pair_id, part, turn, role, part <> 'prompt' AND role = 'assistant' AS trained,
+            concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)) AS rendered,
+            CAST(length(concat('<|im_start|>', role, chr(10))) + CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 0
+                ELSE length(concat(text, '<|im_end|>', chr(10))) END AS BIGINT) AS learn_from
+        FROM r
+    """,
 }
