@@ -247,7 +247,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, buckets: int | None =
     input. Texts cross the network once, dealt to parts by doc_id; both steps that need
     them read that one exchange. Window keys travel packed, and a document's own answer is
     bounded by its length, so a passage in a third of all documents adds one key to
-    each. ``buckets`` (default: twice the shuffle partitions) bounds what one task holds.
+    each. ``buckets`` (default: twice the shuffle partitions) bounds the keys, and half of it the
+    texts, that one task holds.
 
     A null text has no words. A row with a null doc_id is returned unchanged and is no
     reference for others. Rows that share a doc_id don't remove each other's words.
@@ -257,7 +258,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, buckets: int | None =
     """
     spark = docs.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = buckets + 1
+    parts = buckets // 2 + 1
     block = (length + 1) // 2
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("part", _part(parts))
