@@ -24,9 +24,9 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters of which one language has at least LEAST_SHARE."""
     docs = docs.select(*COLUMNS)
     model = language.fit(docs.filter(~language.held_out()))
-    labelled = language.label_spans(docs.withColumn("kept_text", F.col("text")), model)
+    labelled = language.label_spans(docs, model, keep_text=True)
     clear = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)
-    return labelled.filter(clear).withColumnRenamed("kept_text", "text").select(*COLUMNS)
+    return labelled.filter(clear).select(*COLUMNS)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,7 @@ def text_slices(
             stop = min(max(stop, start + 1), start + max_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()  # what a finished task held goes back
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

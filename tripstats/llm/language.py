@@ -43,6 +43,8 @@ SWITCH_PENALTY = 12.0
 #: Share of its letters that a language must have in a script to be a candidate there.
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
+#: Text looked at together; a code point takes some 60 bytes on the way.
+SLICE_BYTES = 1 << 20
 FOLDS = 5
 
 
@@ -111,7 +113,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES):
             langs = np.array(part["lang"].to_pylist(), object)
             for lang in dict.fromkeys(langs):
                 own = part["text"].filter(pa.array(langs == lang)).to_pylist()
@@ -213,20 +215,23 @@ def best_paths(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarr
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
 
-def label_spans(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """The columns of docs without text, and lang_pred, score and spans.
+def label_spans(
+    docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, keep_text: bool = False
+) -> DataFrame:
+    """The columns of docs, of text on request only, and lang_pred, score and spans.
 
     spans are stretches of words of one language (code points, end exclusive). lang_pred is
     the language of most letters, ties going to the first by name, and score its share of
     them. A text that is null or has no letter, and any text under a model that has
     learned nothing, has ``und``, score 0 and no spans. A language without a
-    script of its own in training is never predicted for another script's words.
+    script of its own in training is never predicted for another script's words. A null text
+    that is kept comes back empty.
     """
-    others = [x for x in docs.columns if x != "text"]
+    others = [x for x in docs.columns if x != "text" or keep_text]
     langs = model.langs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES):
             n = part.num_rows
             found = letter_words(part["text"].to_pylist())
             first = np.searchsorted(found.doc, np.arange(n + 1))

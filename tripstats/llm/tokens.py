@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 
 #: Words remembered by one Python worker, about 200 bytes each.
-MEMORY = 1_000_000
+MEMORY = 600_000
 
 #: Words encoded in one call, parted by a mark that is a token of its own.
 TOGETHER = 200
