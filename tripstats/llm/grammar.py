@@ -54,24 +54,22 @@ class Shard(NamedTuple):
 
 
 def _frequent_pairs(seq: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place, number) of the occurrences of the most frequent neighbouring pairs.
+    """(place, number) of the occurrences of at most ``most`` frequent neighbouring pairs.
 
-    Pairs are first counted by a hash of 20 bits; only pairs of full bins are sorted.
+    Pairs are counted by a hash of 20 bits. Of each of the fullest bins one pair is taken;
+    others in it wait for a later round.
     """
     code = (seq[:-1].astype(U64) << U64(24)) | seq[1:].astype(U64)
     bins = ((code * U64(0x9E3779B97F4A7C15)) >> U64(44)).astype(np.int64)
     count = np.bincount(bins, minlength=1 << 20)
-    bound = least
-    if (count >= least).sum() > 2 * most:
-        bound = max(least, int(np.partition(count, -2 * most)[-2 * most]))
-    place = np.flatnonzero((count >= bound)[bins])
-    pairs, number, n = np.unique(code[place], return_inverse=True, return_counts=True)
-    if len(pairs) > most:
-        kept = np.zeros(len(pairs), bool)
-        kept[np.argsort(-n, kind="stable")[:most]] = True
-        chosen = kept[number]
-        place, number = place[chosen], number[chosen]
-    return place, number
+    as_full = np.cumsum(np.bincount(count)[::-1])[::-1]  # bins with at least so many
+    full = count >= max(least, int(np.searchsorted(-as_full, -most)))
+    place = np.flatnonzero(full[bins])
+    number = (np.cumsum(full) - 1)[bins[place]]
+    chosen = np.zeros(int(full.sum()), U64)
+    chosen[number] = code[place]
+    same = chosen[number] == code[place]
+    return place[same], number[same]
 
 
 def compress(
@@ -100,16 +98,17 @@ def compress(
         run = np.maximum.accumulate(np.where(head, np.arange(len(place)), 0))
         taken = (np.arange(len(place)) - run) % 2 == 0
         place, number = place[taken], number[taken]
-        used = np.bincount(number)
-        often = used[number] >= least
-        place, number = place[often], number[often]
+        often = np.bincount(number) >= least
+        kept = often[number]
+        place, number = place[kept], (np.cumsum(often) - 1)[number[kept]]
         if not len(place):
             break
-        rule, at, number = np.unique(number, return_index=True, return_inverse=True)
-        left.append(seq[place[at]])
-        right.append(seq[place[at] + 1])
+        example = np.zeros(int(often.sum()), np.int64)
+        example[number] = place
+        left.append(seq[example])
+        right.append(seq[example + 1])
         seq[place] = symbol + number
-        symbol += len(rule)
+        symbol += len(example)
         stay = np.ones(len(seq), bool)
         stay[place + 1] = False
         seq = seq[stay]
@@ -160,11 +159,21 @@ def from_bytes(data: bytes) -> Shard:
 
 
 def decode(shard: Shard) -> bytes:
-    """All ids of a shard."""
-    table = [x.to_bytes(4, "little") for x in range(shard.terminals)]
+    """All ids of a shard: what each rule stands for is laid out once, then copied for every
+    symbol."""
+    rules: list[bytes] = []
+    own = lambda x: x.to_bytes(4, "little") if x < shard.terminals else rules[x - shard.terminals]
     for a, b in zip(shard.left.tolist(), shard.right.tolist()):
-        table.append(table[a] + table[b])
-    return b"".join(map(table.__getitem__, shard.symbols.tolist()))
+        rules.append(own(a) + own(b))
+    single = np.arange(shard.terminals, dtype="<u4")
+    laid_out = np.frombuffer(single.tobytes() + b"".join(rules), "<u4")
+    size = np.r_[np.ones(shard.terminals, np.int32), shard.expansion.astype(np.int32)]
+    begin = np.cumsum(size) - size
+    lengths = size[shard.symbols]
+    ends = np.cumsum(lengths)
+    place = np.repeat(begin[shard.symbols] - (ends - lengths), lengths)
+    place += np.arange(len(place))
+    return laid_out[place].tobytes()
 
 
 def decode_range(shard: Shard, start: int, n: int) -> list[int]:
