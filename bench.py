@@ -64,7 +64,7 @@ def median_seconds(action) -> float:
 
 def _text_trips(spark: SparkSession, sf_dir: str, tag: str, ids: bool = True) -> DataFrame:
     """Trips of one fleet as text; without location ids where no zone is asked for."""
-    trips = sample.trips(spark, sf_dir, pickup=ids, dropoff=ids)
+    trips = sample.metered(spark, sf_dir, pickup=ids, dropoff=ids)
     return cleanse(all_text(predicates.of_fleet(trips, tag)), mode=COMPAT)
 
 

@@ -1,10 +1,17 @@
 """Every registered query against its SQL twin."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
 from compare import SAME_TYPE, connect, duck_rows, spark_rows
 from tripstats import registry
+from tripstats.registry import analyses
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -31,6 +38,44 @@ def test_same_rows(spark, duck, name):
     assert rows == expected
 
 
+IN_ORDER = ["sort_desc", "sort_asc", "topk", "job_daily_with_mean", "job_daily_with_mean_all", "job_top_boroughs_merged"]
+
+
+@pytest.mark.parametrize("name", IN_ORDER)
+def test_same_order(spark, duck, name):
+    """The collected rows come as the ORDER BY of the oracle says; keys break all ties."""
+    df = contract.queries()[name](spark, SF_DIR)
+    result = duck.execute(contract.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    assert "ORDER BY" in contract.oracle_sql()[name]
+    assert [tuple(r) for r in df.select(*names).collect()] == result.fetchall()
+
+
+CLEANED = [x for x in sorted(registry.QUERIES) if x.startswith("job_") and x != "job_anomaly_bands"]
+
+
+@pytest.mark.parametrize("name", CLEANED)
+def test_cleansing_matters(duck, name):
+    """Every job has rows to cleanse: its oracle gives other rows without."""
+    sql = registry.SQL[name]
+    raw = sql
+    for clean in (analyses._CLEAN, analyses._CLEAN_COMPAT, "pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL"):
+        raw = raw.replace(clean, "true")
+    assert raw != sql
+    assert duck_rows(duck, raw)[1] != duck_rows(duck, sql)[1]
+
+
+def test_corpus_operators_may_be_missing(tmp_path):
+    """Without corpus_pipeline and the llm folders everything else still works."""
+    root = Path(contract.__file__).parent
+    shutil.copytree(root / "tripstats", tmp_path / "tripstats", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    env = {**os.environ, "PYTHONPATH": ""}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.stdout.split() == [str(len(registry.QUERIES))] * 2, done.stderr
+
+
 def test_entry_is_stable(spark):
     df = contract.entry(spark)
     assert df.columns == ["taxi_type", "role", "Borough", "count"]

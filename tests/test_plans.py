@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from tripstats import registry
 from tripstats.operators import enrich
 from tripstats.plans import jobs
 from tripstats.registry.analyses import JULY
@@ -17,11 +17,11 @@ def planned(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
     if name.startswith(("src_", "sink_")):
         pytest.skip("writes a table first")
-    plan = planned(contract.queries()[name](spark, SF_DIR))
+    plan = planned(registry.QUERIES[name](spark, SF_DIR))
     for node in ("PythonUDF", "EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin"):
         assert node not in plan
 
@@ -84,10 +84,10 @@ def test_enrichment_broadcasts_only_below_the_threshold(spark):
 
 
 def test_top_k_does_not_sort_everything(spark):
-    plan = planned(contract.queries()["topk"](spark, SF_DIR))
+    plan = planned(registry.QUERIES["topk"](spark, SF_DIR))
     assert "TakeOrderedAndProject" in plan
 
 
 def test_top_k_per_group_limits_before_the_shuffle(spark):
-    plan = planned(contract.queries()["topk_per_group"](spark, SF_DIR))
+    plan = planned(registry.QUERIES["topk_per_group"](spark, SF_DIR))
     assert "WindowGroupLimit" in plan

@@ -126,7 +126,7 @@ COMPAT_JOBS = {
     ),
     "share": lambda t, z: jobs.share(t, mode=COMPAT),
     "durations": lambda t, z: jobs.durations(t, YEAR, mode=COMPAT),
-    "top merged": lambda t, z: jobs.top_boroughs_merged(t, z, listed=None, mode=COMPAT),
+    "top merged": lambda t, z: jobs.top_boroughs_merged(t, z, mode=COMPAT),
     "busiest month": lambda t, z: jobs.busiest_month(t, mode=COMPAT),
 }
 

@@ -97,7 +97,7 @@ def test_compat_results_are_text(any_ansi):
     df = trips(any_ansi, {"fare_amount": 10.0})
     enriched = jobs.enrich_trips(df, zones(any_ansi, (1, "Queens")), mode=COMPAT)
     assert {f.dataType.simpleString() for f in enriched.schema} == {"string"}
-    assert rows(jobs.durations(df, mode=COMPAT)) == [("10.0", "INTERVAL '0 00:20:00' DAY TO SECOND")]
+    assert rows(jobs.durations(df, fleet=YELLOW, mode=COMPAT)) == [("10.0", "INTERVAL '0 00:20:00' DAY TO SECOND")]
 
 
 def test_non_negative_as_number(any_ansi):
@@ -270,16 +270,64 @@ def test_listed_labels_keep_other_names(any_ansi):
         "Manhattan_Green", "Queens_Green", "Unknown_Green", "Brooklyn_Green", "Bronx_Green",
         "Staten Island", "EWR", None,
     ]
+    assert values(df.select(labels.listed_with_fleet_suffix(F.col("b"), F.col("t"), []).alias("l")), "l") == names
+    odd = labels.listed_with_fleet_suffix(F.lit("EWR (Newark) \\E"), F.lit("yellow_taxi"), ["EWR (Newark) \\E"])
+    assert df.select(odd).first()[0] == "EWR (Newark) \\E_Yellow"
     every = labels.with_fleet_suffix(F.col("b"), F.col("t"))
     assert values(df.select(every.alias("l")), "l")[5:] == ["Staten Island_Green", "EWR_Green", None]
 
 
 def test_month_labels_keep_other_months(any_ansi):
     df = texts(any_ansi, "2023-01", "2023-07", "2023-08", "2008-12", None)
-    label = labels.month_with_fleet(F.col("x"), F.lit("yellow_taxi"))
+    label = labels.listed_month_with_fleet(F.col("x"), F.lit("yellow_taxi"))
     assert values(df.select(label.alias("l")), "l") == [
         "January (Yellow)", "July (Yellow)", "2023-08", "2008-12", None
     ]
+    every = labels.month_with_fleet(F.col("x"), F.lit("yellow_taxi"))
+    assert values(df.select(every.alias("l")), "l") == [
+        "2023-01 (Yellow)", "2023-07 (Yellow)", "2023-08 (Yellow)", "2008-12 (Yellow)", None
+    ]
+
+
+def test_no_two_rows_share_a_label(any_ansi):
+    """Names and months that the fixed lists do not know keep their fleet."""
+    df = trips(
+        any_ansi,
+        *[{"pickup_ts": "2024-05-01 08:00:00", "taxi_type": t} for t in ("yellow_taxi", "green_taxi")],
+    )
+    assert rows(jobs.busiest_month(df)) == [("2024-05 (Yellow)", 1), ("2024-05 (Green)", 1)]
+    merged = jobs.top_boroughs_merged(df, zones(any_ansi, (1, "Staten Island")))
+    assert rows(merged) == [("Staten Island_Green", 1), ("Staten Island_Yellow", 1)]
+
+
+def test_divisor_is_the_days_of_the_period(any_ansi):
+    df = trips(
+        any_ansi,
+        *[{"pickup_ts": f"2023-02-{d:02d} 10:00:00", "airport_fee": 1.0} for d in range(1, 8)],
+        {"pickup_ts": "2023-02-03 10:00:00", "airport_fee": 1.0, "taxi_type": "green_taxi"},
+    )
+    week = ("2023-02-01 00:00:00", "2023-02-08 00:00:00")
+    both = jobs.daily_with_mean(df, week, every_day=True)
+    assert both.columns == ["taxi_type", "day", "count", "total", "mean"]
+    got = rows(both)
+    assert [r[2] for r in got] == [0, 0, 1, 0, 0, 0, 0] + [1] * 7
+    assert {(r[0], round(r[3], 6)) for r in got} == {("green_taxi", round(1 / 7, 6)), ("yellow_taxi", 1.0)}
+    assert {r["flag"] for r in jobs.anomaly_bands(both).filter("taxi_type = 'yellow_taxi'").collect()} == {"normal"}
+    green = jobs.daily_with_mean(df, week, fleet=GREEN)
+    assert green.columns == ["lpep_pickup_datetime", "count", "total", "mean"]
+    assert rows(green.select("total")) == [(1 / 7,)]
+    assert rows(jobs.daily_with_mean(df, week, fleet=GREEN, divisor=31).select("total")) == [(1 / 31,)]
+
+
+def test_fleets_are_not_mixed(any_ansi):
+    df = trips(
+        any_ansi,
+        {"pickup_ts": "2023-03-02 10:00:00", "fare_amount": 10.0, "trip_distance": 2.0},
+        {"pickup_ts": "2023-03-02 10:00:00", "fare_amount": 9.0, "trip_distance": 1.0, "taxi_type": "green_taxi"},
+    )
+    assert sorted(rows(jobs.fare_per_mile(df))) == [("green_taxi", 9.0, 1, 9.0), ("yellow_taxi", 5.0, 1, 5.0)]
+    march = ("2023-03-01 00:00:00", "2023-04-01 00:00:00")
+    assert jobs.durations(df, march).columns == ["taxi_type", "fare_amount", "duration"]
 
 
 def test_busiest_month_can_leave_out_stray_years(any_ansi):
@@ -289,9 +337,12 @@ def test_busiest_month_can_leave_out_stray_years(any_ansi):
         *[{"pickup_ts": "2023-05-01 08:00:00"}] * 2,
         {"pickup_ts": "2023-06-01 08:00:00", "taxi_type": "green_taxi"},
     )
-    assert rows(jobs.busiest_month(df)) == [("2008-12", 3), ("June (Green)", 1)]
+    assert rows(jobs.busiest_month(df)) == [("2008-12 (Yellow)", 3), ("2023-06 (Green)", 1)]
     year = ("2023-01-01 00:00:00", "2024-01-01 00:00:00")
-    assert rows(jobs.busiest_month(df, year)) == [("May (Yellow)", 2), ("June (Green)", 1)]
+    assert rows(jobs.busiest_month(df, year)) == [("2023-05 (Yellow)", 2), ("2023-06 (Green)", 1)]
+    named = jobs.busiest_month(df, year, 2023, [5])
+    assert rows(named) == [("May (Yellow)", 2), ("2023-06", 1)]
+    assert rows(jobs.busiest_month(df, year, mode=COMPAT)) == [("May (Yellow)", 2), ("June (Green)", 1)]
 
 
 # ---- means and shares -------------------------------------------------------
@@ -304,10 +355,10 @@ def test_fare_per_mile_denominators(any_ansi):
         {"pickup_ts": "2023-03-05 11:00:00", "fare_amount": 9.0, "trip_distance": 0.0},
     )
     for mode in (TYPED, COMPAT):
-        result = jobs.fare_per_mile(df, mode=mode)
+        result = jobs.fare_per_mile(df, fleet=YELLOW, mode=mode)
         assert result.columns == ["fare_per_mile", "len(fare_per_mile)", "avg_fpm"]
         assert rows(result) == [(6.0, 2, 3.0)]
-        assert rows(jobs.fare_per_mile(df, denominator="valid", mode=mode)) == [(6.0, 1, 6.0)]
+        assert rows(jobs.fare_per_mile(df, denominator="valid", fleet=YELLOW, mode=mode)) == [(6.0, 1, 6.0)]
 
 
 def test_daily_mean_divides_by_the_given_days(any_ansi):
@@ -319,7 +370,7 @@ def test_daily_mean_divides_by_the_given_days(any_ansi):
         {"pickup_ts": "2023-07-01 00:00:00", "airport_fee": 1.25},
     )
     for mode in (TYPED, COMPAT):
-        result = jobs.daily_with_mean(df, mode=mode)
+        result = jobs.daily_with_mean(df, fleet=YELLOW, mode=mode)
         assert result.columns == ["tpep_pickup_datetime", "count", "total", "mean"]
         assert rows(result) == [(date(2023, 7, 3), 40, 2.0, 2.0), (date(2023, 7, 4), 22, 2.0, 2.0)]
 

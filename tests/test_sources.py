@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from frames import rows, trips
 from tripstats import __main__ as cli
 from tripstats.model import GREEN, YELLOW
+from tripstats.operators import predicates
 from tripstats.sources import layout, readers, sinks, workspace
 
 YELLOW_CSV = """taxi_type,tpep_pickup_datetime,tpep_dropoff_datetime,PULocationID,DOLocationID,trip_distance,fare_amount,passenger_count,airport_fee,tip
@@ -99,16 +100,76 @@ def test_trip_table_prunes_partitions(spark, tmp_path):
         *[{"pickup_ts": f"2023-0{m}-05 10:00:00"} for m in range(1, 8)],
         {"pickup_ts": "2023-03-05 10:00:00", "taxi_type": "green_taxi"},
     )
-    layout.write_trip_table(df, path)
-    march = layout.read_trip_table(spark, path, "2023-03", "2023-03", YELLOW)
-    assert march.count() == 1
-    plan = march._jdf.queryExecution().executedPlan().toString()
+    layout.write_trip_table(df, path, "first")
+    march = ("2023-03-01 00:00:00", "2023-03-31 23:59:59")
+    own = layout.read_trip_table(spark, path, *march, YELLOW)
+    # a month on either side of the period
+    assert rows(own.select("pickup_month").orderBy("pickup_month")) == [("2023-02",), ("2023-03",), ("2023-04",)]
+    plan = own._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(pickup_month" in plan
-    assert dict(march.dtypes)["pickup_month"] == "string"
-    assert layout.months_of(("2023-03-01 00:00:00", "2023-04-30 23:59:59")) == ("2023-03", "2023-04")
+    assert dict(own.dtypes)["pickup_month"] == "string"
     assert layout.read_trip_table(spark, path).drop("pickup_month").count() == df.count()
 
 
+def test_loads_leave_each_other_alone(spark, tmp_path):
+    path = str(tmp_path / "table")
+    may = trips(spark, {"pickup_ts": "2024-05-05 10:00:00"}, {"pickup_ts": "2024-05-06 10:00:00"})
+    # a stray trip of May in the file of July
+    july = trips(spark, *[{"pickup_ts": f"2023-07-0{d} 10:00:00"} for d in (1, 2)], {"pickup_ts": "2024-05-07 10:00:00"})
+    layout.write_trip_table(may, path, "2024-05")
+    layout.write_trip_table(july, path, "2023-07")
+    assert layout.read_trip_table(spark, path).count() == 5
+    layout.write_trip_table(july, path, "2023-07")
+    table = layout.read_trip_table(spark, path)
+    assert table.count() == 5 and table.filter("pickup_month = '2024-05'").count() == 3
+    assert "load" not in table.columns
+    with pytest.raises(ValueError, match="a load is named"):
+        layout.write_trip_table(may, path, "a/b")
+
+
+def test_pruning_loses_no_row(spark, tmp_path):
+    path, zone = str(tmp_path / "table"), spark.conf.get("spark.sql.session.timeZone")
+    times = ["2023-06-30 23:30:00", "2023-07-01 00:30:00", "2023-07-31 23:30:00", "2023-08-01 02:00:00"]
+    layout.write_trip_table(trips(spark, *[{"pickup_ts": t} for t in times]), path, "x")
+
+    def within(start, end):
+        return predicates.time_range(layout.read_trip_table(spark, path, start, end), "pickup_ts", start, end).count()
+
+    assert within("2023-7-1 00:00:00", "2023-8-1 00:00:00") == 2
+    assert within("2023-7-1", None) == 3 and within(None, "2023-07-02") == 2
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        # four hours later than in UTC, where the folders were named
+        assert within("2023-07-01 00:00:00", "2023-08-01 00:00:00") == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_declared_layouts_need_no_job_per_path(spark, files):
+    """Fifty paths cost Spark's one listing job at most, and no look at a header."""
+    header = tuple(YELLOW_CSV.splitlines()[0].split(","))
+    group = "declared-layouts"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        df = readers.read_trip_csv(spark, layouts={header: [files["yellow"]] * 50})
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 1
+        assert df.count() == 200
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(Exception, match="CSV header"):
+        readers.read_trip_csv(spark, layouts={header: [files["drifted"]]}).collect()
+
+
+def test_corrupt_values_can_be_kept(spark, files, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text(YELLOW_CSV.replace("2.0,10.0", "2.0,1x5"))
+    df = readers.read_trip_csv(spark, [str(path)], keep_corrupt=True).cache()
+    bad = df.filter("_corrupt_record is not null")
+    assert {"1x5" in r._corrupt_record for r in bad.collect()} == {True, False}  # and the unreadable time
+    assert "_corrupt_record" not in readers.read_trip_csv(spark, [str(path)]).columns
+    df.unpersist()
+
+
 def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     """Adaptive execution splits a partition that is larger than it advises."""
     path = str(tmp_path / "table")
@@ -121,10 +182,10 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     before = spark.conf.get(key)
     try:
         spark.conf.set(key, "1MB")
-        layout.write_trip_table(df, path)
+        layout.write_trip_table(df, path, "x")
     finally:
         spark.conf.set(key, before)
-    assert len(glob.glob(f"{path}/*/*/*.parquet")) > 2
+    assert len(glob.glob(f"{path}/*/*/*/*.parquet")) > 2
     assert layout.read_trip_table(spark, path).count() == 400_000
 
 
@@ -132,6 +193,9 @@ def test_single_file(spark, tmp_path):
     path = str(tmp_path / "one")
     sinks.write_csv(spark.range(100, numPartitions=8), path, single_file=True)
     assert len(glob.glob(f"{path}/*.csv")) == 1
+    ordered = str(tmp_path / "ordered")
+    sinks.write_csv(spark.range(100, numPartitions=8), ordered, single_file=True, order=[F.desc("id")])
+    assert [int(r.id) for r in spark.read.csv(ordered, header=True).collect()] == list(range(99, -1, -1))
     many = str(tmp_path / "many")
     sinks.write_csv(spark.range(100, numPartitions=8), many)
     assert len(glob.glob(f"{many}/*.csv")) == 8
@@ -209,6 +273,9 @@ def test_cli_jobs_run(spark, files, job, mode):
 
 
 def test_cli_daily(spark, files):
+    results = run(spark, files, "daily-with-mean", "--every-day")
+    days = rows(results["daily_yellow"])
+    assert len(days) == 31 and days[0] == ("2023-07-01", "0", "0.06451612903225806", "0.0")
     results = run(spark, files, "daily-with-mean")
     assert rows(results["daily_yellow"]) == [
         ("2023-07-02", "1", "0.06451612903225806", "0.0"),
@@ -216,6 +283,39 @@ def test_cli_daily(spark, files):
     ]
 
 
+def test_cli_labels(spark, files):
+    year = ["--start", "2023-01-01 00:00:00", "--end", "2024-01-01 00:00:00"]
+    months = run(spark, files, "busiest-month", *year)["busiest_month"]
+    assert rows(months) == [("2023-06 (Green)", "1"), ("2023-07 (Yellow)", "3")]
+    months = run(spark, files, "busiest-month", *year, "--year", "2023", "--months", "7")["busiest_month"]
+    assert rows(months) == [("2023-06", "1"), ("July (Yellow)", "3")]
+    merged = run(spark, files, "top-merged", "--listed", "Bronx")["top_merged"]
+    assert rows(merged) == [("Bronx_Green", "2"), ("Queens", "3")]
+
+
+def test_cli_preview(spark, files, capsys):
+    """The schema and the first rows of what was written."""
+    run(spark, files, "share", "--preview")
+    out = capsys.readouterr().out
+    assert "|-- yellow_single_total: long" in out and "|-- green_total: long" in out
+    assert "66.66666666666666" in out
+
+
+def test_cli_same_header(spark, files):
+    args = cli.arguments(["share", "--green", files["green"], files["green"], "--same-header", "--out", files["out"]])
+    (path,) = cli.run(spark, args)
+    assert rows(spark.read.csv(path, header=True))[0][0] == "4"
+
+
+def test_cli_prunes_busiest_month(spark, files, tmp_path):
+    table = str(tmp_path / "table")
+    cli.run(spark, cli.arguments(["load", "--green", files["green"], "--load", "g", "--out", table]))
+    args = cli.arguments(["busiest-month", "--table", table, "--start", "2023-01-01", "--end", "2023-02-01", "--out", files["out"]])
+    inputs = cli.Inputs(spark, args)
+    plan = inputs.all_trips((args.start, args.end))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("pickup_month") >= 2 and "PartitionFilters: [isnotnull(pickup_month" in plan
+
+
 def test_cli_on_a_loaded_table(spark, files, tmp_path):
     table = str(tmp_path / "table")
     cli.run(spark, cli.arguments(

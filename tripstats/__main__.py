@@ -19,8 +19,8 @@ from tripstats.plans import jobs
 from tripstats.session import session
 from tripstats.sources import layout, readers, sinks
 
-# name, table, whether the table is small enough for a single file
-Result = tuple[str, DataFrame, bool]
+# name, table, and the order of a table small enough for a single file, else None
+Result = tuple[str, DataFrame, list | None]
 
 
 class Inputs:
@@ -42,20 +42,24 @@ class Inputs:
             raise SystemExit("this job needs --zones")
         return readers.read_zones(self.spark, self.args.zones)
 
-    def trips(self, fleet: Fleet, period: tuple[str, str] | None = None) -> DataFrame:
+    def trips(
+        self, fleet: Fleet, period: tuple[str | None, str | None] | None = None
+    ) -> DataFrame:
         """Trips of one fleet; only the months of the period, if the layout allows."""
         if self.args.table:
-            months = layout.months_of(period) if period else (None, None)
-            table = layout.read_trip_table(self.spark, self.args.table, *months, fleet=fleet)
+            bounds = period or (None, None)
+            table = layout.read_trip_table(self.spark, self.args.table, *bounds, fleet=fleet)
             return table.drop("pickup_month")
-        if not self._files[fleet]:
+        files = self._files[fleet]
+        if not files:
             raise SystemExit(f"this job needs --{fleet.name} or --table")
-        return readers.normalise(
-            readers.read_trip_csv(self.spark, self._files[fleet]), fleet
-        )
+        layouts = None
+        if self.args.same_header:
+            layouts = {readers.csv_header(self.spark, files[0]): files}
+        return readers.normalise(readers.read_trip_csv(self.spark, files, layouts), fleet)
 
-    def all_trips(self) -> DataFrame:
-        both = [self.trips(fleet) for fleet in self.fleets]
+    def all_trips(self, period: tuple[str | None, str | None] | None = None) -> DataFrame:
+        both = [self.trips(fleet, period) for fleet in self.fleets]
         if not both:
             raise SystemExit("this job needs --yellow, --green or --table")
         return both[0] if len(both) == 1 else both[0].unionByName(
@@ -71,7 +75,7 @@ def _enrich(inputs: Inputs) -> Iterator[Result]:
         trips = jobs.enrich_trips(
             inputs.trips(fleet), inputs.zones, fleet, inputs.args.mode
         )
-        yield f"enriched_{fleet.name}", readers.with_fleet_names(trips, fleet), False
+        yield f"enriched_{fleet.name}", readers.with_fleet_names(trips, fleet), None
 
 
 def _borough_counts(inputs: Inputs) -> Iterator[Result]:
@@ -83,7 +87,7 @@ def _borough_counts(inputs: Inputs) -> Iterator[Result]:
             table = counts.filter(F.col("role") == role).select(
                 F.col("Borough").alias(f"{role.capitalize()}_Borough"), "count"
             )
-            yield f"boroughs_{fleet.name}_{role}", table, True
+            yield f"boroughs_{fleet.name}_{role}", table, [table.columns[0]]
         counts.unpersist()
 
 
@@ -93,7 +97,7 @@ def _filtered_by_day(inputs: Inputs) -> Iterator[Result]:
         table = jobs.filtered_by_day(
             inputs.trips(fleet, period), period, fleet=fleet, mode=inputs.args.mode
         )
-        yield f"filtered_{fleet.name}", table, True
+        yield f"filtered_{fleet.name}", table, [fleet.pickup_column]
 
 
 def _top_combined(inputs: Inputs) -> Iterator[Result]:
@@ -101,7 +105,7 @@ def _top_combined(inputs: Inputs) -> Iterator[Result]:
         table = jobs.top_boroughs_combined(
             inputs.trips(fleet), inputs.zones, inputs.args.k, fleet, inputs.args.mode
         )
-        yield f"top_{fleet.name}", table, True
+        yield f"top_{fleet.name}", table, [F.desc("Count_Sum"), "Borough"]
 
 
 def _daily_with_mean(inputs: Inputs) -> Iterator[Result]:
@@ -112,48 +116,54 @@ def _daily_with_mean(inputs: Inputs) -> Iterator[Result]:
         divisor=inputs.args.days,
         fleet=YELLOW,
         mode=inputs.args.mode,
+        every_day=inputs.args.every_day,
     )
-    yield "daily_yellow", table, True
+    yield "daily_yellow", table, [YELLOW.pickup_column]
 
 
 def _anomalies(inputs: Inputs) -> Iterator[Result]:
-    for _, daily, _ in _daily_with_mean(inputs):
-        yield "anomalies_yellow", jobs.anomaly_bands(daily), True
+    for _, daily, order in _daily_with_mean(inputs):
+        yield "anomalies_yellow", jobs.anomaly_bands(daily), order
 
 
 def _fare_per_mile(inputs: Inputs) -> Iterator[Result]:
     period = inputs.period(jobs.MARCH)
-    table = jobs.fare_per_mile(
-        inputs.trips(YELLOW, period), period, fleet=YELLOW, mode=inputs.args.mode
-    )
-    yield "fare_per_mile_yellow", table, False
+    for fleet in inputs.fleets:
+        table = jobs.fare_per_mile(
+            inputs.trips(fleet, period), period, fleet=fleet, mode=inputs.args.mode
+        )
+        yield f"fare_per_mile_{fleet.name}", table, None
 
 
 def _share(inputs: Inputs) -> Iterator[Result]:
     for fleet in inputs.fleets:
         table = jobs.share(inputs.trips(fleet), fleet=fleet, mode=inputs.args.mode)
-        yield f"share_{fleet.name}", table, True
+        yield f"share_{fleet.name}", table, []
 
 
 def _durations(inputs: Inputs) -> Iterator[Result]:
     period = inputs.period(jobs.JANUARY)
-    table = jobs.durations(
-        inputs.trips(YELLOW, period), period, fleet=YELLOW, mode=inputs.args.mode
-    )
-    yield "durations_yellow", table, False
+    for fleet in inputs.fleets:
+        table = jobs.durations(
+            inputs.trips(fleet, period), period, fleet=fleet, mode=inputs.args.mode
+        )
+        yield f"durations_{fleet.name}", table, None
 
 
 def _top_merged(inputs: Inputs) -> Iterator[Result]:
     table = jobs.top_boroughs_merged(
-        inputs.all_trips(), inputs.zones, inputs.args.k, mode=inputs.args.mode
+        inputs.all_trips(), inputs.zones, inputs.args.k, inputs.args.listed, inputs.args.mode
     )
-    yield "top_merged", table, True
+    yield "top_merged", table, ["count", "Pickup_Borough"]
 
 
 def _busiest_month(inputs: Inputs) -> Iterator[Result]:
     args = inputs.args
     period = (args.start, args.end) if args.start or args.end else None
-    yield "busiest_month", jobs.busiest_month(inputs.all_trips(), period, mode=args.mode), True
+    table = jobs.busiest_month(
+        inputs.all_trips(period), period, args.year, args.months, args.mode
+    )
+    yield "busiest_month", table, ["month"]
 
 
 JOBS: dict[str, Callable[[Inputs], Iterator[Result]]] = {
@@ -182,7 +192,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--mode", choices=[TYPED, COMPAT], default=TYPED)
     parser.add_argument("--start", help="first time of the period, yyyy-MM-dd HH:mm:ss")
     parser.add_argument("--end", help="end of the period")
-    parser.add_argument("--days", type=int, default=jobs.DAYS_IN_JULY)
+    parser.add_argument("--days", type=int, help="divisor of daily means, if not the period's days")
+    parser.add_argument("--every-day", action="store_true", help="list days without trips too")
+    parser.add_argument("--listed", nargs="*", help="only these boroughs get a fleet suffix")
+    parser.add_argument("--year", type=int, help="year of the months that get a name")
+    parser.add_argument("--months", type=int, nargs="*", help="months that get a name")
+    parser.add_argument("--load", default="all", help="name of the load that 'load' writes")
+    parser.add_argument(
+        "--same-header", action="store_true", help="all paths of a fleet have the header of its first"
+    )
     parser.add_argument("--preview", action="store_true", help="print schema and first rows")
     parser.add_argument("-k", type=int, default=jobs.TOP_BOROUGHS)
     return parser.parse_args(argv)
@@ -192,12 +210,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     """Run the job and return the folders it wrote."""
     inputs = Inputs(spark, args)
     if args.job == "load":
-        layout.write_trip_table(inputs.all_trips(), args.out)
+        layout.write_trip_table(inputs.all_trips(), args.out, args.load)
         return [args.out]
     written = []
-    for name, table, small in JOBS[args.job](inputs):
+    for name, table, order in JOBS[args.job](inputs):
         written.append(sinks.stamped(args.out.rstrip("/"), name))
-        sinks.write_csv(table, written[-1], single_file=small)
+        small = order is not None
+        sinks.write_csv(table, written[-1], single_file=small, order=order or ())
         if args.preview:
             table.printSchema()
             result = spark.read.csv(written[-1], header=True, schema=table.schema)

@@ -31,28 +31,39 @@ def with_fleet_suffix(name: Column, taxi_type: Column) -> Column:
     return F.concat(name, F.lit("_"), fleet_label(taxi_type))
 
 
+def _quoted(name: str) -> str:
+    """A name as it is inside a pattern."""
+    return "\\Q" + name.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def listed_with_fleet_suffix(
     name: Column, taxi_type: Column, names: Iterable[str] = LABELLED_BOROUGHS
 ) -> Column:
     """Only the listed names, wherever they occur in the text, get the fleet."""
-    pattern = "(" + "|".join(names) + ")"
+    quoted = [_quoted(x) for x in names]
+    if not quoted:
+        return name
     return F.regexp_replace(
-        name, F.lit(pattern), F.concat(F.lit("$1_"), fleet_label(taxi_type))
+        name, F.lit(f"({'|'.join(quoted)})"), F.concat(F.lit("$1_"), fleet_label(taxi_type))
     )
 
 
-def month_with_fleet(
+def month_with_fleet(month: Column, taxi_type: Column) -> Column:
+    """``2024-05`` -> ``2024-05 (Yellow)``, for any month."""
+    return F.concat(month, F.lit(" ("), fleet_label(taxi_type), F.lit(")"))
+
+
+def listed_month_with_fleet(
     month: Column,
     taxi_type: Column,
     year: int = LABELLED_YEAR,
     months: Iterable[int] = LABELLED_MONTHS,
 ) -> Column:
     """``2023-05`` -> ``May (Yellow)``; months outside the list keep their text."""
-    name = F.coalesce(
-        *[
-            F.when(month == f"{year}-{number:02d}", F.lit(calendar.month_name[number]))
-            for number in months
-        ]
-    )
-    labelled = F.concat(name, F.lit(" ("), fleet_label(taxi_type), F.lit(")"))
-    return F.coalesce(labelled, month)
+    named = [
+        F.when(month == f"{year}-{number:02d}", F.lit(calendar.month_name[number]))
+        for number in months
+    ]
+    if not named:
+        return month
+    return F.coalesce(month_with_fleet(F.coalesce(*named), taxi_type), month)

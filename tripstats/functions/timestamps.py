@@ -58,3 +58,18 @@ def interval_seconds(interval: Column) -> Column:
         + F.extract(F.lit("SECOND"), interval).cast("bigint")
     )
     return seconds.cast("bigint")
+
+
+def days_between(period: tuple[str, str], closed: str = "neither") -> tuple[Column, Column]:
+    """First and last day of a period, as constants; an end at midnight that does not count
+    leaves its day out."""
+    start, end = (F.lit(x).cast("timestamp_ntz") for x in period)
+    if closed in ("left", "neither"):
+        end = end - F.expr("INTERVAL 1 MICROSECOND")
+    return F.to_date(start), F.to_date(end)
+
+
+def days_in(period: tuple[str, str], closed: str = "neither") -> Column:
+    """How many days a period touches."""
+    first, last = days_between(period, closed)
+    return F.datediff(last, first) + 1

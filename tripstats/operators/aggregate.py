@@ -24,9 +24,9 @@ def count_by_month(df: DataFrame, timestamp: str, *keys: str) -> DataFrame:
     )
 
 
-def fixed_divisor_mean(total: Column, divisor: int) -> Column:
+def fixed_divisor_mean(total: Column, divisor: int | Column) -> Column:
     """A sum over a divisor the caller names, such as the days of a month."""
-    return total.cast("double") / F.lit(float(divisor))
+    return total.cast("double") / F.lit(divisor).cast("double")
 
 
 def mean_over_all_rows(value: Column, valid: Column) -> Column:

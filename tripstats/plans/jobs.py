@@ -9,14 +9,21 @@ gives the single-fleet result table.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstats.functions import labels
 from tripstats.functions.columns import numeric, text
-from tripstats.functions.timestamps import day, elapsed, interval_seconds, interval_text
+from tripstats.functions.timestamps import (
+    day,
+    days_between,
+    days_in,
+    elapsed,
+    interval_seconds,
+    interval_text,
+)
 from tripstats.model import COMPAT, TYPED, Fleet
 from tripstats.operators import aggregate, enrich, predicates, rank
 from tripstats.operators.cleanse import all_text, cleanse
@@ -26,7 +33,6 @@ WEEK_ONE = ("2023-01-01 00:00:00", "2023-01-07 23:59:59")
 JANUARY = ("2023-01-01 00:00:00", "2023-01-31 23:59:59")
 MARCH = ("2023-03-01 00:00:00", "2023-03-31 23:59:59")
 JULY = ("2023-07-01 00:00:00", "2023-07-31 23:59:59")
-DAYS_IN_JULY = 31
 MIN_FARE = "50"
 MAX_DISTANCE = "1"
 NO_FEE = "0.0"
@@ -131,27 +137,55 @@ def daily_with_mean(
     trips: DataFrame,
     period: tuple[str, str] = JULY,
     fee: str = "airport_fee",
-    divisor: int = DAYS_IN_JULY,
+    divisor: int | None = None,
     closed: str = "neither",
-    day_name: str = "tpep_pickup_datetime",
     fleet: Fleet | None = None,
     mode: str = TYPED,
+    every_day: bool = False,
 ) -> DataFrame:
     """Trips with a surcharge per day, with the mean per day beside it.
 
-    ``total`` is the mean as it comes out, ``mean`` the same rounded.
+    ``total`` is the mean as it comes out, ``mean`` the same rounded. The divisor is
+    the number of days of the period unless another is given. ``every_day`` also lists
+    days without such trips, with a count of 0.
     """
+    by = ["taxi_type"] if fleet is None else []
+    day_name = fleet.pickup_column if fleet else "day"
     trips = _clean(trips, fleet, mode)
     trips = predicates.time_range(trips, "pickup_ts", *period, closed=closed)
     trips = predicates.above(trips, fee, NO_FEE, mode)
-    daily = aggregate.count_by(trips, day(trips, "pickup_ts").alias(day_name))
-    return with_daily_mean(daily, divisor).orderBy(day_name)
+    daily = aggregate.count_by(trips, *by, day(trips, "pickup_ts").alias(day_name))
+    if every_day:
+        daily = with_every_day(daily, period, day_name, by, closed)
+    days = F.lit(divisor) if divisor is not None else days_in(period, closed)
+    return with_daily_mean(daily, days, by).orderBy(*by, day_name)
+
 
+def with_daily_mean(
+    daily: DataFrame, divisor: int | Column, by: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``total`` and ``mean`` to a table of counts per day, for each value of ``by``."""
+    mean = aggregate.fixed_divisor_mean(F.sum("count"), divisor).alias("total")
+    if by:
+        with_mean = daily.join(daily.groupBy(*by).agg(mean), list(by))
+    else:
+        with_mean = aggregate.attach(daily, daily.agg(mean), total="total")
+    return with_mean.withColumn("mean", F.round("total"))
 
-def with_daily_mean(daily: DataFrame, divisor: int = DAYS_IN_JULY) -> DataFrame:
-    """Add ``total`` and ``mean`` to a table of counts per day."""
-    mean = daily.agg(aggregate.fixed_divisor_mean(F.sum("count"), divisor).alias("total"))
-    return aggregate.attach(daily, mean, total="total").withColumn("mean", F.round("total"))
+
+def with_every_day(
+    daily: DataFrame,
+    period: tuple[str, str],
+    day_name: str,
+    by: Sequence[str] = (),
+    closed: str = "neither",
+) -> DataFrame:
+    """Add the days of a period that have no row, with a count of 0, for each value of ``by``."""
+    first, last = days_between(period, closed)
+    each = F.explode(F.sequence(first, last)).alias(day_name)
+    groups = daily.select(*by).distinct() if by else daily.sparkSession.range(1)
+    calendar = groups.select(*by, each)
+    return calendar.join(daily, [*by, day_name], "left").fillna(0, ["count"])
 
 
 def fare_per_mile(
@@ -165,25 +199,28 @@ def fare_per_mile(
     """Fare per mile of every trip that moved, with the mean on every row.
 
     ``denominator="all"`` divides by every trip of the period, also by those
-    that did not move; ``"valid"`` by the ones that did.
+    that did not move; ``"valid"`` by the ones that did. Without ``fleet`` every fleet has
+    a mean of its own.
     """
     means = {"all": aggregate.mean_over_all_rows, "valid": aggregate.mean_over_valid_rows}
     trips = predicates.time_range(
         _clean(trips, fleet, mode), "pickup_ts", *period, closed=closed
     )
+    by = ["taxi_type"] if fleet is None else []
     distance = numeric(trips, "trip_distance")
     ratio = F.try_divide(
         numeric(trips, "fare_amount").cast("double"), distance.cast("double")
     )
     moved = distance > 0
     length = F.count(F.lit(1)) if denominator == "all" else F.count_if(moved)
-    summary = trips.agg(
-        length.alias("length"), means[denominator](ratio, moved).alias("avg_fpm")
-    )
-    rows = trips.filter(moved).select(ratio.alias("fare_per_mile"))
-    return aggregate.attach(
-        rows, summary, **{"len(fare_per_mile)": "length", "avg_fpm": "avg_fpm"}
+    summary = trips.groupBy(*by).agg(
+        length.alias("len(fare_per_mile)"), means[denominator](ratio, moved).alias("avg_fpm")
     )
+    rows = trips.filter(moved).select(*by, ratio.alias("fare_per_mile"))
+    if by:
+        return rows.join(summary, by)
+    own = {name: name for name in ("len(fare_per_mile)", "avg_fpm")}
+    return aggregate.attach(rows, summary, **own)
 
 
 def share(
@@ -224,7 +261,8 @@ def durations(
     )
     interval = elapsed(trips, "pickup_ts", "dropoff_ts")
     fare = F.col("fare_amount") if mode == TYPED else text("fare_amount")
-    columns = [fare.alias("fare_amount"), interval_text(interval).alias("duration")]
+    columns = ["taxi_type"] if fleet is None else []
+    columns += [fare.alias("fare_amount"), interval_text(interval).alias("duration")]
     if with_seconds:
         columns.append(interval_seconds(interval).alias("duration_seconds"))
     return trips.select(*columns)
@@ -234,21 +272,22 @@ def top_boroughs_merged(
     trips: DataFrame,
     zones: DataFrame,
     k: int = TOP_BOROUGHS,
-    listed: Iterable[str] | None = labels.LABELLED_BOROUGHS,
+    listed: Iterable[str] | None = None,
     mode: str = TYPED,
 ) -> DataFrame:
     """The busiest pickup boroughs of every fleet in one list, smallest first.
 
-    ``listed`` names the boroughs that get a fleet suffix; None means all.
+    ``listed`` names the boroughs that get a fleet suffix. Without it all get one, in
+    compat mode those of the fixed list.
     """
+    if listed is None and mode == COMPAT:
+        listed = labels.LABELLED_BOROUGHS
     counts = enrich.count_per_borough(_clean(trips, None, mode), zones, "pickup")
     return merged_top_boroughs(counts, k, listed)
 
 
 def merged_top_boroughs(
-    counts: DataFrame,
-    k: int = TOP_BOROUGHS,
-    listed: Iterable[str] | None = labels.LABELLED_BOROUGHS,
+    counts: DataFrame, k: int = TOP_BOROUGHS, listed: Iterable[str] | None = None
 ) -> DataFrame:
     """The list of ``top_boroughs_merged`` from counts per fleet and borough."""
     best = rank.top_k_per_group(counts, k, ["taxi_type"], "count", ["Pickup_Borough"])
@@ -266,14 +305,19 @@ def merged_top_boroughs(
 def busiest_month(
     trips: DataFrame,
     period: tuple[str, str] | None = None,
-    year: int = labels.LABELLED_YEAR,
-    months: Iterable[int] = labels.LABELLED_MONTHS,
+    year: int | None = None,
+    months: Iterable[int] | None = None,
     mode: str = TYPED,
 ) -> DataFrame:
     """The month with the most trips of every fleet.
 
-    ``period`` (half-open) keeps stray dates of other years out.
+    ``period`` (half-open) keeps stray dates of other years out. With ``year`` or
+    ``months`` the months of that list are named, others keep their text; compat mode
+    always has a list. Otherwise every month is ``yyyy-MM`` with its fleet.
     """
+    if mode == COMPAT or year is not None or months is not None:
+        year = labels.LABELLED_YEAR if year is None else year
+        months = labels.LABELLED_MONTHS if months is None else months
     trips = _clean(trips, None, mode)
     if period is not None:
         trips = predicates.time_range(trips, "pickup_ts", *period)
@@ -282,13 +326,16 @@ def busiest_month(
 
 
 def labelled_busiest_month(
-    counts: DataFrame,
-    year: int = labels.LABELLED_YEAR,
-    months: Iterable[int] = labels.LABELLED_MONTHS,
+    counts: DataFrame, year: int | None = None, months: Iterable[int] | None = None
 ) -> DataFrame:
     """The list of ``busiest_month`` from counts per fleet and month."""
     best = rank.top_k_per_group(counts, 1, ["taxi_type"], "count", ["month"])
-    label = labels.month_with_fleet(F.col("month"), F.col("taxi_type"), year, months)
+    month, tag = F.col("month"), F.col("taxi_type")
+    label = (
+        labels.month_with_fleet(month, tag)
+        if months is None
+        else labels.listed_month_with_fleet(month, tag, year, months)
+    )
     return best.orderBy(F.desc("taxi_type")).select(label.alias("month"), "count")
 
 

@@ -15,14 +15,14 @@ from tripstats.sources import sample
 WEEK = ("1996-07-01 00:00:00", "1996-07-07 23:59:59")
 JULY = ("1996-07-01 00:00:00", "1996-07-31 23:59:59")
 YEAR = ("1996-01-01 00:00:00", "1997-01-01 00:00:00")
-LISTED = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
-LABELLED_MONTHS = range(1, 8)
+LISTED = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+MONTHS = range(1, 13)
 TYPED_BOUNDS = {"min_fare": "50000", "max_distance": "10"}
 TEXT_BOUNDS = {"min_fare": "50", "max_distance": "3"}
 
 
 def _zoned(spark: SparkSession, sf_dir: str, pickup: bool = True, dropoff: bool = True):
-    return sample.trips(spark, sf_dir, pickup, dropoff), sample.zones(spark, sf_dir)
+    return sample.metered(spark, sf_dir, pickup, dropoff), sample.zones(spark, sf_dir)
 
 
 def enrich_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,18 +42,18 @@ def borough_counts_green_dropoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filtered_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.filtered_by_day(sample.trips(spark, sf_dir), JULY, **TYPED_BOUNDS)
+    return jobs.filtered_by_day(sample.metered(spark, sf_dir), JULY, **TYPED_BOUNDS)
 
 
 def filtered_by_day_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.filtered_by_day(
-        sample.trips(spark, sf_dir), JULY, mode=COMPAT, **TEXT_BOUNDS
+        sample.metered(spark, sf_dir), JULY, mode=COMPAT, **TEXT_BOUNDS
     )
 
 
 def filtered_by_day_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.filtered_by_day(
-        sample.trips(spark, sf_dir), WEEK, fleet=YELLOW, mode=COMPAT, **TEXT_BOUNDS
+        sample.metered(spark, sf_dir), WEEK, fleet=YELLOW, mode=COMPAT, **TEXT_BOUNDS
     )
 
 
@@ -66,43 +66,66 @@ def topk_combined_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_with_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.daily_with_mean(sample.trips(spark, sf_dir), JULY, fleet=YELLOW)
+    return jobs.daily_with_mean(sample.metered(spark, sf_dir), JULY, fleet=YELLOW)
 
 
 def fare_per_mile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = jobs.fare_per_mile(sample.trips(spark, sf_dir), JULY, fleet=YELLOW)
+    rows = jobs.fare_per_mile(sample.metered(spark, sf_dir), JULY, fleet=YELLOW)
     return rows.withColumn("avg_fpm", F.round("avg_fpm", 6))
 
 
 def share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.share(sample.trips(spark, sf_dir))
+    return jobs.share(sample.metered(spark, sf_dir))
 
 
 def share_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.share(sample.trips(spark, sf_dir), fleet=YELLOW)
+    return jobs.share(sample.metered(spark, sf_dir), fleet=YELLOW)
 
 
 def share_green_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.share(sample.trips(spark, sf_dir), fleet=GREEN, mode=COMPAT)
+    return jobs.share(sample.metered(spark, sf_dir), fleet=GREEN, mode=COMPAT)
 
 
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = sample.trips(spark, sf_dir)
+    trips = sample.metered(spark, sf_dir)
     return jobs.durations(trips, JULY, fleet=YELLOW, with_seconds=True)
 
 
+def daily_with_mean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fleet with a mean of its own, days without trips listed."""
+    return jobs.daily_with_mean(sample.metered(spark, sf_dir), JULY, every_day=True)
+
+
+def fare_per_mile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jobs.fare_per_mile(sample.metered(spark, sf_dir), JULY)
+    return rows.withColumn("avg_fpm", F.round("avg_fpm", 6))
+
+
+def durations_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.durations(sample.metered(spark, sf_dir), JULY, with_seconds=True)
+
+
 def top_boroughs_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.top_boroughs_merged(*_zoned(spark, sf_dir, dropoff=False), listed=LISTED)
+    return jobs.top_boroughs_merged(*_zoned(spark, sf_dir, dropoff=False))
+
+
+def top_boroughs_merged_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips, zones = _zoned(spark, sf_dir, dropoff=False)
+    return jobs.top_boroughs_merged(trips, zones, listed=LISTED, mode=COMPAT)
 
 
 def busiest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.busiest_month(sample.trips(spark, sf_dir), YEAR, 1996, LABELLED_MONTHS)
+    return jobs.busiest_month(sample.metered(spark, sf_dir), YEAR)
+
+
+def busiest_month_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.busiest_month(sample.metered(spark, sf_dir), YEAR, 1996, MONTHS, COMPAT)
 
 
 def anomaly_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = sample.table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     daily = aggregate.count_by(events, timestamps.day(events, "ts").alias("day"))
-    return jobs.anomaly_bands(jobs.with_daily_mean(daily))
+    return jobs.anomaly_bands(jobs.with_daily_mean(daily, 31))
 
 
 def share_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,13 +143,18 @@ QUERIES = {
     "job_topk_combined": topk_combined,
     "job_topk_combined_yellow": topk_combined_yellow,
     "job_daily_with_mean": daily_with_mean,
+    "job_daily_with_mean_all": daily_with_mean_all,
     "job_fare_per_mile": fare_per_mile,
+    "job_fare_per_mile_all": fare_per_mile_all,
     "job_share": share,
     "job_share_yellow": share_yellow,
     "job_share_green_compat": share_green_compat,
     "job_durations": durations,
+    "job_durations_all": durations_all,
     "job_top_boroughs_merged": top_boroughs_merged,
+    "job_top_boroughs_merged_compat": top_boroughs_merged_compat,
     "job_busiest_month": busiest_month,
+    "job_busiest_month_compat": busiest_month_compat,
     "job_anomaly_bands": anomaly_bands,
     "job_share_complement": share_complement,
 }
@@ -140,6 +168,10 @@ _CLEAN = (
     "pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL "
     "AND trip_distance >= 0 AND fare_amount >= 0"
 )
+_CLEAN_COMPAT = (
+    "pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL "
+    f"AND {ctes.PLAIN.format('trip_distance')} AND {ctes.PLAIN.format('fare_amount')}"
+)
 _TEXT_FILTER = "CAST(fare_amount AS VARCHAR) > '50' AND CAST(trip_distance AS VARCHAR) < '3'"
 _YELLOW = "taxi_type = 'yellow_taxi'"
 _COLOUR = "CASE taxi_type WHEN 'yellow_taxi' THEN 'Yellow' ELSE 'Green' END"
@@ -166,45 +198,67 @@ _DURATION_TEXT = """'INTERVAL ''' || CASE WHEN s < 0 THEN '-' ELSE '' END
   || lpad(CAST(abs(s) % 3600 // 60 AS VARCHAR), 2, '0') || ':'
   || lpad(CAST(abs(s) % 60 AS VARCHAR), 2, '0') || ''' DAY TO SECOND'"""
 
+
+
+def _merged_sql(clean: str) -> str:
+    return f"""SELECT Pickup_Borough || '_' || {_COLOUR} AS Pickup_Borough, count
+        FROM (SELECT taxi_type, Pickup_Borough, count(*) AS count
+              FROM enriched WHERE {clean} GROUP BY taxi_type, Pickup_Borough
+              QUALIFY row_number() OVER (
+                PARTITION BY taxi_type ORDER BY count(*) DESC, Pickup_Borough NULLS FIRST) <= 5)
+        ORDER BY count, Pickup_Borough"""
+
+
+def _busiest_sql(clean: str, label: str) -> str:
+    return f"""SELECT {label} AS month, count
+        FROM (SELECT taxi_type, date_trunc('month', pickup_ts) AS first, count(*) AS count
+              FROM trips WHERE {clean} AND pickup_ts >= TIMESTAMP '{YEAR[0]}'
+                AND pickup_ts < TIMESTAMP '{YEAR[1]}'
+              GROUP BY taxi_type, date_trunc('month', pickup_ts)
+              QUALIFY row_number() OVER (
+                PARTITION BY taxi_type
+                ORDER BY count(*) DESC, date_trunc('month', pickup_ts)) = 1)"""
+
+
 SQL = {
-    "job_enrich_trips": ctes.zoned(
+    "job_enrich_trips": ctes.metered_zoned(
         "SELECT * FROM enriched WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL"
     ),
-    "job_borough_counts": ctes.zoned_and(_ROLES, "SELECT * FROM roles"),
-    "job_borough_counts_yellow_pickup": ctes.zoned(
+    "job_borough_counts": ctes.metered_zoned_and(_ROLES, "SELECT * FROM roles"),
+    "job_borough_counts_yellow_pickup": ctes.metered_zoned(
         f"""SELECT Pickup_Borough, count(*) AS count
         FROM enriched WHERE {_CLEAN} AND {_YELLOW} GROUP BY ALL"""
     ),
-    "job_borough_counts_green_dropoff": ctes.zoned(
+    "job_borough_counts_green_dropoff": ctes.metered_zoned(
         f"""SELECT Dropoff_Borough, count(*) AS count
         FROM enriched WHERE {_CLEAN} AND taxi_type = 'green_taxi' GROUP BY ALL"""
     ),
-    "job_filtered_by_day": ctes.trips(
+    "job_filtered_by_day": ctes.metered(
         f"""SELECT taxi_type, CAST(pickup_ts AS DATE) AS day, count(*) AS count
         FROM trips WHERE {_CLEAN} AND {_within(JULY)}
           AND fare_amount > 50000 AND trip_distance < 10 GROUP BY ALL"""
     ),
-    "job_filtered_by_day_lexical": ctes.trips(
+    "job_filtered_by_day_lexical": ctes.metered(
         f"""SELECT taxi_type, CAST(pickup_ts AS DATE) AS day, count(*) AS count
-        FROM trips WHERE {_CLEAN} AND {_within(JULY)} AND {_TEXT_FILTER} GROUP BY ALL"""
+        FROM trips WHERE {_CLEAN_COMPAT} AND {_within(JULY)} AND {_TEXT_FILTER} GROUP BY ALL"""
     ),
-    "job_filtered_by_day_yellow": ctes.trips(
+    "job_filtered_by_day_yellow": ctes.metered(
         f"""SELECT CAST(pickup_ts AS DATE) AS tpep_pickup_datetime, count(*) AS count
-        FROM trips WHERE {_CLEAN} AND {_YELLOW} AND {_within(WEEK)} AND {_TEXT_FILTER}
+        FROM trips WHERE {_CLEAN_COMPAT} AND {_YELLOW} AND {_within(WEEK)} AND {_TEXT_FILTER}
         GROUP BY ALL"""
     ),
-    "job_topk_combined": ctes.zoned_and(
+    "job_topk_combined": ctes.metered_zoned_and(
         _ROLES,
         """SELECT * FROM combined QUALIFY row_number() OVER (
           PARTITION BY taxi_type ORDER BY Count_Sum DESC, Borough) <= 3""",
     ),
-    "job_topk_combined_yellow": ctes.zoned_and(
+    "job_topk_combined_yellow": ctes.metered_zoned_and(
         _ROLES,
         f"""SELECT Borough, Pickup_Count AS YPickup_Count, Dropoff_Count AS YDropoff_Count,
           Count_Sum FROM combined WHERE {_YELLOW}
         ORDER BY Count_Sum DESC, Borough LIMIT 3""",
     ),
-    "job_daily_with_mean": ctes.trips(
+    "job_daily_with_mean": ctes.metered(
         f"""SELECT *, round(total) AS mean FROM (
           SELECT CAST(pickup_ts AS DATE) AS tpep_pickup_datetime, count(*) AS count,
                  CAST(sum(count(*)) OVER () AS DOUBLE) / CAST(31 AS DOUBLE) AS total
@@ -212,7 +266,35 @@ SQL = {
           GROUP BY CAST(pickup_ts AS DATE))
         ORDER BY tpep_pickup_datetime"""
     ),
-    "job_fare_per_mile": ctes.trips(
+    "job_daily_with_mean_all": ctes.metered(
+        f"""SELECT taxi_type, day, coalesce(n, 0) AS count, total, round(total) AS mean
+        FROM (SELECT taxi_type, day, n,
+                CAST(sum(n) OVER (PARTITION BY taxi_type) AS DOUBLE) / CAST(31 AS DOUBLE) AS total
+              FROM (SELECT DISTINCT taxi_type FROM trips)
+              CROSS JOIN (SELECT CAST(unnest(generate_series(
+                      DATE '1996-07-01', DATE '1996-07-31', INTERVAL 1 DAY)) AS DATE) AS day)
+              LEFT JOIN (SELECT taxi_type, CAST(pickup_ts AS DATE) AS day, count(*) AS n
+                         FROM trips WHERE {_CLEAN} AND {_within(JULY)} AND airport_fee > 0
+                         GROUP BY ALL) USING (taxi_type, day))
+        ORDER BY taxi_type, day"""
+    ),
+    "job_fare_per_mile_all": ctes.metered(
+        f"""SELECT taxi_type, fare_per_mile, n AS "len(fare_per_mile)",
+          round(sum(fare_per_mile) OVER (PARTITION BY taxi_type) / n, 6) AS avg_fpm
+        FROM (SELECT taxi_type, trip_distance,
+                CASE WHEN trip_distance <> 0 THEN fare_amount / trip_distance END AS fare_per_mile,
+                count(*) OVER (PARTITION BY taxi_type) AS n
+              FROM trips WHERE {_CLEAN} AND {_within(JULY)})
+        WHERE trip_distance > 0"""
+    ),
+    "job_durations_all": ctes.metered(
+        f"""SELECT taxi_type, fare_amount, {_DURATION_TEXT} AS duration,
+          CAST(s AS BIGINT) AS duration_seconds
+        FROM (SELECT taxi_type, fare_amount, date_diff('second', pickup_ts, dropoff_ts) AS s
+              FROM trips WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL
+                AND {_within(JULY)})"""
+    ),
+    "job_fare_per_mile": ctes.metered(
         f"""SELECT fare_per_mile, n AS "len(fare_per_mile)",
           round(sum(fare_per_mile) OVER () / n, 6) AS avg_fpm
         FROM (SELECT trip_distance,
@@ -221,46 +303,32 @@ SQL = {
               FROM trips WHERE {_CLEAN} AND {_YELLOW} AND {_within(JULY)})
         WHERE trip_distance > 0"""
     ),
-    "job_share": ctes.trips(
+    "job_share": ctes.metered(
         f"""SELECT taxi_type, count(*) AS total, {_SINGLES} AS single_total,
           {_PERCENT} AS percentage FROM trips WHERE {_CLEAN} GROUP BY taxi_type"""
     ),
-    "job_share_yellow": ctes.trips(
+    "job_share_yellow": ctes.metered(
         f"""SELECT count(*) AS yellow_total, {_SINGLES} AS yellow_single_total,
           {_PERCENT} AS percentage FROM trips WHERE {_CLEAN} AND {_YELLOW}"""
     ),
-    "job_share_green_compat": ctes.trips(
+    "job_share_green_compat": ctes.metered(
         f"""SELECT count(*) AS green_total, {_SINGLES} AS green_single_total,
-          {_PERCENT} AS percentage FROM trips WHERE {_CLEAN} AND taxi_type = 'green_taxi'"""
+          {_PERCENT} AS percentage FROM trips WHERE {_CLEAN_COMPAT} AND taxi_type = 'green_taxi'"""
     ),
-    "job_durations": ctes.trips(
+    "job_durations": ctes.metered(
         f"""SELECT fare_amount, {_DURATION_TEXT} AS duration,
           CAST(s AS BIGINT) AS duration_seconds
         FROM (SELECT fare_amount, date_diff('second', pickup_ts, dropoff_ts) AS s FROM trips
               WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL
                 AND {_YELLOW} AND {_within(JULY)})"""
     ),
-    "job_top_boroughs_merged": ctes.zoned(
-        f"""SELECT CASE WHEN Pickup_Borough IN {LISTED}
-              THEN Pickup_Borough || '_' || {_COLOUR} ELSE Pickup_Borough END AS Pickup_Borough,
-          count
-        FROM (SELECT taxi_type, Pickup_Borough, count(*) AS count
-              FROM enriched WHERE {_CLEAN} GROUP BY taxi_type, Pickup_Borough
-              QUALIFY row_number() OVER (
-                PARTITION BY taxi_type ORDER BY count(*) DESC, Pickup_Borough NULLS FIRST) <= 5)
-        ORDER BY count"""
+    "job_top_boroughs_merged": ctes.metered_zoned(_merged_sql(_CLEAN)),
+    "job_top_boroughs_merged_compat": ctes.metered_zoned(_merged_sql(_CLEAN_COMPAT)),
+    "job_busiest_month": ctes.metered(
+        _busiest_sql(_CLEAN, f"strftime(first, '%Y-%m') || ' (' || {_COLOUR} || ')'")
     ),
-    "job_busiest_month": ctes.trips(
-        f"""SELECT CASE WHEN month(first) <= {LABELLED_MONTHS[-1]}
-              THEN strftime(first, '%B') || ' (' || {_COLOUR} || ')'
-              ELSE strftime(first, '%Y-%m') END AS month, count
-        FROM (SELECT taxi_type, date_trunc('month', pickup_ts) AS first, count(*) AS count
-              FROM trips WHERE {_CLEAN} AND pickup_ts >= TIMESTAMP '{YEAR[0]}'
-                AND pickup_ts < TIMESTAMP '{YEAR[1]}'
-              GROUP BY taxi_type, date_trunc('month', pickup_ts)
-              QUALIFY row_number() OVER (
-                PARTITION BY taxi_type
-                ORDER BY count(*) DESC, date_trunc('month', pickup_ts)) = 1)"""
+    "job_busiest_month_compat": ctes.metered(
+        _busiest_sql(_CLEAN_COMPAT, f"strftime(first, '%B') || ' (' || {_COLOUR} || ')'")
     ),
     "job_anomaly_bands": """
         SELECT day, count, total, round(total) AS mean,
@@ -272,7 +340,7 @@ SQL = {
         FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS count,
                      CAST(sum(count(*)) OVER () AS DOUBLE) / CAST(31 AS DOUBLE) AS total
               FROM events WHERE event_type = 'purchase' GROUP BY CAST(ts AS DATE))""",
-    "job_share_complement": ctes.trips(
+    "job_share_complement": ctes.metered(
         f"""SELECT taxi_type, count(*) AS total, {_SINGLES} AS single_total,
           {_PERCENT} AS percentage, CAST(100 AS DOUBLE) - {_PERCENT} AS other_percentage
         FROM trips WHERE {_CLEAN} GROUP BY taxi_type"""

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.model import FLEETS, GREEN, YELLOW
-from tripstats.operators import aggregate, enrich
+from tripstats.operators import aggregate, enrich, predicates
 from tripstats.plans import jobs
 from tripstats.registry import ctes
 from tripstats.sources import layout, readers, sample, sinks
 from tripstats.sources.workspace import new_path
 
-MONTH = "1996-07"
+JULY = ("1996-07-01 00:00:00", "1996-08-01 00:00:00")
 
 
 def _written(df: DataFrame, name: str, **how) -> str:
@@ -35,7 +35,9 @@ def csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = {
-        fleet: _written(sample.fleet_feed(spark, sf_dir, fleet), f"schema-{fleet.name}")
+        fleet: _written(
+            sample.fleet_feed(spark, sf_dir, fleet, ids=True), f"schema-{fleet.name}"
+        )
         for fleet in FLEETS
     }
     both = readers.read_trip_csv(spark, list(paths.values()))
@@ -50,8 +52,8 @@ def csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def month_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "trip-table")
-    layout.write_trip_table(sample.trips(spark, sf_dir), path)
-    return layout.read_trip_table(spark, path, MONTH, MONTH)
+    layout.write_trip_table(sample.trips(spark, sf_dir), path, "sample")
+    return predicates.time_range(layout.read_trip_table(spark, path, *JULY), "pickup_ts", *JULY)
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +73,9 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = sample.trips(spark, sf_dir, pickup=True)
     counts = jobs.borough_counts(trips, sample.zones(spark, sf_dir), "pickup")
-    path = _written(counts, "borough-counts", single_file=True)
+    path = _written(
+        counts, "borough-counts", single_file=True, order=["taxi_type", "Pickup_Borough"]
+    )
     table = spark.read.csv(path, header=True, schema=counts.schema, enforceSchema=False)
     files = table.agg(F.countDistinct("_metadata.file_path").alias("files"))
     return aggregate.attach(table, files, files="files")
@@ -93,6 +97,8 @@ SQL = {
     "src_csv_infer": ctes.trips(f"SELECT {ctes.TRIP_COLUMNS} FROM trips"),
     "src_csv_schema": ctes.trips(
         f"""SELECT taxi_type, trip_distance, fare_amount, passenger_count,
+          {ctes.id_as_text('PULocationID')} AS PULocationID,
+          {ctes.id_as_text('DOLocationID')} AS DOLocationID,
           {_YELLOW_ONLY.format('airport_fee')} AS airport_fee,
           {_YELLOW_ONLY.format('pickup_ts')} AS tpep_pickup_datetime,
           {_YELLOW_ONLY.format('dropoff_ts')} AS tpep_dropoff_datetime,
@@ -102,7 +108,7 @@ SQL = {
     ),
     "src_month_pruned": ctes.trips(
         f"""SELECT {ctes.TRIP_COLUMNS}, strftime(pickup_ts, '%Y-%m') AS pickup_month
-        FROM trips WHERE strftime(pickup_ts, '%Y-%m') = '{MONTH}'"""
+        FROM trips WHERE pickup_ts >= TIMESTAMP '{JULY[0]}' AND pickup_ts < TIMESTAMP '{JULY[1]}'"""
     ),
     "src_zone_lookup": ctes.zoned(
         """SELECT Pickup_Borough, Pickup_Zone, Pickup_service_zone, count(*) AS count

@@ -28,10 +28,24 @@ def zone_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_zones(*_zoned(spark, sf_dir, pickup=True, dropoff=True))
 
 
-def _counts_of_both_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: The borough that ``zone_unmatched`` takes out of the lookup.
+WITHOUT_ZONES = "AFRICA"
+
+
+def zone_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips against a lookup that lacks a borough: they stay, with NULL zones."""
     trips, zones = _zoned(spark, sf_dir, pickup=True, dropoff=True)
-    pickups = enrich.count_per_borough(trips, zones, "pickup", label="Borough")
-    dropoffs = enrich.count_per_borough(trips, zones, "dropoff", label="Borough")
+    return enrich.with_zones(trips, zones.filter(F.col("Borough") != WITHOUT_ZONES))
+
+
+def _counts_of_both_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each count asks the trips for its own end only."""
+    pickups = enrich.count_per_borough(
+        *_zoned(spark, sf_dir, pickup=True), "pickup", label="Borough"
+    )
+    dropoffs = enrich.count_per_borough(
+        *_zoned(spark, sf_dir, dropoff=True), "dropoff", label="Borough"
+    )
     return enrich.combine_counts(
         pickups.withColumnRenamed("count", "Pickup_Count"),
         dropoffs.withColumnRenamed("count", "Dropoff_Count"),
@@ -129,6 +143,7 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "join_zone_pickup": zone_pickup,
     "join_zone_both": zone_both,
+    "join_zone_unmatched": zone_unmatched,
     "join_inner_counts": _counts_of_both_roles,
     "fn_add": add_counts,
     "agg_count_pickup": _pickup_counts,
@@ -166,6 +181,14 @@ SQL = {
           Pickup_service_zone FROM enriched"""
     ),
     "join_zone_both": ctes.zoned("SELECT * FROM enriched"),
+    "join_zone_unmatched": ctes.zoned(
+        f"""SELECT t.*, p.Borough AS Pickup_Borough, p.Zone AS Pickup_Zone,
+          p.service_zone AS Pickup_service_zone, d.Borough AS Dropoff_Borough,
+          d.Zone AS Dropoff_Zone, d.service_zone AS Dropoff_service_zone
+        FROM trips t
+        LEFT JOIN zones p ON t.PULocationID = p.LocationID AND p.Borough <> '{WITHOUT_ZONES}'
+        LEFT JOIN zones d ON t.DOLocationID = d.LocationID AND d.Borough <> '{WITHOUT_ZONES}'"""
+    ),
     "join_inner_counts": ctes.zoned_and(_BOTH_ROLES, "SELECT * FROM both_roles"),
     "fn_add": ctes.zoned_and(
         _BOTH_ROLES, "SELECT *, Pickup_Count + Dropoff_Count AS Count_Sum FROM both_roles"

@@ -15,7 +15,7 @@ from tripstats.sources import readers, sample
 
 RANGE = ("2024-01-05 00:00:00", "2024-01-12 23:59:59")
 MID_MONTH = "2024-01-15 12:00:00"
-LISTED = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
+LISTED = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
 def cast_all_string(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,8 @@ def attach_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.unite_fleets(
-        sample.fleet_feed(spark, sf_dir, YELLOW), sample.fleet_feed(spark, sf_dir, GREEN)
+        sample.fleet_feed(spark, sf_dir, YELLOW, ids=True),
+        sample.fleet_feed(spark, sf_dir, GREEN, ids=True),
     )
 
 
@@ -72,8 +73,8 @@ def ts_range_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = predicates.above(sample.trips(spark, sf_dir), "fare_amount", "50")
-    return predicates.below(trips, "trip_distance", "3")
+    trips = predicates.above(sample.trips(spark, sf_dir), "fare_amount", "40000")
+    return predicates.below(trips, "trip_distance", "30")
 
 
 def threshold_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,11 +205,6 @@ _ALL_TEXT = ", ".join(
     f"CAST({name} AS VARCHAR) AS {name}" for name in ctes.TRIP_COLUMNS.split(", ")
 )
 _READABLE = "dropoff_ts <> 'not recorded'"
-# What the text comparison lets through, said in numbers: above -1, within the
-# int range, and not printed with an exponent.
-_PLAIN = (
-    "({0} > -1 AND {0} < 2147483648 AND ({0} = 0 OR abs({0}) BETWEEN 0.001 AND 9999999.999999))"
-)
 _PER_PICKUP = "SELECT taxi_type, Pickup_Borough, count(*) AS count FROM enriched GROUP BY ALL"
 
 SQL = {
@@ -226,8 +222,8 @@ SQL = {
           (SELECT max(fare_amount) FROM trips) AS highest_fare FROM trips"""
     ),
     "prj_normalise_trips": ctes.trips(
-        """SELECT taxi_type, pickup_ts, dropoff_ts, trip_distance, fare_amount,
-          passenger_count,
+        """SELECT taxi_type, pickup_ts, dropoff_ts, PULocationID, DOLocationID,
+          trip_distance, fare_amount, passenger_count,
           CASE WHEN taxi_type = 'yellow_taxi' THEN airport_fee END AS airport_fee
         FROM trips"""
     ),
@@ -241,12 +237,12 @@ SQL = {
                  abs(c_acctbal) * CAST(1500 AS DOUBLE) AS fare_amount
           FROM customer)
         SELECT * FROM scaled
-        WHERE {_PLAIN.format('trip_distance')} AND {_PLAIN.format('fare_amount')}""",
+        WHERE {ctes.PLAIN.format('trip_distance')} AND {ctes.PLAIN.format('fare_amount')}""",
     "flt_ts_range_open": f"""
         SELECT event_id, ts, event_type FROM events
         WHERE ts > TIMESTAMP '{RANGE[0]}' AND ts < TIMESTAMP '{RANGE[1]}'""",
     "flt_threshold": ctes.trips(
-        f"SELECT {ctes.TRIP_COLUMNS} FROM trips WHERE fare_amount > 50 AND trip_distance < 3"
+        f"SELECT {ctes.TRIP_COLUMNS} FROM trips WHERE fare_amount > 40000 AND trip_distance < 30"
     ),
     "flt_threshold_lexical": ctes.trips(
         f"""SELECT {ctes.TRIP_COLUMNS} FROM trips
@@ -266,8 +262,8 @@ SQL = {
     "cleanse_trips_basic": ctes.feed(f"SELECT * FROM feed WHERE {_READABLE}"),
     "cleanse_trips_compat": ctes.feed(
         f"""SELECT {_ALL_TEXT} FROM feed
-        WHERE {_READABLE} AND {_PLAIN.format('trip_distance')}
-          AND {_PLAIN.format('fare_amount')}"""
+        WHERE {_READABLE} AND {ctes.PLAIN.format('trip_distance')}
+          AND {ctes.PLAIN.format('fare_amount')}"""
     ),
     "fn_unix_timestamp": """
         SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS seconds,

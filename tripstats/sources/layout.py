@@ -1,52 +1,66 @@
-"""The trip table on disk: Parquet, partitioned by fleet and pickup month.
+"""The trip table on disk: Parquet, partitioned by load, fleet and pickup month.
 
-A query for one month reads that month's folders only, which replaces choosing
+A load owns a subfolder: ``load=<name>/taxi_type=<tag>/pickup_month=<yyyy-MM>``. Loading
+again under a name replaces that load and nothing else, whatever stray months its files
+hold. A query for a period reads the folders of its months only, which replaces choosing
 monthly files by hand.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.functions.timestamps import month
 from tripstats.model import Fleet
 
+_LOAD_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+
 
-def write_trip_table(trips: DataFrame, path: str) -> None:
-    """Write trips by fleet and month.
+def write_trip_table(trips: DataFrame, path: str, load: str) -> None:
+    """Write trips as one load, by fleet and month.
 
     ``rebalance`` gathers the rows of a partition into few files and lets
     adaptive execution cut a partition that is too large, so a month or a fleet
     with a third of all rows is written by many tasks.
     """
+    if not _LOAD_NAME.fullmatch(load):
+        raise ValueError(f"a load is named by letters, digits, '.', '_' and '-', not {load!r}")
     (
         trips.withColumn("pickup_month", month(trips, "pickup_ts"))
         .hint("rebalance", "taxi_type", "pickup_month")
         .write.mode("overwrite")
         .partitionBy("taxi_type", "pickup_month")
-        .parquet(path)
+        .parquet(f"{path.rstrip('/')}/load={load}")
     )
 
 
-def months_of(period: tuple[str, str]) -> tuple[str, str]:
-    """First and last month of a period, for pruning: ``('2023-07', '2023-07')``."""
-    return period[0][:7], period[1][:7]
+def _month_near(time: str, months: int):
+    """The month of a time, moved; NULL for text that is no time. A constant to Spark, so
+    that folders are pruned by it."""
+    moved = F.add_months(F.lit(time).try_cast("timestamp"), months)
+    return F.date_format(moved, "yyyy-MM")
 
 
 def read_trip_table(
     spark: SparkSession,
     path: str,
-    first_month: str | None = None,
-    last_month: str | None = None,
+    start: str | None = None,
+    end: str | None = None,
     fleet: Fleet | None = None,
 ) -> DataFrame:
-    """Read the trip table, pruned to months ``yyyy-MM`` and to a fleet."""
-    trips = spark.read.parquet(path)
-    if first_month is not None:
-        trips = trips.filter(F.col("pickup_month") >= first_month)
-    if last_month is not None:
-        trips = trips.filter(F.col("pickup_month") <= last_month)
+    """All loads of the trip table, pruned to a fleet and to the months of a period.
+
+    The month folders are those of the session time zone at loading. A month is therefore
+    read on either side of the period, whose exact filter is the caller's.
+    """
+    trips = spark.read.parquet(path).drop("load")
+    if start is not None:
+        trips = trips.filter(F.col("pickup_month") >= F.coalesce(_month_near(start, -1), F.lit("")))
+    if end is not None:
+        trips = trips.filter(F.col("pickup_month") <= F.coalesce(_month_near(end, 1), F.lit("~")))
     if fleet is not None:
         trips = trips.filter(F.col("taxi_type") == fleet.tag)
     return trips

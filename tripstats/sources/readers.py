@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,22 +40,43 @@ def header_schema(header: Sequence[str]) -> T.StructType:
     )
 
 
-def read_trip_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def headers_of(
+    spark: SparkSession, paths: Sequence[str]
+) -> dict[tuple[str, ...], list[str]]:
+    """Paths by header. Runs a small Spark job for each path, so it suits tens of paths."""
+    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path in paths:
+        layouts[csv_header(spark, path)].append(path)
+    return layouts
+
+
+def read_trip_csv(
+    spark: SparkSession,
+    paths: Sequence[str] = (),
+    layouts: Mapping[tuple[str, ...], Sequence[str]] | None = None,
+    keep_corrupt: bool = False,
+) -> DataFrame:
     """Many trip CSV paths as one typed table, without an inference pass.
 
     Paths are grouped by header, each group is read with a schema in its own
     column order, and the groups are united by name. Headers that differ in
-    order, in case or by a column therefore line up. Inside one path all files
+    order, in case or by a column therefore line up. Inside a group all files
     must agree: Spark checks their headers and fails on a difference.
+
+    ``layouts`` declares the groups (header to paths), and no job runs before the table is
+    read; otherwise ``headers_of`` looks at every path. A value that is not of its
+    column's type is NULL; ``keep_corrupt`` adds the column ``_corrupt_record`` with the
+    whole line of such rows.
     """
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        layouts[csv_header(spark, path)].append(path)
     tables = []
-    for header, members in layouts.items():
+    for header, members in (layouts or headers_of(spark, paths)).items():
+        schema = header_schema(header)
+        if keep_corrupt:
+            schema = schema.add("_corrupt_record", T.StringType())
         table = spark.read.csv(
-            members, header=True, schema=header_schema(header), enforceSchema=False
+            list(members), header=True, schema=schema, enforceSchema=False
         )
+        header = schema.names
         tables.append(table.toDF(*[_KNOWN.get(name.lower(), name) for name in header]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 

@@ -11,12 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstats.model import GREEN, TIMESTAMPS, TS_FORMAT, YELLOW, Fleet
-from tripstats.sources.readers import with_fleet_names
+from tripstats.model import GREEN, LOCATION_IDS, TIMESTAMPS, TS_FORMAT, YELLOW, Fleet
+from tripstats.sources.readers import normalise, with_fleet_names
 
 # ---- fixed values -----------------------------------------------------------
-# Ids from here on have no zone, so that unmatched trips occur.
-FIRST_ID_WITHOUT_ZONE = 20
 UNREADABLE_TIME = "not recorded"
 
 SCHEMAS = {
@@ -69,14 +67,40 @@ def _items_with(orders: DataFrame, spark: SparkSession, sf_dir: str) -> DataFram
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def _id_as_text(id_column: Column) -> Column:
+    """A location id as files have it: ``7`` or ``7.0``."""
+    whole = id_column.cast("string")
+    return F.when(F.col("l_linenumber") % 2 == 0, F.concat(whole, F.lit(".0"))).otherwise(whole)
+
+
+def _metered_fare() -> Column:
+    """The price of an item, but now and then its negative, a fraction of a negative unit, or a
+    number so small that it prints with an exponent."""
+    part = F.col("l_partkey") % 11
+    return (
+        F.when(part == 0, -F.col("l_extendedprice"))
+        .when(part == 1, -F.col("l_linenumber") / 8.0)
+        .when(part == 2, F.col("l_linenumber") / 1048576.0)
+        .otherwise(F.col("l_extendedprice"))
+    )
+
+
 def trips(
-    spark: SparkSession, sf_dir: str, pickup: bool = False, dropoff: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    pickup: bool = False,
+    dropoff: bool = False,
+    text_ids: bool = False,
+    dirty: bool = False,
 ) -> DataFrame:
     """The trip view, with the location id of the ends that are asked for.
 
-    Customers join the orders, not the far more numerous items.
+    Customers join the orders, not the far more numerous items. ``text_ids`` gives ids as
+    files have them; ``dirty`` gives fares of ``_metered_fare`` and leaves one dropoff time in
+    thirteen unread, so that cleansing has something to do.
     """
     ids = []
+    as_id = _id_as_text if text_ids else (lambda x: x)
     orders = table(spark, sf_dir, "orders")
     if dropoff:
         customer = table(spark, sf_dir, "customer")
@@ -85,20 +109,35 @@ def trips(
     if pickup:
         supplier = table(spark, sf_dir, "supplier")
         joined = joined.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        ids.append(F.col("s_nationkey").alias("PULocationID"))
+        ids.append(as_id(F.col("s_nationkey")).alias("PULocationID"))
     if dropoff:
-        ids.append(F.col("c_nationkey").alias("DOLocationID"))
-    return joined.select(*_trip_columns(ids))
+        ids.append(as_id(F.col("c_nationkey")).alias("DOLocationID"))
+    columns = _trip_columns(ids)
+    if dirty:
+        read = F.when(F.col("l_partkey") % 13 != 0, F.col("l_shipdate")).alias("dropoff_ts")
+        columns[2] = read
+        columns[-3] = _metered_fare().alias("fare_amount")
+    return joined.select(*columns)
+
+
+def metered(
+    spark: SparkSession, sf_dir: str, pickup: bool = False, dropoff: bool = False
+) -> DataFrame:
+    """Dirty trips as a job gets them from files: ids come as text and are normalised."""
+    raw = trips(spark, sf_dir, pickup, dropoff, text_ids=True, dirty=True)
+    return normalise(raw, YELLOW)
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips as they come from a meter, before cleansing.
 
-    Times are text. Items already delivered have an unreadable dropoff time,
-    returned ones a negative fare.
+    Times are text, fares those of ``_metered_fare``. Items already delivered have an
+    unreadable dropoff time, returned ones a negative fare.
     """
     items = _items_with(table(spark, sf_dir, "orders"), spark, sf_dir)
-    raw = items.select(*_trip_columns([]), "l_returnflag")
+    raw = items.select(
+        *_trip_columns([]), "l_returnflag", _metered_fare().alias("metered_fare")
+    )
     as_text = {name: F.date_format(name, TS_FORMAT) for name in TIMESTAMPS}
     return raw.withColumns(
         {
@@ -108,37 +147,35 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).otherwise(as_text["dropoff_ts"]),
             "fare_amount": F.when(
                 F.col("l_returnflag") == "R", -F.col("fare_amount")
-            ).otherwise(F.col("fare_amount")),
+            ).otherwise(F.col("metered_fare")),
         }
-    ).drop("l_returnflag")
+    ).drop("l_returnflag", "metered_fare")
 
 
-def fleet_feed(spark: SparkSession, sf_dir: str, fleet: Fleet) -> DataFrame:
-    """Trips of one fleet under that fleet's own column names.
+def fleet_feed(
+    spark: SparkSession, sf_dir: str, fleet: Fleet, ids: bool = False
+) -> DataFrame:
+    """Trips of one fleet under that fleet's own column names, on request with ids as text.
 
     Only the yellow fleet reports an airport fee, and the green one puts its
     measures first.
     """
-    own = trips(spark, sf_dir).filter(F.col("taxi_type") == fleet.tag)
+    own = trips(spark, sf_dir, ids, ids, text_ids=True)
+    own = own.filter(F.col("taxi_type") == fleet.tag)
     own = with_fleet_names(own, fleet)
     if fleet == YELLOW:
         return own
     measures = ["trip_distance", "fare_amount", "passenger_count"]
-    return own.select(
-        *measures, "taxi_type", fleet.pickup_column, fleet.dropoff_column
-    )
+    times = [fleet.pickup_column, fleet.dropoff_column]
+    return own.select(*measures, "taxi_type", *times, *(LOCATION_IDS if ids else ()))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone lookup: nations with their regions."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return (
-        nation.filter(F.col("n_nationkey") < FIRST_ID_WITHOUT_ZONE)
-        .join(region, nation["n_regionkey"] == region["r_regionkey"])
-        .select(
-            F.col("n_nationkey").alias("LocationID"),
-            F.col("r_name").alias("Borough"),
-            F.col("n_name").alias("Zone"),
-            F.concat(F.lit("zone_"), F.col("r_regionkey")).alias("service_zone"),
-        )
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
+        F.col("n_nationkey").alias("LocationID"),
+        F.col("r_name").alias("Borough"),
+        F.col("n_name").alias("Zone"),
+        F.concat(F.lit("zone_"), F.col("r_regionkey")).alias("service_zone"),
     )

@@ -14,16 +14,22 @@ def stamped(base: str, name: str, at: datetime | None = None) -> str:
 
 
 def write_csv(
-    df: DataFrame, path: str, single_file: bool = False, by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    single_file: bool = False,
+    by: Sequence[str] = (),
+    order: Sequence[str] = (),
 ) -> None:
     """Write a CSV folder with headers, replacing what is there.
 
     ``by`` names columns that become one subfolder per value.
 
-    ``single_file`` runs the last stage as one task. It is for results that are
-    small by nature (per borough, per day, per month); row-level results stay
-    spread over the tasks that made them.
+    ``single_file`` is for results that are small by nature (per borough, per day, per
+    month): their finished rows, no others, are sent to one task, which sorts them by
+    ``order``. Row-level results stay spread over the tasks that made them.
     """
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)
+        if order:
+            df = df.sortWithinPartitions(*order)
     df.write.mode("overwrite").option("header", True).partitionBy(*by).csv(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from functools import cache
 from uuid import uuid4
@@ -11,7 +13,10 @@ from pyspark.sql import SparkSession
 
 @cache
 def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="tripstats-")
+    """A folder of one local session; it goes when the program ends."""
+    folder = tempfile.mkdtemp(prefix="tripstats-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
