@@ -2,7 +2,7 @@
 
 from corpus_frames import documents, odd_documents
 
-from tripstats.llm.exact import deduplicated, exact_duplicates
+from tripstats.llm.exact import deduplicated, exact_duplicates, winners
 
 
 def test_longest_then_least_id_stays(spark):
@@ -50,6 +50,10 @@ def test_whole_rows_stay(spark):
 
 
 def test_native_and_pre_aggregated(spark):
-    plan = exact_duplicates(documents(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
-    assert plan.count("HashAggregate") >= 4
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    docs = documents(spark, ["a"])
+    for df in (exact_duplicates(docs), winners(docs), deduplicated(docs)):
+        assert not any(x in plan(df) for x in ("Python", "Pandas", "Arrow"))
+    assert plan(winners(docs)).count("HashAggregate") >= 4

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripstats.llm.groups import written
+
 WHITE_SPACE = r"[\x20\x09-\x0D]"
 SALTS = 8
 # A rank is n_chars * SCALE - doc_id: the largest is the longest text, then the smallest id.
@@ -75,7 +77,7 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     return (
         _prepared(docs)
         .select("doc_id", "digest", "n_chars")
-        .join(_readable(winners(docs, salts)), "digest")
+        .join(_settled(docs, salts), "digest")
         .select(
             "doc_id",
             keep_id.alias("keep_id"),
@@ -86,6 +88,12 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     )
 
 
+def _settled(docs: DataFrame, salts: int) -> DataFrame:
+    """The winners as a written table. A join with a table has an exchange of its own on
+    either side, so adaptive execution can split the rows of a hot digest."""
+    return _readable(written(winners(docs, salts), "winners"))
+
+
 def _readable(best: DataFrame) -> DataFrame:
     """The ranks of winners taken apart into length and id."""
     rounded = f"(best + cast('{HALF}' as decimal(20,0))) div cast('{SCALE}' as decimal(21,0))"
@@ -115,4 +123,4 @@ def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         row,
     )
     _, stays = _decided()
-    return rows.join(_readable(winners(docs, salts)), "digest").filter(stays).select("row.*")
+    return rows.join(_settled(docs, salts), "digest").filter(stays).select("row.*")
