@@ -45,7 +45,7 @@ _RUN_FROM_AT = re.compile(r"[A-Za-z0-9._%+@-]*")
 # Terms are runs of ASCII letters and of anything beyond ASCII; ASCII letters fold to small.
 _BYTES = np.arange(256)
 _LETTER = (_BYTES >= 128) | ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122)
-_FOLD = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES)
+_FOLD = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 _SHORTEST = 3
 
 
