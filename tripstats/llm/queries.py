@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripstats.llm import (
     exact,
     grammar,
+    importance,
     jaccard,
     language,
     mixing,
@@ -126,6 +127,13 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(*preference.pairs_of(conversations)).drop("text")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight towards the benchmark's texts and its rank in the draw."""
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = importance.resample(_documents(spark, sf_dir), target)
+    return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 QUERIES = {
     "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_fixed_block_anchors": op2_fixed_block_anchors,
@@ -137,8 +145,10 @@ QUERIES = {
     "op8_bounded_best_fit": op8_bounded_best_fit,
     "op9_repair_tokens": op9_repair_tokens,
     "op10_preference_format": op10_preference_format,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
+
 def _level_sql(depth: int) -> str:
     """CTEs that grant the nodes of one level their tokens."""
     keys, parents = mixing.LEVELS[: depth + 1], mixing.LEVELS[:depth]
