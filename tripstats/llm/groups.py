@@ -21,6 +21,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df as a written table with ``number``: 0, 1, 2 and so on in the order of its partitions
+    and of the rows in each.
+
+    No task sees all rows: a row's place in its partition is written with it, and how many rows
+    lie in the partitions before, a number for each partition, is added when it is read.
+    """
+    placed = df.withColumn("number", F.monotonically_increasing_id())  # partition, place in it
+    table = written(placed, name)
+    part, place = F.shiftright("number", 33), F.col("number").bitwiseAND((1 << 33) - 1)
+    sizes = table.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    starts, total = [], 0
+    for x in sorted(sizes):
+        starts.append((x.part, total))
+        total += x.n
+    before = df.sparkSession.createDataFrame(starts, "part long, before long")
+    rows = table.withColumn("part", part).join(F.broadcast(before), "part")
+    return rows.select(*df.columns, (F.col("before") + place).alias("number"))
+
+
 def tiled(members: DataFrame, group: str, size: str, member: str, block: int = BLOCK) -> DataFrame:
     """Rows of a group dealt to tiles so that every two rows of it meet in some tile.
 

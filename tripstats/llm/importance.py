@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstats.llm.arrays import text_slices
-from tripstats.llm.groups import written
+from tripstats.llm.groups import numbered, written
 
 LONGEST = 3
 BUCKETS = 10_000
@@ -181,36 +181,15 @@ def resample(
     A slice of texts takes some 100 bytes a word on the way, and so does a single text
     above the slice bound.
     """
-    spark = docs.sparkSession
     rows = with_score(weighted(docs, gains(docs, target, buckets)), seed)
     able = (F.col("n_words") >= min_words).alias("able")
     order = [F.desc("able"), F.desc("score"), F.asc_nulls_last("doc_id")]
     ties = [F.asc("n_words"), F.asc("n_features")]
     rows = written(rows.withColumn("able", able), "weighted")
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order, *ties)
-    # the range in the high bits, the place in it in the lower 33
-    ranked = written(placed.withColumn("place", F.monotonically_increasing_id()), "ranked")
-    in_range = F.shiftright("place", 33)
-    ranges = ranked.groupBy(in_range.alias("range")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("able").alias("n_able")
-    )
-    sizes = sorted(ranges.collect())  # a row for each range
-    drawn = percent * sum(x.n_able for x in sizes) // 100
-    before, total = [], 0
-    for x in sizes:
-        before.append((x.range, total))
-        total += x.n
-    starts = spark.createDataFrame(before, "range long, before long")
-    place = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1) + 1
-    return (
-        ranked.withColumn("range", in_range)
-        .join(F.broadcast(starts), "range")
-        .select(
-            "doc_id",
-            "n_words",
-            "n_features",
-            "weight",
-            "score",
-            F.when(F.col("able") & (place <= drawn), place).alias("rank"),
-        )
+    ranked = numbered(placed, "ranked")
+    drawn = F.lit(percent * rows.filter("able").count() // 100)
+    rank = F.when(F.col("able") & (F.col("number") < drawn), F.col("number") + 1)
+    return ranked.select(
+        "doc_id", "n_words", "n_features", "weight", "score", rank.alias("rank")
     )

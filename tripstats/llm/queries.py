@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.llm import (
+    collocations,
     exact,
     grammar,
     importance,
@@ -134,6 +135,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closest phrases of each language."""
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_fixed_block_anchors": op2_fixed_block_anchors,
@@ -146,6 +152,7 @@ QUERIES = {
     "op9_repair_tokens": op9_repair_tokens,
     "op10_preference_format": op10_preference_format,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_phrase_collocations": op12_phrase_collocations,
 }
 
 
@@ -313,4 +320,38 @@ SQL = {
                 ELSE length(concat(text, '<|im_end|>', chr(10))) END AS BIGINT) AS learn_from
         FROM r
     """,
+    "op12_phrase_collocations": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        one AS (SELECT lang, unnest(ws) AS x FROM w),
+        total AS (SELECT lang, count(*) AS n FROM one GROUP BY lang),
+        grams AS (
+            SELECT lang, unnest([ws[i:i + 1] FOR i IN generate_series(1, len(ws) - 1)]) AS ws FROM w
+            UNION ALL
+            SELECT lang, unnest([ws[i:i + 2] FOR i IN generate_series(1, len(ws) - 2)]) AS ws FROM w
+            UNION ALL
+            SELECT lang, [x] FROM one),
+        f AS MATERIALIZED (
+            SELECT lang, ws, array_to_string(ws, ' ') AS phrase, count(*) AS a FROM grams GROUP BY lang, ws HAVING count(*) >= 10),
+        cuts AS (
+            SELECT f.*, k, l.a AS l, r.a AS r,
+                1000000::HUGEINT * f.a * f.a // (l.a::HUGEINT * r.a) AS score
+            FROM (SELECT *, unnest(generate_series(1, len(ws) - 1)) AS k FROM f WHERE len(ws) > 1) f
+            JOIN f l ON l.lang = f.lang AND l.ws = f.ws[1:k]
+            JOIN f r ON r.lang = f.lang AND r.ws = f.ws[k + 1:]),
+        low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, part, max(a) AS most
+            FROM (SELECT lang, unnest([ws[1:2], ws[2:3]]) AS part, a FROM f WHERE len(ws) = 3) GROUP BY lang, part),
+        best AS (
+            SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM low LEFT JOIN longer ON longer.lang = low.lang AND longer.part = low.ws
+            WHERE most IS NULL OR 100 * most < 50 * a)
+        SELECT lang, rank, phrase, a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+        FROM best JOIN total USING (lang) WHERE rank <= 2000
+    """,
 }
