@@ -18,6 +18,7 @@ from tripstats.llm import (
     quality,
     repeats,
     sanitise,
+    substrings,
 )
 from tripstats.sources.workspace import new_path
 
@@ -140,6 +141,15 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 200 bytes that begin anywhere else too."""
+    found = substrings.remove_substrings(_documents(spark, sf_dir))
+    n_spans, kept = F.size("repeats").cast("long"), F.sha2("kept", 256)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", n_spans.alias("n_spans"), kept.alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_hierarchical_mix": op1_hierarchical_mix,
     "op2_fixed_block_anchors": op2_fixed_block_anchors,
@@ -153,6 +163,7 @@ QUERIES = {
     "op10_preference_format": op10_preference_format,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 
@@ -320,6 +331,28 @@ SQL = {
                 ELSE length(concat(text, '<|im_end|>', chr(10))) END AS BIGINT) AS learn_from
         FROM r
     """,
+    "op13_suffix_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS d, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        p AS (SELECT d, unnest(generate_series(1, len(x) // 2 - 199)) AS i FROM d WHERE len(x) >= 400),
+        h AS MATERIALIZED (SELECT d, i, md5_number(substr(x, 2 * i - 1, 400)) AS w FROM p JOIN d USING (d)),
+        twice AS (SELECT w FROM h GROUP BY w HAVING count(*) > 1),
+        hit AS (SELECT d, i, lag(i) OVER (PARTITION BY d ORDER BY i) AS before FROM h SEMI JOIN twice USING (w)),
+        runs AS (
+            SELECT d, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY d ORDER BY i) AS run
+            FROM hit),
+        span AS (SELECT d, run, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY d, run),
+        gaps AS (
+            SELECT d, a, b, coalesce(lag(b) OVER (PARTITION BY d ORDER BY a), 1) AS upto FROM span),
+        kept AS (
+            SELECT d, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS upto,
+                string_agg(substr(x, 2 * upto - 1, 2 * (a - upto)), '' ORDER BY a) AS x
+            FROM gaps JOIN d USING (d) GROUP BY d)
+        SELECT doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            coalesce(n_spans, 0) AS n_spans,
+            sha256(unhex(CASE WHEN kept.d IS NULL THEN d.x ELSE kept.x || substr(d.x, 2 * upto - 1) END)) AS kept_sha256
+        FROM d LEFT JOIN kept USING (d)
+    """,
     "op12_phrase_collocations": r"""
         WITH d AS (
             SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
