@@ -5,6 +5,7 @@ import re
 import pytest
 
 from tripstats import registry
+from tripstats.model import YELLOW
 from tripstats.operators import enrich
 from tripstats.plans import jobs
 from tripstats.registry.analyses import JULY
@@ -91,3 +92,17 @@ def test_top_k_does_not_sort_everything(spark):
 def test_top_k_per_group_limits_before_the_shuffle(spark):
     plan = planned(registry.QUERIES["topk_per_group"](spark, SF_DIR))
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("fleet", [None, YELLOW])
+def test_mean_fare_shuffles_no_trip_row(spark, tmp_path, fleet):
+    """Above the trips' own rows stand filters and projections; only the means' partial sums
+    are exchanged, in the subquery."""
+    path = str(tmp_path / "trips")
+    sample.trips(spark, SF_DIR).write.parquet(path)
+    df = jobs.fare_per_mile(spark.read.parquet(path), JULY, fleet=fleet)
+    assert df.count() > 0
+    main, *subqueries = df._jdf.queryExecution().executedPlan().toString().split("Subquery subquery#")
+    above = main[: main.index("FileScan")] if "FileScan" in main else main
+    assert "Exchange" not in above and "Join" not in above
+    assert any("partial_" in x for x in subqueries)

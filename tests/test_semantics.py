@@ -424,3 +424,29 @@ def test_wall_clock_timestamps_are_the_same(spark):
     plain = df.withColumn("pickup_ts", F.col("pickup_ts").cast("timestamp_ntz"))
     for table in (df, plain):
         assert predicates.time_range(table, "pickup_ts", *DAY, closed="neither").count() == 1
+
+
+def test_a_year_names_all_its_months(any_ansi):
+    df = trips(
+        any_ansi,
+        {"pickup_ts": "1997-11-01 08:00:00"},
+        {"pickup_ts": "1997-10-01 08:00:00", "taxi_type": "green_taxi"},
+    )
+    for mode in ("typed", "compat"):
+        named = jobs.busiest_month(df, year=1997, mode=mode)
+        assert rows(named) == [("November (Yellow)", 1), ("October (Green)", 1)]
+    assert rows(jobs.busiest_month(df, year=1998)) == [("1997-11", 1), ("1997-10", 1)]
+
+
+def test_mean_fare_of_every_fleet_without_moved_or_named_trips(any_ansi):
+    """A fleet whose trips all stood still has no rows; trips of no fleet have none either."""
+    df = trips(
+        any_ansi,
+        {"pickup_ts": "2023-03-02 10:00:00", "trip_distance": 0.0},
+        {"pickup_ts": "2023-03-02 10:00:00", "trip_distance": 2.0, "taxi_type": None},
+        {"pickup_ts": "2023-03-02 10:00:00", "fare_amount": 9.0, "trip_distance": 1.0, "taxi_type": "green_taxi"},
+        {"pickup_ts": "2023-03-02 10:00:00", "trip_distance": 0.0, "taxi_type": "green_taxi"},
+    )
+    assert rows(jobs.fare_per_mile(df)) == [("green_taxi", 9.0, 2, 4.5)]
+    assert rows(jobs.fare_per_mile(df, denominator="valid")) == [("green_taxi", 9.0, 1, 9.0)]
+    assert rows(jobs.fare_per_mile(df.limit(0))) == []

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstats.model import COMPAT, FLEETS, TYPED, YELLOW, Fleet
+from tripstats.model import COMPAT, FLEETS, TYPED, Fleet
 from tripstats.plans import jobs
 from tripstats.session import session
 from tripstats.sources import layout, readers, sinks
@@ -109,21 +109,28 @@ def _top_combined(inputs: Inputs) -> Iterator[Result]:
 
 
 def _daily_with_mean(inputs: Inputs) -> Iterator[Result]:
-    period = inputs.period(jobs.JULY)
-    table = jobs.daily_with_mean(
-        inputs.trips(YELLOW, period),
-        period,
-        divisor=inputs.args.days,
-        fleet=YELLOW,
-        mode=inputs.args.mode,
-        every_day=inputs.args.every_day,
-    )
-    yield "daily_yellow", table, [YELLOW.pickup_column]
+    """A table for every fleet whose trips have the fee."""
+    period, fee = inputs.period(jobs.JULY), inputs.args.fee
+    trips = {fleet: inputs.trips(fleet, period) for fleet in inputs.fleets}
+    having = {fleet: df for fleet, df in trips.items() if fee in df.columns}
+    if not having:
+        raise SystemExit(f"no trips with a column {fee}")
+    for fleet, df in having.items():
+        table = jobs.daily_with_mean(
+            df,
+            period,
+            fee,
+            divisor=inputs.args.days,
+            fleet=fleet,
+            mode=inputs.args.mode,
+            every_day=inputs.args.every_day,
+        )
+        yield f"daily_{fleet.name}", table, [fleet.pickup_column]
 
 
 def _anomalies(inputs: Inputs) -> Iterator[Result]:
-    for _, daily, order in _daily_with_mean(inputs):
-        yield "anomalies_yellow", jobs.anomaly_bands(daily), order
+    for name, daily, order in _daily_with_mean(inputs):
+        yield name.replace("daily", "anomalies"), jobs.anomaly_bands(daily), order
 
 
 def _fare_per_mile(inputs: Inputs) -> Iterator[Result]:
@@ -192,15 +199,19 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--mode", choices=[TYPED, COMPAT], default=TYPED)
     parser.add_argument("--start", help="first time of the period, yyyy-MM-dd HH:mm:ss")
     parser.add_argument("--end", help="end of the period")
+    parser.add_argument("--fee", default="airport_fee", help="surcharge that daily means count")
     parser.add_argument("--days", type=int, help="divisor of daily means, if not the period's days")
     parser.add_argument("--every-day", action="store_true", help="list days without trips too")
     parser.add_argument("--listed", nargs="*", help="only these boroughs get a fleet suffix")
-    parser.add_argument("--year", type=int, help="year of the months that get a name")
-    parser.add_argument("--months", type=int, nargs="*", help="months that get a name")
+    parser.add_argument("--year", type=int, help="year whose months get a name")
+    parser.add_argument("--months", type=int, nargs="*", help="only these months get a name")
     parser.add_argument("--load", default="all", help="name of the load that 'load' writes")
     parser.add_argument(
         "--same-header", action="store_true", help="all paths of a fleet have the header of its first"
     )
+    parser.add_argument(
+        "--drop-replaced", action="store_true", help="after 'load', delete what it replaced"
+    )
     parser.add_argument("--preview", action="store_true", help="print schema and first rows")
     parser.add_argument("-k", type=int, default=jobs.TOP_BOROUGHS)
     return parser.parse_args(argv)
@@ -211,6 +222,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     inputs = Inputs(spark, args)
     if args.job == "load":
         layout.write_trip_table(inputs.all_trips(), args.out, args.load)
+        if args.drop_replaced:
+            layout.drop_replaced(spark, args.out)
         return [args.out]
     written = []
     for name, table, order in JOBS[args.job](inputs):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,3 +61,20 @@ def attach(df: DataFrame, one_row: DataFrame, **columns: str) -> DataFrame:
         F.struct(*[F.col(source).alias(name) for name, source in columns.items()])
     ).scalar()
     return df.select("*", *[row.getField(name).alias(name) for name in columns])
+
+
+def attach_by_key(
+    df: DataFrame, summary: DataFrame, key: str, value: str, names: Sequence[str]
+) -> DataFrame:
+    """Put the fields of a struct per key on every row of that key; other rows drop.
+
+    ``summary`` has a row for each of a few keys. It becomes one map, and the map a scalar
+    subquery, so the rows meet their values without a shuffle, whatever share a key has.
+    """
+    pairs = F.collect_list(F.struct(key, value))
+    of_key = summary.filter(F.col(key).isNotNull()).select(F.map_from_entries(pairs)).scalar()
+    fields = F.element_at(of_key, F.col(key))
+    known = df.filter(F.col(key).isNotNull())
+    # by place, as the struct's own names may be those of expressions
+    inner = summary.schema[value].dataType.names
+    return known.select("*", *(fields.getField(x).alias(n) for x, n in zip(inner, names)))

@@ -200,7 +200,7 @@ def fare_per_mile(
 
     ``denominator="all"`` divides by every trip of the period, also by those
     that did not move; ``"valid"`` by the ones that did. Without ``fleet`` every fleet has
-    a mean of its own.
+    a mean of its own; the trips of no fleet are left out. Trip rows are never shuffled.
     """
     means = {"all": aggregate.mean_over_all_rows, "valid": aggregate.mean_over_valid_rows}
     trips = predicates.time_range(
@@ -213,14 +213,14 @@ def fare_per_mile(
     )
     moved = distance > 0
     length = F.count(F.lit(1)) if denominator == "all" else F.count_if(moved)
-    summary = trips.groupBy(*by).agg(
-        length.alias("len(fare_per_mile)"), means[denominator](ratio, moved).alias("avg_fpm")
-    )
+    mean = means[denominator](ratio, moved)
+    names = ("len(fare_per_mile)", "avg_fpm")
     rows = trips.filter(moved).select(*by, ratio.alias("fare_per_mile"))
     if by:
-        return rows.join(summary, by)
-    own = {name: name for name in ("len(fare_per_mile)", "avg_fpm")}
-    return aggregate.attach(rows, summary, **own)
+        summary = trips.groupBy(*by).agg(F.struct(length, mean).alias("of_fleet"))
+        return aggregate.attach_by_key(rows, summary, "taxi_type", "of_fleet", names)
+    summary = trips.agg(length.alias(names[0]), mean.alias(names[1]))
+    return aggregate.attach(rows, summary, **{name: name for name in names})
 
 
 def share(
@@ -311,13 +311,17 @@ def busiest_month(
 ) -> DataFrame:
     """The month with the most trips of every fleet.
 
-    ``period`` (half-open) keeps stray dates of other years out. With ``year`` or
-    ``months`` the months of that list are named, others keep their text; compat mode
-    always has a list. Otherwise every month is ``yyyy-MM`` with its fleet.
+    ``period`` (half-open) keeps stray dates of other years out. With ``year`` the months of
+    that year are named, with ``months`` only those of the list; others keep their text.
+    Compat mode without either has a fixed list. Otherwise every month is ``yyyy-MM`` with
+    its fleet.
     """
-    if mode == COMPAT or year is not None or months is not None:
-        year = labels.LABELLED_YEAR if year is None else year
-        months = labels.LABELLED_MONTHS if months is None else months
+    if year is not None and months is None:
+        months = range(1, 13)
+    elif mode == COMPAT and months is None:
+        months = labels.LABELLED_MONTHS
+    if months is not None and year is None:
+        year = labels.LABELLED_YEAR
     trips = _clean(trips, None, mode)
     if period is not None:
         trips = predicates.time_range(trips, "pickup_ts", *period)

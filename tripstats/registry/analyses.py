@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstats.functions import timestamps
 from tripstats.model import COMPAT, GREEN, YELLOW
-from tripstats.operators import aggregate
 from tripstats.plans import jobs
 from tripstats.registry import ctes
 from tripstats.sources import sample
@@ -118,14 +116,18 @@ def busiest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.busiest_month(sample.metered(spark, sf_dir), YEAR)
 
 
+def busiest_month_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months of a year named."""
+    return jobs.busiest_month(sample.metered(spark, sf_dir), YEAR, 1996)
+
+
 def busiest_month_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.busiest_month(sample.metered(spark, sf_dir), YEAR, 1996, MONTHS, COMPAT)
 
 
 def anomaly_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = sample.table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
-    daily = aggregate.count_by(events, timestamps.day(events, "ts").alias("day"))
-    return jobs.anomaly_bands(jobs.with_daily_mean(daily, 31))
+    """Days of every fleet that stray from its mean, days without trips included."""
+    return jobs.anomaly_bands(daily_with_mean_all(spark, sf_dir))
 
 
 def share_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +156,7 @@ QUERIES = {
     "job_top_boroughs_merged": top_boroughs_merged,
     "job_top_boroughs_merged_compat": top_boroughs_merged_compat,
     "job_busiest_month": busiest_month,
+    "job_busiest_month_named": busiest_month_named,
     "job_busiest_month_compat": busiest_month_compat,
     "job_anomaly_bands": anomaly_bands,
     "job_share_complement": share_complement,
@@ -164,6 +167,10 @@ def _within(period: tuple[str, str]) -> str:
     return f"pickup_ts > TIMESTAMP '{period[0]}' AND pickup_ts < TIMESTAMP '{period[1]}'"
 
 
+_DAYS_OF_JULY = (
+    f"generate_series(DATE '{JULY[0][:10]}', DATE '{JULY[1][:10]}', INTERVAL 1 DAY)"
+)
+_JULY_DIVISOR = f"CAST(len({_DAYS_OF_JULY}) AS DOUBLE)"
 _CLEAN = (
     "pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL "
     "AND trip_distance >= 0 AND fare_amount >= 0"
@@ -220,6 +227,15 @@ def _busiest_sql(clean: str, label: str) -> str:
                 ORDER BY count(*) DESC, date_trunc('month', pickup_ts)) = 1)"""
 
 
+_DAILY_SQL = f"""SELECT taxi_type, day, coalesce(n, 0) AS count, total, round(total) AS mean
+        FROM (SELECT taxi_type, day, n,
+                CAST(sum(n) OVER (PARTITION BY taxi_type) AS DOUBLE) / {_JULY_DIVISOR} AS total
+              FROM (SELECT DISTINCT taxi_type FROM trips)
+              CROSS JOIN (SELECT CAST(unnest({_DAYS_OF_JULY}) AS DATE) AS day)
+              LEFT JOIN (SELECT taxi_type, CAST(pickup_ts AS DATE) AS day, count(*) AS n
+                         FROM trips WHERE {_CLEAN} AND {_within(JULY)} AND airport_fee > 0
+                         GROUP BY ALL) USING (taxi_type, day))"""
+
 SQL = {
     "job_enrich_trips": ctes.metered_zoned(
         "SELECT * FROM enriched WHERE pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL"
@@ -261,23 +277,12 @@ SQL = {
     "job_daily_with_mean": ctes.metered(
         f"""SELECT *, round(total) AS mean FROM (
           SELECT CAST(pickup_ts AS DATE) AS tpep_pickup_datetime, count(*) AS count,
-                 CAST(sum(count(*)) OVER () AS DOUBLE) / CAST(31 AS DOUBLE) AS total
+                 CAST(sum(count(*)) OVER () AS DOUBLE) / {_JULY_DIVISOR} AS total
           FROM trips WHERE {_CLEAN} AND {_YELLOW} AND {_within(JULY)} AND airport_fee > 0
           GROUP BY CAST(pickup_ts AS DATE))
         ORDER BY tpep_pickup_datetime"""
     ),
-    "job_daily_with_mean_all": ctes.metered(
-        f"""SELECT taxi_type, day, coalesce(n, 0) AS count, total, round(total) AS mean
-        FROM (SELECT taxi_type, day, n,
-                CAST(sum(n) OVER (PARTITION BY taxi_type) AS DOUBLE) / CAST(31 AS DOUBLE) AS total
-              FROM (SELECT DISTINCT taxi_type FROM trips)
-              CROSS JOIN (SELECT CAST(unnest(generate_series(
-                      DATE '1996-07-01', DATE '1996-07-31', INTERVAL 1 DAY)) AS DATE) AS day)
-              LEFT JOIN (SELECT taxi_type, CAST(pickup_ts AS DATE) AS day, count(*) AS n
-                         FROM trips WHERE {_CLEAN} AND {_within(JULY)} AND airport_fee > 0
-                         GROUP BY ALL) USING (taxi_type, day))
-        ORDER BY taxi_type, day"""
-    ),
+    "job_daily_with_mean_all": ctes.metered(f"{_DAILY_SQL} ORDER BY taxi_type, day"),
     "job_fare_per_mile_all": ctes.metered(
         f"""SELECT taxi_type, fare_per_mile, n AS "len(fare_per_mile)",
           round(sum(fare_per_mile) OVER (PARTITION BY taxi_type) / n, 6) AS avg_fpm
@@ -327,19 +332,20 @@ SQL = {
     "job_busiest_month": ctes.metered(
         _busiest_sql(_CLEAN, f"strftime(first, '%Y-%m') || ' (' || {_COLOUR} || ')'")
     ),
+    "job_busiest_month_named": ctes.metered(
+        _busiest_sql(_CLEAN, f"strftime(first, '%B') || ' (' || {_COLOUR} || ')'")
+    ),
     "job_busiest_month_compat": ctes.metered(
         _busiest_sql(_CLEAN_COMPAT, f"strftime(first, '%B') || ' (' || {_COLOUR} || ')'")
     ),
-    "job_anomaly_bands": """
-        SELECT day, count, total, round(total) AS mean,
-               total * CAST(0.8 AS DOUBLE) AS low_band,
+    "job_anomaly_bands": ctes.metered(
+        f"""SELECT *, total * CAST(0.8 AS DOUBLE) AS low_band,
                total * CAST(1.2 AS DOUBLE) AS high_band,
                CASE WHEN count < total * CAST(0.8 AS DOUBLE) THEN 'low'
                     WHEN count > total * CAST(1.2 AS DOUBLE) THEN 'high'
                     ELSE 'normal' END AS flag
-        FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS count,
-                     CAST(sum(count(*)) OVER () AS DOUBLE) / CAST(31 AS DOUBLE) AS total
-              FROM events WHERE event_type = 'purchase' GROUP BY CAST(ts AS DATE))""",
+        FROM ({_DAILY_SQL}) ORDER BY taxi_type, day"""
+    ),
     "job_share_complement": ctes.metered(
         f"""SELECT taxi_type, count(*) AS total, {_SINGLES} AS single_total,
           {_PERCENT} AS percentage, CAST(100 AS DOUBLE) - {_PERCENT} AS other_percentage

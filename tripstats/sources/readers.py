@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import csv
+import re
+from collections import Counter, defaultdict
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,17 @@ def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.csv(path, header=True).columns)
 
 
+def header_names(line: str) -> tuple[str, ...]:
+    """The names in a header line, as Spark's CSV reader gives them: an empty name is ``_c`` and
+    its place, and names that differ at most in case get their place added."""
+    names = next(csv.reader([line], escapechar="\\", doublequote=False))
+    times = Counter(name.lower() for name in names)
+    return tuple(
+        f"_c{i}" if not name else f"{name}{i}" if times[name.lower()] > 1 else name
+        for i, name in enumerate(names)
+    )
+
+
 def header_schema(header: Sequence[str]) -> T.StructType:
     """A schema in the order of a header: known columns typed, the others text."""
     return T.StructType(
@@ -40,14 +54,50 @@ def header_schema(header: Sequence[str]) -> T.StructType:
     )
 
 
+def _first_lines(spark: SparkSession, lines: DataFrame) -> list:
+    """The first line of every file of a text scan, in one job.
+
+    Every file is one task, which ends after the first rows it gets, so a file of any size
+    costs as much as a small one.
+    """
+
+    def first(batches):
+        for batch in batches:
+            for i, value in enumerate(batch["value"]):
+                if value.as_py().strip():
+                    yield batch.slice(i, 1)
+                    return
+
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: spark.conf.get(key) for key in sizes}
+    try:
+        for key in sizes:
+            spark.conf.set(key, str(1 << 50))
+        rows = lines.mapInArrow(first, lines.schema)
+        return rows.filter("file_block_start = 0").select("file_path", "value").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def headers_of(
     spark: SparkSession, paths: Sequence[str]
 ) -> dict[tuple[str, ...], list[str]]:
-    """Paths by header. Runs a small Spark job for each path, so it suits tens of paths."""
+    """The files under all paths by header, found in one job; files without a line are left
+    out."""
+    columns = ["_metadata.file_path", "_metadata.file_block_start", "value"]
+    lines = spark.read.text(list(paths)).select(*columns)
+    found = {row.file_path: row.value for row in _first_lines(spark, lines)}
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        layouts[csv_header(spark, path)].append(path)
-    return layouts
+    for line in dict.fromkeys(found.values()):
+        files = sorted(file for file, own in found.items() if own == line)
+        layouts[header_names(line)] += [_as_path(file) for file in files]
+    return dict(layouts)
+
+
+def _as_path(uri: str) -> str:
+    """A file's URI as a path for a reader, in which it stands for itself alone."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", unquote(uri))
 
 
 def read_trip_csv(
@@ -58,18 +108,21 @@ def read_trip_csv(
 ) -> DataFrame:
     """Many trip CSV paths as one typed table, without an inference pass.
 
-    Paths are grouped by header, each group is read with a schema in its own
+    Files are grouped by header, each group is read with a schema in its own
     column order, and the groups are united by name. Headers that differ in
-    order, in case or by a column therefore line up. Inside a group all files
-    must agree: Spark checks their headers and fails on a difference.
+    order, in case or by a column therefore line up, also inside one path.
 
     ``layouts`` declares the groups (header to paths), and no job runs before the table is
-    read; otherwise ``headers_of`` looks at every path. A value that is not of its
+    read; Spark checks the headers of their files and fails on a difference. Otherwise one
+    job, ``headers_of``, looks at the first line of every file. A value that is not of its
     column's type is NULL; ``keep_corrupt`` adds the column ``_corrupt_record`` with the
     whole line of such rows.
     """
     tables = []
-    for header, members in (layouts or headers_of(spark, paths)).items():
+    layouts = layouts or headers_of(spark, paths)
+    if not layouts:
+        raise ValueError("no file has a header")
+    for header, members in layouts.items():
         schema = header_schema(header)
         if keep_corrupt:
             schema = schema.add("_corrupt_record", T.StringType())
