@@ -35,6 +35,34 @@ def test_pieces_encode_as_whole_texts(name, monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == plain_ids(name, texts)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_marks_after_every_code_point(name):
+    """Also after those that a vocabulary folds into a letter and a mark."""
+    points = [chr(c) for c in range(0x21, 0x30000) if not 0xD800 <= c < 0xE000]
+    encoder, bad = tokens.Encoder(name), []
+    for form in ("{}.", "ax{},", " {}. b"):
+        texts = [form.format(x) for x in points]
+        for i in range(0, len(texts), 20_000):
+            part = texts[i : i + 20_000]
+            got = encoder.encode(part)
+            expected = encoder.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            bad += [t for t, x, y in zip(part, got, expected) if np.frombuffer(x, "<u4").tolist() != y.ids]
+    assert not bad
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    """With hashes of three bits nearly all words clash, in a slice and with those remembered."""
+    monkeypatch.setattr(tokens, "hash_spans", lambda data, start, end: (end - start).astype(np.uint64) % np.uint64(3))
+    monkeypatch.setattr(tokens, "mix", lambda x: x % np.uint64(5))
+    rng = random.Random(3)
+    texts = [prose(rng, n) for n in (1, 1, 2, 1, 30, 1)] + ["a", "b", "b", "a b", "b a"]
+    for name in NAMES:
+        encoder = tokens.Encoder(name)
+        for _ in range(2):
+            got = [y for x in texts for y in encoder.encode([x])] + encoder.encode(texts)
+            assert [np.frombuffer(x, "<u4").tolist() for x in got] == 2 * plain_ids(name, texts)
+
+
 def test_best_fit_as_brute_force():
     """The tightest open bin takes a piece; with all open and none fitting the fullest closes."""
     rng = random.Random(2)
@@ -94,13 +122,98 @@ def test_packing_odd_rows(spark):
 @pytest.mark.parametrize("ids", [[], [5], [7] * 1000, list(range(300)), [1, 2, 3, 1, 2] * 500])
 def test_grammar_round_trip(ids):
     raw = np.array(ids, "<u4").tobytes()
-    shard = grammar.from_bytes(grammar.to_bytes([3], [len(ids)], raw))
+    shard = grammar.from_bytes(grammar.to_bytes([None, -(2**63), 3], [len(ids), 0, 0], raw))
     assert grammar.decode(shard) == raw
+    assert shard.has_id.tolist() == [0, 1, 1] and shard.doc_ids.tolist()[1:] == [-(2**63), 3]
+    access = grammar.Access(shard)
     for start in range(0, len(ids), 37):
-        assert grammar.decode_range(shard, start, 11) == ids[start : start + 11]
+        assert access.range(start, 11) == ids[start : start + 11]
     assert len(shard.symbols) < len(ids) or len(set(ids)) == len(ids)
 
 
+def occurrences(seq):
+    """How often each neighbouring pair occurs without overlap, by a plain scan."""
+    count, last = Counter(), {}
+    for i, pair in enumerate(zip(seq, seq[1:])):
+        if last.get(pair) != i - 1 or pair[0] != pair[1]:
+            count[pair] += 1
+            last[pair] = i
+    return count
+
+
+@pytest.mark.parametrize("seed", range(12))
+@pytest.mark.parametrize("least", [2, 3, 6])
+def test_grammar_leaves_no_frequent_pair(seed, least):
+    rng = random.Random(seed)
+    phrases = [[rng.randrange(1 + 3 * seed) for _ in range(rng.randrange(1, 9))] for _ in range(9)]
+    ids = [x for _ in range(400) for x in rng.choice(phrases)] + [4] * rng.randrange(50)
+    terminals, left, right, seq = grammar.compress(np.array(ids, np.uint32), least)
+    assert max(occurrences(seq.tolist()).values(), default=0) < least
+    rules = list(zip(left.tolist(), right.tolist()))
+    assert len(set(rules)) == len(rules)
+    n = grammar.expansions(terminals, left, right)
+    used = Counter([*seq.tolist(), *left.tolist(), *right.tolist()])
+    assert all(used[terminals + k] for k in range(len(n)))
+    out, stack = [], seq.tolist()[::-1]
+    while stack:
+        x = stack.pop()
+        if x < terminals:
+            out.append(x)
+        else:
+            stack += [rules[x - terminals][1], rules[x - terminals][0]]
+    assert out == ids
+
+
+def test_the_most_frequent_pair_goes_first():
+    ids = [1, 2] * 50 + [2, 3] * 20 + [9]
+    _, left, right, _ = grammar.compress(np.array(ids, np.uint32), 6)
+    assert (left[0], right[0]) == (2, 3) or (left[:2].tolist(), right[:2].tolist()) == ([2, 1], [3, 2])
+    best = max(occurrences(ids).items(), key=lambda x: x[1])[0]
+    assert best in list(zip(left.tolist(), right.tolist()))
+
+
+QUERY_DIR = "/root/testdata/sf0.001"
+
+
+def test_packing_query_columns(spark):
+    from tripstats.llm import queries
+
+    df = queries.op8_bounded_best_fit(spark, QUERY_DIR)
+    kinds = ["bigint", "int", "bigint", "bigint", "bigint", "bigint", "bigint"]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert df.dtypes == list(zip(names, kinds))
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{QUERY_DIR}/documents.parquet").collect()}
+    ids = dict(zip(docs, plain_ids(packing.TOKENIZER, docs.values())))
+    bins, seen = defaultdict(list), Counter()
+    for r in df.collect():
+        own = np.array(ids[r.doc_id] + [packing.END_ID], "<u4")
+        n = len(own)
+        first = (n - 1) % 1024 + 1
+        assert r.start == (first + 1024 * (r.piece - 1) if r.piece else 0)
+        assert r.length == (1024 if r.piece else first)
+        assert r.ids_crc32 == zlib.crc32(own[r.start : r.start + r.length].tobytes())
+        bins[r.sequence_id].append((r.offset, r.length))
+        seen[r.doc_id] += r.length
+    assert seen == {d: len(x) + 1 for d, x in ids.items()}
+    for own in bins.values():
+        own.sort()
+        assert [o for o, _ in own] == np.r_[0, np.cumsum([n for _, n in own])][:-1].tolist()
+
+
+def test_token_query_columns(spark):
+    from tripstats.llm import queries
+
+    df = queries.op9_repair_tokens(spark, QUERY_DIR)
+    assert df.dtypes[:4] == [(x, "bigint") for x in ("doc_id", "start", "n_tokens", "ids_crc32")]
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{QUERY_DIR}/documents.parquet").collect())
+    expected, start = [], 0
+    for (d, _), ids in zip(docs, plain_ids(grammar.TOKENIZER, [x for _, x in docs])):
+        own = np.array(ids + [grammar.END_ID], "<u4")
+        expected.append((d, start, len(own), zlib.crc32(own.tobytes()), int(own[(start + start + len(own)) // 2 - start])))
+        start += len(own)
+    assert sorted(tuple(r) for r in df.collect()) == expected
+
+
 def test_grammar_rules_come_in_order_and_shrink():
     rng = random.Random(1)
     phrases = [[rng.randrange(5000) for _ in range(6)] for _ in range(30)]

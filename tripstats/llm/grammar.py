@@ -2,16 +2,19 @@
 
 A file row is one shard: a few documents that follow one another in doc_id order, as bytes:
 
-    magic b"RPG1", then little-endian unsigned 32-bit numbers: terminals, rules, symbols,
+    magic b"RPG2", then little-endian unsigned 32-bit numbers: terminals, rules, symbols,
     documents; then the arrays
     left, right     4 bytes per rule     what the rule's nonterminal stands for
     expansion       4 bytes per rule     how many ids that is in the end
     doc ids         8 bytes per document
     doc lengths     4 bytes per document, with the end id
+    has id          1 byte per document  0 where the doc id is null
     symbols         3 planes of a byte each, lowest first
 
 Symbols below ``terminals`` are ids, the others nonterminals, numbered in the order of
-their rules; a rule refers to earlier symbols only.
+their rules; a rule refers to earlier symbols only. A rule takes 12 bytes and an occurrence it
+replaces saves 3, so a pair gets a rule while it occurs LEAST times without overlap, and none
+is left that does.
 """
 
 from __future__ import annotations
@@ -33,12 +36,11 @@ from tripstats.llm.tokens import encoder
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 20
-ROUNDS = 6
-RULES_PER_ROUND = 4096
-#: A pair must occur this often for a rule of its own.
+#: A pair must occur this often, without overlap, for a rule of its own.
 LEAST = 6
-MAGIC = b"RPG1"
-NO_ID = -(2**63)
+MAGIC = b"RPG2"
+#: Pairs are counted roughly, by a hash of so many bits, before they are counted exactly.
+ROUGH_BITS = 20
 
 SHARDS = "part int, shard int, n_tokens long, data binary"
 
@@ -50,70 +52,117 @@ class Shard(NamedTuple):
     expansion: np.ndarray
     doc_ids: np.ndarray
     lengths: np.ndarray
+    has_id: np.ndarray
     symbols: np.ndarray
 
 
-def _frequent_pairs(seq: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place, number) of the occurrences of at most ``most`` frequent neighbouring pairs.
+def _spread(run_starts: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places, how far it lies behind the start of its run."""
+    at = np.arange(n)
+    return at - np.maximum.accumulate(np.where(run_starts, at, 0))
 
-    Pairs are counted by a hash of 20 bits. Of each of the fullest bins one pair is taken;
-    others in it wait for a later round.
-    """
+
+class Pairs(NamedTuple):
+    """Occurrences of pairs that are frequent: place, rank (from 1, growing with the number of
+    occurrences) and pair; every: all their places, overlapping ones too."""
+
+    place: np.ndarray
+    rank: np.ndarray
+    pair: np.ndarray
+    every: np.ndarray
+
+
+def places_to_count(seq: np.ndarray, least: int) -> np.ndarray:
+    """All places of neighbouring pairs but those that a rough count rules out."""
     code = (seq[:-1].astype(U64) << U64(24)) | seq[1:].astype(U64)
-    bins = ((code * U64(0x9E3779B97F4A7C15)) >> U64(44)).astype(np.int64)
-    count = np.bincount(bins, minlength=1 << 20)
-    as_full = np.cumsum(np.bincount(count)[::-1])[::-1]  # bins with at least so many
-    full = count >= max(least, int(np.searchsorted(-as_full, -most)))
-    place = np.flatnonzero(full[bins])
-    number = (np.cumsum(full) - 1)[bins[place]]
-    chosen = np.zeros(int(full.sum()), U64)
-    chosen[number] = code[place]
-    same = chosen[number] == code[place]
-    return place[same], number[same]
+    bins = ((code * U64(0x9E3779B97F4A7C15)) >> U64(64 - ROUGH_BITS)).astype(np.int64)
+    return np.flatnonzero(np.bincount(bins, minlength=1 << ROUGH_BITS)[bins] >= least)
+
+
+def frequent_pairs(seq: np.ndarray, place: np.ndarray, least: int) -> Pairs:
+    """The pairs at these places that occur ``least`` times without overlap.
+
+    Only a pair of two equal symbols overlaps itself; of its runs every second place counts.
+    """
+    code = (seq[place].astype(U64) << U64(24)) | seq[place + 1].astype(U64)
+    pairs, number = np.unique(code, return_inverse=True)
+    again = np.zeros(len(place), bool)
+    again[1:] = (place[1:] == place[:-1] + 1) & (number[1:] == number[:-1])
+    counts = np.ones(len(place), bool) if not again.any() else _spread(~again, len(place)) % 2 == 0
+    count = np.bincount(number[counts], minlength=len(pairs))
+    often = np.flatnonzero(count >= least)
+    rank = np.zeros(len(pairs), np.int64)
+    rank[often[np.argsort(count[often], kind="stable")]] = np.arange(1, len(often) + 1)
+    rank = rank[number]
+    own = counts & (rank > 0)
+    return Pairs(place[own], rank[own], code[own], place[rank > 0])
 
 
 def compress(
-    ids: np.ndarray,
-    rounds: int = ROUNDS,
-    rules_per_round: int = RULES_PER_ROUND,
-    least: int = LEAST,
+    ids: np.ndarray, least: int = LEAST
 ) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """(terminals, left, right, symbols) of a grammar for ids.
 
-    Every round gives the most frequent pairs a nonterminal each and replaces them from left
-    to right; where occurrences overlap, every second one of the run. It ends when no pair
-    is frequent enough.
+    Every round counts the pairs and replaces each occurrence that no occurrence of a more
+    frequent pair touches, so the most frequent pair goes wholly and others as far as they
+    don't get in its way. A pair that would be replaced fewer than ``least`` times waits
+    for the next round, when the pairs around it are gone. It ends when no pair occurs
+    ``least`` times without overlap. A pair can only become frequent if it has a symbol that
+    the round has placed, so after the first round only those and the frequent ones that are
+    left are counted.
     """
     seq = ids.astype(np.int64)
     terminals = symbol = int(seq.max(initial=0)) + 1
-    left, right = [], []
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        place, number = _frequent_pairs(seq, rules_per_round, least)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    known, known_name = np.zeros(0, U64), np.zeros(0, np.int64)
+    to_count = places_to_count(seq, least) if len(seq) > 1 else np.zeros(0, np.int64)
+    while len(to_count):
+        place, rank, pair, every = frequent_pairs(seq, to_count, least)
         if not len(place):
             break
-        head = np.ones(len(place), bool)
-        head[1:] = place[1:] != place[:-1] + 1
-        run = np.maximum.accumulate(np.where(head, np.arange(len(place)), 0))
-        taken = (np.arange(len(place)) - run) % 2 == 0
-        place, number = place[taken], number[taken]
-        often = np.bincount(number) >= least
-        kept = often[number]
-        place, number = place[kept], (np.cumsum(often) - 1)[number[kept]]
-        if not len(place):
-            break
-        example = np.zeros(int(often.sum()), np.int64)
-        example[number] = place
-        left.append(seq[example])
-        right.append(seq[example + 1])
-        seq[place] = symbol + number
-        symbol += len(example)
+        next_to = place[1:] == place[:-1] + 1
+        wins = np.ones(len(place), bool)
+        wins[1:] &= ~next_to | (rank[1:] > rank[:-1])
+        wins[:-1] &= ~next_to | (rank[:-1] > rank[1:])
+        place, rank, pair = place[wins], rank[wins], pair[wins]
+        often = np.bincount(rank) >= least
+        kept = often[rank]
+        place, rank, pair = place[kept], rank[kept], pair[kept]
+        number = (np.cumsum(often) - 1)[rank]
+        rules = np.zeros(int(often.sum()), U64)
+        rules[number] = pair
+        # a pair that got a rule before, where others were in its way, keeps it
+        at = np.searchsorted(known, rules)
+        has_rule = known[np.minimum(at, len(known) - 1)] == rules if len(known) else rules != rules
+        name = np.empty(len(rules), np.int64)
+        name[has_rule] = known_name[at[has_rule]]
+        name[~has_rule] = symbol + np.arange(np.count_nonzero(~has_rule))
+        new = rules[~has_rule]
+        left.append((new >> U64(24)).astype(np.int64))
+        right.append((new & U64((1 << 24) - 1)).astype(np.int64))
+        order = np.argsort(new)
+        at = np.searchsorted(known, new[order])
+        known = np.insert(known, at, new[order])
+        known_name = np.insert(known_name, at, symbol + order)
+        seq[place] = name[number]
+        symbol += len(new)
+        if symbol >= 1 << 24:
+            raise ValueError("a shard's symbols must fit 24 bits")
         stay = np.ones(len(seq), bool)
         stay[place + 1] = False
         seq = seq[stay]
-    none = [np.zeros(0, np.int64)]
-    return terminals, np.concatenate(left or none), np.concatenate(right or none), seq
+        moved = np.cumsum(stay) - 1
+        wanted = np.zeros(len(seq) + 1, bool)
+        wanted[moved[every[stay[every]]]] = True
+        wanted[moved[place]] = True
+        wanted[moved[place] - 1] = True  # before the first symbol: the entry at the end
+        if has_rule.any():
+            renewed = np.zeros(symbol, bool)
+            renewed[name[has_rule]] = True
+            own = np.flatnonzero(renewed[seq])
+            wanted[own] = wanted[own - 1] = True
+        to_count = np.flatnonzero(wanted[: len(seq) - 1])
+    return terminals, np.concatenate(left), np.concatenate(right), seq
 
 
 def expansions(terminals: int, left: np.ndarray, right: np.ndarray) -> list[int]:
@@ -128,8 +177,6 @@ def expansions(terminals: int, left: np.ndarray, right: np.ndarray) -> list[int]
 def to_bytes(doc_ids: list[int | None], lengths: list[int], ids: bytes) -> bytes:
     """The file form of some documents."""
     terminals, left, right, seq = compress(np.frombuffer(ids, "<u4"))
-    if terminals + len(left) >= 1 << 24:
-        raise ValueError("a shard's symbols must fit 24 bits")
     planes = seq.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
     return b"".join(
         [
@@ -138,8 +185,9 @@ def to_bytes(doc_ids: list[int | None], lengths: list[int], ids: bytes) -> bytes
             left.astype("<u4").tobytes(),
             right.astype("<u4").tobytes(),
             np.array(expansions(terminals, left, right), "<u4").tobytes(),
-            np.array([NO_ID if x is None else x for x in doc_ids], "<i8").tobytes(),
+            np.array([x or 0 for x in doc_ids], "<i8").tobytes(),
             np.array(lengths, "<u4").tobytes(),
+            bytes(x is not None for x in doc_ids),
             np.ascontiguousarray(planes).tobytes(),
         ]
     )
@@ -150,7 +198,7 @@ def from_bytes(data: bytes) -> Shard:
     if data[:4] != MAGIC:
         raise ValueError("not a token shard")
     terminals, rules, symbols, docs = struct.unpack("<4I", data[4:20])
-    sizes = [("<u4", rules)] * 3 + [("<i8", docs), ("<u4", docs)]
+    sizes = [("<u4", rules)] * 3 + [("<i8", docs), ("<u4", docs), ("u1", docs)]
     ends = list(accumulate((np.dtype(t).itemsize * n for t, n in sizes), initial=20))
     arrays = [np.frombuffer(data, t, n, at) for (t, n), at in zip(sizes, ends)]
     planes = np.frombuffer(data, np.uint8, 3 * symbols, ends[-1]).reshape(3, -1)
@@ -176,27 +224,34 @@ def decode(shard: Shard) -> bytes:
     return laid_out[place].tobytes()
 
 
-def decode_range(shard: Shard, start: int, n: int) -> list[int]:
-    """ids[start : start + n]: expansion lengths lead to the first symbol needed, and only
-    what overlaps the range is expanded."""
-    size = np.r_[np.ones(shard.terminals, np.int64), shard.expansion.astype(np.int64)]
-    ends = np.cumsum(size[shard.symbols])
-    at = int(np.searchsorted(ends, start, "right"))
-    skip = start - (int(ends[at - 1]) if at else 0)
-    out: list[int] = []
-    while len(out) < n and at < len(shard.symbols):
-        stack = [int(shard.symbols[at])]
-        while stack and len(out) < n:
-            x = stack.pop()
-            if skip >= size[x]:
-                skip -= int(size[x])
-            elif x < shard.terminals:
-                out.append(x)
-            else:
-                rule = x - shard.terminals
-                stack += [int(shard.right[rule]), int(shard.left[rule])]
-        at += 1
-    return out
+class Access:
+    """Random access to the ids of a shard, by the expansion lengths of its symbols."""
+
+    def __init__(self, shard: Shard):
+        self.shard = shard
+        self.size = np.r_[np.ones(shard.terminals, np.int64), shard.expansion.astype(np.int64)]
+        self.ends = np.cumsum(self.size[shard.symbols])
+
+    def range(self, start: int, n: int) -> list[int]:
+        """ids[start : start + n]; only symbols that overlap the range are expanded, and of
+        these only the parts that do."""
+        shard, size = self.shard, self.size
+        at = int(np.searchsorted(self.ends, start, "right"))
+        skip = start - (int(self.ends[at - 1]) if at else 0)
+        out: list[int] = []
+        while len(out) < n and at < len(shard.symbols):
+            stack = [int(shard.symbols[at])]
+            while stack and len(out) < n:
+                x = stack.pop()
+                if skip >= size[x]:
+                    skip -= int(size[x])
+                elif x < shard.terminals:
+                    out.append(x)
+                else:
+                    rule = x - shard.terminals
+                    stack += [int(shard.right[rule]), int(shard.left[rule])]
+            at += 1
+        return out
 
 
 def write_tokens(
@@ -212,7 +267,9 @@ def write_tokens(
     documents into shards of about ``shard_tokens`` ids and compresses each on its own. Rows
     of the Parquet files at ``path``: part, shard, n_tokens, data. Spark's writer commits
     them, so a lost executor leaves no half file. A null text is empty, null doc_ids
-    come first, rows that share a doc_id follow each other by text.
+    come first; rows that share a doc_id, or have none, follow each other by a hash of their text
+    and may lie in several parts. An empty table gives no shard. Other columns are not read.
+    A task holds one shard's ids, and a slice of texts.
     """
     last = end_id.to_bytes(4, "little")
 
@@ -245,55 +302,65 @@ def write_tokens(
         if doc_ids:
             yield row()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    tie = F.xxhash64("text").alias("tie")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", tie)
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
     ordered.mapInArrow(run, SHARDS).write.parquet(path)
 
 
-DECODED = "doc_id long, part int, shard int, place long, n_tokens long, ids binary"
+DECODED = "doc_id long, start long, n_tokens long, ids binary, middle_id long"
+DECODED_ARROW = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("start", pa.int64()),
+        ("n_tokens", pa.int64()),
+        ("ids", pa.binary()),
+        ("middle_id", pa.int64()),
+    ]
+)
+
+
+def _shard_starts(files: DataFrame) -> DataFrame:
+    """(part, shard, shard_start): ids before each shard. Summed over the shards of its part
+    and over whole parts, of which there is a row each."""
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("total").over(earlier), F.lit(0))
+    parts = parts.select("part", before.alias("part_start"))
+    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
+    shards = files.select("part", "shard", own.alias("own_start")).join(parts, "part")
+    return shards.select("part", "shard", (F.col("own_start") + F.col("part_start")).alias("shard_start"))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Every document of the files at ``path``: doc_id, start (ids of all documents before
-    it), n_tokens and ids (little-endian unsigned 32-bit), all from the files.
+    it), n_tokens, ids (little-endian unsigned 32-bit) and middle_id (the id in its middle,
+    found by random access), all from the files.
 
-    Where a shard starts is summed over the shards of its part and over whole parts, of
-    which there is one row each.
+    Shards learn where they start before they are decoded, so no decoded id is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, no, data in zip(*(batch[x].to_pylist() for x in ("part", "shard", "data"))):
-                shard = from_bytes(data)
-                ids = decode(shard)
+            for data, before in zip(batch["data"], batch["shard_start"].to_pylist()):
+                shard = from_bytes(data.as_py())
+                ids, access = decode(shard), Access(shard)
                 ends = np.cumsum(shard.lengths.astype(np.int64))
                 starts = ends - shard.lengths
-                n = len(ends)
+                places = list(zip(starts.tolist(), ends.tolist()))
+                columns = [
+                    pa.array(shard.doc_ids, mask=shard.has_id == 0),
+                    starts + before,
+                    shard.lengths.astype(np.int64),
+                    [ids[4 * a : 4 * b] for a, b in places],
+                    [access.range((a + b) // 2, 1)[0] for a, b in places],
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([None if x == NO_ID else x for x in shard.doc_ids.tolist()], pa.int64()),
-                        pa.array(np.full(n, part), pa.int32()),
-                        pa.array(np.full(n, no), pa.int32()),
-                        pa.array(starts),
-                        pa.array(shard.lengths.astype(np.int64)),
-                        pa.array([ids[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()),
-                    ],
-                    names=["doc_id", "part", "shard", "place", "n_tokens", "ids"],
+                    [pa.array(x, f.type) for x, f in zip(columns, DECODED_ARROW)], schema=DECODED_ARROW
                 )
 
     files = spark.read.schema(SHARDS).parquet(path)
-    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("total").over(earlier), F.lit(0))
-    parts = parts.select("part", before.alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = files.select(
-        "part", "shard", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("shard_start")
-    ).join(parts, "part")
-    decoded = files.select("part", "shard", "data").mapInArrow(run, DECODED)
-    return decoded.join(shards, ["part", "shard"]).select(
-        "doc_id",
-        (F.col("part_start") + F.col("shard_start") + F.col("place")).alias("start"),
-        "n_tokens",
-        "ids",
-    )
+    starts = _shard_starts(files.select("part", "shard", "n_tokens"))
+    shards = files.select("part", "shard", "data").join(starts, ["part", "shard"])
+    return shards.select("data", "shard_start").mapInArrow(run, DECODED)

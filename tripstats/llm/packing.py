@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from tripstats.llm.arrays import text_slices
 from tripstats.llm.tokens import encoder
@@ -27,9 +29,13 @@ SCHEMA = pa.schema(
         ("offset", pa.int64()),
     ]
 )
-SQL_SCHEMA = (
-    "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
-)
+
+
+def _schema(checksums: bool) -> pa.Schema:
+    """SCHEMA, or with checksums the same with ids_crc32 for ids."""
+    at = SCHEMA.get_field_index("ids")
+    return SCHEMA.set(at, pa.field("ids_crc32", pa.int64())) if checksums else SCHEMA
+
 
 
 class BestFit:
@@ -81,6 +87,7 @@ def pack(
     end_id: int = END_ID,
     capacity: int = CAPACITY,
     open_bins: int = OPEN_BINS,
+    checksums: bool = False,
 ) -> DataFrame:
     """Pieces of every document with the sequence and offset where each lies.
 
@@ -90,8 +97,11 @@ def pack(
     so no row moves and a lost task is simply run again; sequence ids hold the partition
     number in their high bits. Repeated rows are packed once each, a null doc_id stays
     null, an empty table gives no rows. Other columns of docs are not read. Returns
-    doc_id, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset.
+    doc_id, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset;
+    with ``checksums`` the unsigned CRC-32 of the ids, ids_crc32, in their place. A task holds
+    the ids of a slice of texts, or of one text above the slice bound.
     """
+    schema = _schema(checksums)
     last = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,12 +118,12 @@ def pack(
                     length = (n - start) % capacity or capacity
                     chosen, offset = bins.place(length)
                     cut = ids[4 * start : 4 * (start + length)]
+                    cut = crc32(cut) if checksums else cut
                     rows.append((doc_id, piece, start, length, cut, base | chosen, offset))
                     start, piece = start + length, piece + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, f.type) for x, f in zip(zip(*rows), SCHEMA)], schema=SCHEMA
+                [pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema
             )
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(
-        run, SQL_SCHEMA
-    )
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, from_arrow_schema(schema))

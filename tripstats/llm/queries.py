@@ -112,15 +112,17 @@ def op7_bayesian_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens and their places in sequences of 1024."""
-    packed = packing.pack(_documents(spark, sf_dir))
-    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(_documents(spark, sf_dir), checksums=True).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
 
 
 def op9_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to grammar-compressed files and read back."""
     path = new_path(spark, "tokens")
     grammar.write_tokens(_documents(spark, sf_dir), path)
-    return grammar.read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    ids_crc32 = F.crc32("ids").alias("ids_crc32")
+    return grammar.read_tokens(spark, path).select("doc_id", "start", "n_tokens", ids_crc32, "middle_id")
 
 
 def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
