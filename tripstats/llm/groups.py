@@ -21,6 +21,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parts_for(df: DataFrame, least: int, part_bytes: int) -> int:
+    """How many parts to deal df to, at least ``least`` for each shuffle partition, so that one
+    holds some ``part_bytes`` of its input files; at most 64 for each partition, as Spark's
+    estimate of a size may be far too large."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return min(max(least * partitions, size // part_bytes), max(least, 64) * partitions)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """df as a written table with ``number``: 0, 1, 2 and so on in the order of its partitions
     and of the rows in each.

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstats.llm.arrays import U64, mix, text_bytes, text_slices
+from tripstats.llm.groups import parts_for
 from tripstats.llm.suffixes import shared_prefixes
 
 LENGTH = 200
@@ -29,8 +30,10 @@ PIECE = 1 << 20
 SORT_BYTES = 1 << 19
 #: An anchor with so many places is split: its strings go to buckets of their own hash.
 HOT = 4096
-#: Parts of the texts, and buckets of anchors, for each shuffle partition.
-PARTS, BUCKETS = 16, 4
+#: Parts of the texts for each shuffle partition, at least, and bytes of their files in one.
+PARTS, PART_BYTES = 4, 16 << 20
+#: Buckets of passages for each shuffle partition; anchors, far less text, have one.
+BUCKETS = 4
 
 ANCHORED, PASSAGE, WINDOW, SETTLED = range(4)
 SENT = "bucket int, part int, kind int, places binary, data binary"
@@ -363,8 +366,9 @@ def remove_substrings(
     Texts are UTF-8 bytes; elsewhere is any other place of any text, the same one included;
     strings don't cross texts, may overlap, and are judged on the input. ``length`` is at least
     twice GRAM. Texts cross the network once, dealt to ``parts`` (default: PARTS for each shuffle
-    partition); passages around anchors go to ``buckets`` (BUCKETS for each). A task holds one
-    part or one bucket at a time. Anchors with ``hot`` places or more are split by string.
+    partition, more where one would hold over PART_BYTES); passages around anchors go to
+    ``buckets`` (BUCKETS for each). A task holds one part or one bucket at a time. Anchors with
+    ``hot`` places or more are split by string.
 
     A null text is empty; a null doc_id stays null; repeated rows are documents of their own, so
     long ones remove each other; an empty table gives no rows; other columns are not read. A
@@ -375,9 +379,9 @@ def remove_substrings(
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts, buckets = parts or PARTS * partitions, buckets or BUCKETS * partitions
+    parts, buckets = parts or parts_for(docs, PARTS, PART_BYTES), buckets or BUCKETS * partitions
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("part")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", part)
-    met = _met(_send_anchors(texts, length, buckets), hot)
+    met = _met(_send_anchors(texts, length, partitions), hot)
     repeated = _repeated(_send_texts(texts, met, length, buckets), length)
     return _cut(texts, repeated, length)
