@@ -26,7 +26,7 @@ def parts_for(df: DataFrame, least: int, part_bytes: int) -> int:
     holds some ``part_bytes`` of its input files; at most 64 for each partition, as Spark's
     estimate of a size may be far too large."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return min(max(least * partitions, size // part_bytes), max(least, 64) * partitions)
 
 
