@@ -71,19 +71,27 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
+def _of_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
 def op3_information_sanitiser(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, and the terms that reveal it."""
     found = sanitise.sanitise(_documents(spark, sf_dir))
+    added = (sanitise.SECRET, sanitise.GENERALISED, sanitise.REMOVED)
     count = {
-        f"n_{kind}": F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
-        for kind in (*sanitise.KINDS, sanitise.GENERALISED, sanitise.REMOVED)
+        f"n_{kind}": F.size(F.filter("spans", _of_kind(kind))).cast("long")
+        for kind in (*sanitise.KINDS, *added)
     }
     base = F.filter("spans", lambda x: x["kind"].isin(*sanitise.KINDS))
+    counted = {name: value.alias(name) for name, value in count.items()}
     return found.select(
         "doc_id",
-        *(value.alias(name) for name, value in count.items()),
+        *(counted[f"n_{kind}"] for kind in sanitise.KINDS),
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
+        *(counted[f"n_{kind}"] for kind in added),
+        F.size("spans").cast("long").alias("n_spans"),
         F.sha2("sanitised_text", 256).alias("sanitised_sha256"),
     )
 
@@ -96,7 +104,8 @@ def op4_salted_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its rule statistics and verdict."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.judge(_documents(spark, sf_dir), labels)
+    judged = quality.judge(_documents(spark, sf_dir), labels)
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly", "threshold")
 
 
 def op6_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
