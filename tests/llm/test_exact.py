@@ -32,14 +32,20 @@ def test_odd_rows(spark):
     assert {r.group_size for r in empty} == {4} and {r.keep_id for r in empty} == {2}
     one = [r for r in rows if r.doc_id == 3]
     assert len(one) == 3 and all((r.keep_id, r.kept, r.group_size) == (5, False, 5) for r in one)
+    assert sum(r.kept for r in rows) == len({r.text_sha256 for r in rows})
     no_id = [r for r in rows if r.doc_id is None]
     assert sorted(r.kept for r in no_id) == [False, True]
     assert exact_duplicates(docs.limit(0)).collect() == []
 
 
-def test_rows_that_share_an_id_stay_together(spark):
-    rows = exact_duplicates(documents(spark, [(1, "a"), (1, "a"), (2, "a")])).collect()
-    assert sorted((r.doc_id, r.kept) for r in rows) == [(1, True), (1, True), (2, False)]
+def test_one_of_the_rows_that_share_an_id_stays(spark):
+    docs = documents(spark, [(1, "a")] * 5 + [(2, "a"), (1, "b"), (1, "b "), (7, "c"), (7, "d")] + [(None, "e")] * 3).repartition(4)
+    rows = exact_duplicates(docs).collect()
+    assert len(rows) == docs.count()
+    kept = sorted(((r.doc_id or 0, r.text_sha256) for r in rows if r.kept))
+    assert len(kept) == len({r.text_sha256 for r in rows}) == 5 and [d for d, _ in kept] == [0, 1, 1, 7, 7]
+    assert {r.group_size for r in rows if r.doc_id == 2} == {6}
+    assert sorted((r.doc_id or 0, r.text) for r in deduplicated(docs).collect()) == [(0, "e"), (1, "a"), (1, "b "), (7, "c"), (7, "d")]
 
 
 def test_whole_rows_stay(spark):
