@@ -9,7 +9,7 @@ from corpus_frames import WORD, documents, odd_documents, prose
 
 from tripstats.llm import jaccard
 from tripstats.llm.groups import components
-from tripstats.llm.jaccard import matches_needed, near_duplicates
+from tripstats.llm.jaccard import matches_needed, near_duplicates, without_near_duplicates
 
 
 def brute(rows, size=5, threshold=0.8):
@@ -65,6 +65,35 @@ def test_a_large_group_in_tiles(spark):
     assert got == brute(rows)
 
 
+def test_rows_that_share_an_id(spark):
+    """They are documents of their own; one row of each class stays, and no text is lost."""
+    rng = random.Random(8)
+    w, y, z = (prose(rng, 60, 9000) for _ in range(3))
+    docs = documents(spark, [(2, w), (5, w), (5, z), (9, y), (7, edited(rng, z, 1)), (3, y + " more"), (3, y + " much"), (4, None), (4, "")])
+    rows = near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.class_id) for r in rows) == [(2, 2), (3, 3), (3, 3), (4, 4), (4, 4), (5, 2), (5, 5), (7, 5), (9, 3)]
+    kept = without_near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept if r.doc_id != 3) == sorted([(2, w), (5, z), (4, ""), (4, "")])
+    assert [r.doc_id for r in kept].count(3) == 1 and kept[0].asDict().keys() == set(docs.columns)
+    stay = [r for r in rows if r.stays]
+    assert len(stay) == len(kept) == 5 and all(r.doc_id == r.class_id for r in stay)
+
+
+def test_one_row_of_each_class_stays(spark):
+    rng = random.Random(9)
+    base = [prose(rng, 80, 9000) for _ in range(12)]
+    rows = [(rng.randrange(40), edited(rng, rng.choice(base), rng.randrange(3))) for _ in range(150)]
+    found = near_duplicates(documents(spark, rows)).collect()
+    by_row = dict(enumerate(rows))
+    root = brute([(i, t) for i, (_, t) in by_row.items()])
+    classes = {}
+    for i, (d, _) in by_row.items():
+        classes.setdefault(root[i][0], []).append(d)
+    want = sorted((d, min(ds)) for ds in classes.values() for d in ds)
+    assert sorted((r.doc_id, r.class_id) for r in found) == want
+    assert sorted(r.doc_id for r in found if r.stays) == sorted(map(min, classes.values()))
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     rows = near_duplicates(docs).collect()
@@ -75,7 +104,8 @@ def test_odd_rows(spark):
         if r.doc_id is None:
             assert r.class_id is None and r.n_links == 0
     assert {r.class_id for r in rows if r.doc_id in (3, 4)} == {3}
-    assert near_duplicates(docs.limit(0)).collect() == []
+    assert all(r.stays for r in rows if r.doc_id in (0, 1, 2, None)) and {r.stays for r in rows} == {True, False}
+    assert near_duplicates(docs.limit(0)).collect() == [] == without_near_duplicates(docs.limit(0)).collect()
 
 
 def test_pruning_keeps_links():

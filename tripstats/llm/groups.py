@@ -106,8 +106,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of edges (a, b); label is the least node it can reach.
 
     Large stars and small stars in turn: every neighbour is hung under the least one
-    until nothing moves. The least neighbour is an aggregate and hot nodes are plain join
-    keys, so no neighbourhood is gathered. The edges of every round are a written table.
+    until nothing moves. The least neighbour is an aggregate, written as a table so that
+    the join with it has exchanges of its own, which adaptive execution can split at a hot
+    node; no neighbourhood is gathered. The edges of every round are a written table too.
     """
     least, greatest = F.least("a", "b"), F.greatest("a", "b")
     pairs = edges.select(greatest.alias("a"), least.alias("b")).filter("a > b").distinct()
@@ -128,12 +129,12 @@ def components(edges: DataFrame) -> DataFrame:
 def _large_star(pairs: DataFrame) -> DataFrame:
     """Hang each larger neighbour of a node under the least of the node and its neighbours."""
     both = pairs.union(pairs.select(F.col("b"), F.col("a"))).toDF("u", "v")
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.filter("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours under the least of them."""
-    low = pairs.groupBy("a").agg(F.min("b").alias("m"))
+    low = written(pairs.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = pairs.join(low, "a").select(F.col("b").alias("x"), F.col("m").alias("y"))
     return moved.filter("x > y").union(low).toDF("a", "b").distinct()

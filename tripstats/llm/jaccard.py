@@ -22,10 +22,11 @@ VALUES = BANDS * ROWS
 STEP = 16
 MILLION = 1_000_000
 
-SKETCH = "doc_id long, n_shingles int, set_a long, set_b long, sketch binary"
+SKETCH = "doc_id long, text_hash long, n_shingles int, set_a long, set_b long, sketch binary"
 SKETCH_ARROW = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("text_hash", pa.int64()),
         ("n_shingles", pa.int32()),
         ("set_a", pa.int64()),
         ("set_b", pa.int64()),
@@ -93,6 +94,7 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part["doc_id"],
+                    part["text_hash"],
                     pa.array(count),
                     pa.array(sums[0].view(np.int64)),
                     pa.array(sums[1].view(np.int64)),
@@ -208,7 +210,7 @@ def _with_shingles(docs: DataFrame, size: int) -> DataFrame:
 def _verified(table: pa.Table, needed: list[int], threshold: float):
     """(rep, members, links, root) of one tile: exact Jaccard of every likely pair."""
     _, once = np.unique(table["rep"].to_numpy(), return_index=True)
-    if len(once) < table.num_rows:  # rows of documents that share a doc_id
+    if len(once) < table.num_rows:  # rows with the same doc_id and text
         table = table.take(once)
     rep = table["rep"].to_numpy()
     copies = table["copies"].to_numpy()
@@ -282,22 +284,35 @@ def near_duplicates(
 
     Cells and clusters above ``block`` rows are cut into tiles. Sketches, representatives
     and edges are written tables. Returns doc_id, class_id (the least doc_id of the class),
-    n_links (documents linked to this one, copies included), n_shingles, representative.
-    A text of one to four words is one shingle; without words, or with a null doc_id, a
-    document has no links and is its own class. Rows that share a doc_id share a class.
-    Other columns are not read.
+    n_links (documents linked to this one, copies included), n_shingles, representative (the
+    least doc_id with the same set), text_hash (xxhash64 of the text, which with doc_id tells rows
+    apart) and stays (true for one row of each class, one with the least doc_id). A row per
+    input row. A text of one to four words is one shingle; without words, or with a null
+    doc_id, a row has no links, is its own class and stays. Rows that share a doc_id are
+    documents of their own: their class is that of their text. An empty table gives no rows.
+    Other columns are not read. A slice of texts, or one text above its bound, takes some 40
+    bytes a word on the way.
     """
     needed = matches_needed(threshold, tolerance)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = written(_sketches(docs, size), "sketches")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash, "text")
+    sketched = _sketches(docs, size).withColumn("row", F.monotonically_increasing_id())
+    sketched = written(sketched, "sketches")
     same_set = ["set_a", "set_b", "n_shingles"]
     usable = sketched.filter("doc_id is not null and n_shingles > 0")
-    reps = written(
-        usable.groupBy(*same_set, "sketch").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")
-        ),
-        "representatives",
+    reps = usable.groupBy(*same_set, "sketch").agg(
+        F.min(F.struct("doc_id", "row", "text_hash")).alias("least"),
+        F.count(F.lit(1)).alias("copies"),
     )
+    reps = reps.select(
+        *same_set,
+        "sketch",
+        "copies",
+        F.col("least.row").alias("rep"),
+        F.col("least.doc_id").alias("rep_id"),
+        F.col("least.text_hash").alias("rep_hash"),
+    )
+    reps = written(reps, "representatives")
 
     cell = F.expr(
         f"explode(transform(sequence(0, {BANDS - 1}), "
@@ -311,9 +326,12 @@ def near_duplicates(
 
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
     active = (
-        reps.select("rep", "copies", "sketch").join(clusters, "rep").join(sizes, "cluster")
+        reps.select("rep", "rep_id", "rep_hash", "copies", "sketch")
+        .join(clusters, "rep")
+        .join(sizes, "cluster")
     )
-    texts = docs.withColumnRenamed("doc_id", "rep").join(active, "rep")
+    texts = docs.toDF("rep_id", "rep_hash", "text").join(active, ["rep_id", "rep_hash"])
+    texts = texts.drop("rep_id", "rep_hash")
     tiles = tiled(_with_shingles(texts, size), "cluster", "members", "rep", block)
     links = written(_links(tiles, needed, threshold), "links")
 
@@ -322,22 +340,48 @@ def near_duplicates(
     many = components(links.filter(F.col("members") > block).select(F.col("rep").alias("a"), F.col("root").alias("b")))
     classes = roots.union(many).groupBy("node").agg(F.min("label").alias("label"))
     known = (
-        reps.drop("sketch")
+        reps.drop("sketch", "rep_hash")
         .join(counted, "rep", "left")
         .join(classes, F.col("rep") == F.col("node"), "left")
         .select(
             *same_set,
-            F.col("rep").alias("representative"),
-            F.coalesce("label", "rep").alias("class_id"),
+            "rep",
+            F.col("rep_id").alias("representative"),
+            F.coalesce("label", "rep").alias("label"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
+    known = written(known, "classes")
+    least = known.groupBy("label").agg(F.min(F.struct("representative", "rep")).alias("least"))
+    known = known.join(written(least, "least"), "label")
     joined = sketched.drop("sketch").join(known, same_set, "left")
     usable_row = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+
+    def if_usable(value, otherwise):
+        return F.when(usable_row, value).otherwise(otherwise)
+
+    own = F.col("doc_id")
     return joined.select(
         "doc_id",
-        F.when(usable_row, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(usable_row, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        if_usable(F.col("least.representative"), own).alias("class_id"),
+        if_usable(F.col("n_links"), F.lit(0)).cast("long").alias("n_links"),
         F.col("n_shingles").cast("long").alias("n_shingles"),
-        F.when(usable_row, F.col("representative")).otherwise(F.col("doc_id")).alias("representative"),
+        if_usable(F.col("representative"), own).alias("representative"),
+        "text_hash",
+        if_usable(F.col("least.rep") == F.col("row"), F.lit(True)).alias("stays"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs of which near_duplicates says that they stay, with all their columns.
+
+    Rows that go are named by doc_id and text_hash; rows that also share their text with one
+    that stays stay with it.
+    """
+    classes = near_duplicates(docs, **how)
+    names = ["doc_id", "text_hash"]
+    kept = classes.filter("stays").select(*names)
+    gone = classes.filter("not stays").select(*names).join(kept, names, "left_anti").distinct()
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = [F.col("doc_id").cast("long") == F.col("gone_id"), text_hash == F.col("gone_hash")]
+    return docs.join(gone.toDF("gone_id", "gone_hash"), same, "left_anti")

@@ -116,7 +116,8 @@ def op6_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bayesian_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near duplicates and its number of links."""
-    return jaccard.near_duplicates(_documents(spark, sf_dir))
+    classes = jaccard.near_duplicates(_documents(spark, sf_dir))
+    return classes.select("doc_id", "class_id", "n_links", "n_shingles", "representative")
 
 
 def op8_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
