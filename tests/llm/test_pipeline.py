@@ -1,12 +1,11 @@
 """The pipeline's stages, one by one and together."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline as P
-from corpus_frames import documents, odd_documents, prose
-
-from tripstats.llm import mixing
+from corpus_frames import WORD, documents, odd_documents, prose
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -49,10 +48,35 @@ def test_run(spark):
     assert max(per_doc.values()) == 1 and 500 < len(per_doc) < 1000
 
 
+def test_near_copies_lose_no_text(spark):
+    """Rows that share a doc_id with a copy stay when their own text has none."""
+    rng = random.Random(4)
+    w, y, z = (prose(rng, 60, 9000) for _ in range(3))
+    docs = documents(spark, [(2, w), (5, w), (5, z), (9, y), (None, w)])
+    kept = P.without_near_copies(spark, docs, "")
+    assert kept.columns == P.COLUMNS
+    assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == sorted([(0, w), (2, w), (5, z), (9, y)])
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
-    for table in (docs, docs.limit(0)):
-        for _, stage in P.STAGES:
-            out = stage(spark, table, "")
-            assert len(out.collect()) <= 100_000
-    assert mixing.UNKNOWN == "unknown"
+    texts = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    every = texts(docs)
+    kept = texts(P.identified(spark, docs, ""))
+    assert all(any(c.isalpha() for c in x or "") for _, x in kept)
+    assert {(3, "one"), (4, "one"), (5, "on e"), (None, "no id " * 30)} <= set(kept) and not kept - every
+    kept = texts(P.without_copies(spark, docs, ""))
+    assert sum(kept.values()) == len({"".join((x or "").split()) for _, x in every})
+    assert (2, " \t\n ") in kept and (5, "on e") in kept
+    kept = texts(P.without_near_copies(spark, docs, ""))
+    assert kept[3, "one"] == 3 and not kept[4, "one"] and kept[0, None] == kept[1, ""] == 1
+    assert kept[None, None] == kept[None, "no id " * 30] == 1
+    rows = P.mixed(spark, docs, "").collect()
+    words = lambda x: len(WORD.findall(x or ""))
+    assert sum(words(r.text) for r in rows) == sum(words(x) * n for (_, x), n in every.items()) * 4 // 5
+    assert all(r.n_chars == len(r.text) for r in rows if r.n_chars is not None)
+    rows = P.packed(spark, docs, "").collect()
+    assert sum(r.piece == 0 for r in rows) == sum(every.values())
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    for _, stage in P.STAGES:
+        assert stage(spark, docs.limit(0), "").collect() == []

@@ -39,8 +39,8 @@ SHARD_TOKENS = 1 << 20
 #: A pair must occur this often, without overlap, for a rule of its own.
 LEAST = 6
 MAGIC = b"RPG2"
-#: Pairs are counted roughly, by a hash of so many bits, before they are counted exactly.
-ROUGH_BITS = 20
+#: Frequent pairs are looked up in a table of so many bits.
+TABLE_BITS = 20
 
 SHARDS = "part int, shard int, n_tokens long, data binary"
 
@@ -72,30 +72,58 @@ class Pairs(NamedTuple):
     every: np.ndarray
 
 
-def places_to_count(seq: np.ndarray, least: int) -> np.ndarray:
-    """All places of neighbouring pairs but those that a rough count rules out."""
-    code = (seq[:-1].astype(U64) << U64(24)) | seq[1:].astype(U64)
-    bins = ((code * U64(0x9E3779B97F4A7C15)) >> U64(64 - ROUGH_BITS)).astype(np.int64)
-    return np.flatnonzero(np.bincount(bins, minlength=1 << ROUGH_BITS)[bins] >= least)
+def _bins(code: np.ndarray) -> np.ndarray:
+    return ((code * U64(0x9E3779B97F4A7C15)) >> U64(64 - TABLE_BITS)).astype(np.int32)
 
 
-def frequent_pairs(seq: np.ndarray, place: np.ndarray, least: int) -> Pairs:
-    """The pairs at these places that occur ``least`` times without overlap.
+def _number_in(pairs: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The place of each code among sorted distinct pairs, or -1: by search if there are few
+    codes, else by a table of bins, and by search where two pairs share a bin."""
+    if len(code) < 1 << TABLE_BITS - 5:
+        at = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
+        return np.where(pairs[at] == code, at, -1)
+    own = _bins(pairs)
+    table = np.full(1 << TABLE_BITS, -1, np.int32)
+    table[own] = np.arange(len(pairs), dtype=np.int32)
+    found = table[_bins(code)]
+    wrong = np.flatnonzero((found >= 0) & (pairs[found] != code))
+    found[wrong] = -1
+    hidden = np.flatnonzero(table[own] != np.arange(len(pairs)))
+    if len(hidden) and len(wrong):
+        at = np.minimum(np.searchsorted(pairs[hidden], code[wrong]), len(hidden) - 1)
+        hit = pairs[hidden[at]] == code[wrong]
+        found[wrong[hit]] = hidden[at[hit]]
+    return found
+
+
+def frequent_pairs(seq: np.ndarray, place: np.ndarray, follow: np.ndarray, least: int) -> Pairs:
+    """The pairs of the symbols at ``place`` and ``follow`` that occur ``least`` times without
+    overlap.
 
     Only a pair of two equal symbols overlaps itself; of its runs every second place counts.
     """
-    code = (seq[place].astype(U64) << U64(24)) | seq[place + 1].astype(U64)
-    pairs, number = np.unique(code, return_inverse=True)
-    again = np.zeros(len(place), bool)
-    again[1:] = (place[1:] == place[:-1] + 1) & (number[1:] == number[:-1])
-    counts = np.ones(len(place), bool) if not again.any() else _spread(~again, len(place)) % 2 == 0
-    count = np.bincount(number[counts], minlength=len(pairs))
-    often = np.flatnonzero(count >= least)
-    rank = np.zeros(len(pairs), np.int64)
-    rank[often[np.argsort(count[often], kind="stable")]] = np.arange(1, len(often) + 1)
-    rank = rank[number]
-    own = counts & (rank > 0)
-    return Pairs(place[own], rank[own], code[own], place[rank > 0])
+    left, right = seq[place], seq[follow]
+    code = (left.astype(U64) << U64(24)) | right.astype(U64)
+    counts = np.ones(len(place), bool)
+    same = np.flatnonzero(left == right)
+    if len(same):
+        start = np.r_[True, place[same[1:]] != follow[same[:-1]]]
+        counts[same] = _spread(start, len(same)) % 2 == 0
+    ordered = np.sort(code[counts])
+    heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else place[:0]
+    count = np.diff(np.r_[heads, len(ordered)])
+    often = count >= least
+    pairs, count = ordered[heads[often]], count[often]
+    if not len(pairs):
+        none = place[:0]
+        return Pairs(none, none, code[:0], none)
+    rank = np.empty(len(pairs) + 1, np.int32)
+    rank[np.argsort(count, kind="stable")] = np.arange(1, len(pairs) + 1)
+    rank[-1] = 0  # of those that are not frequent
+    rank = rank[_number_in(pairs, code)]
+    every = np.flatnonzero(rank)
+    own = every[counts[every]]
+    return Pairs(place[own], rank[own], code[own], place[every])
 
 
 def compress(
@@ -111,16 +139,31 @@ def compress(
     the round has placed, so after the first round only those and the frequent ones that are
     left are counted.
     """
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32)
     terminals = symbol = int(seq.max(initial=0)) + 1
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     known, known_name = np.zeros(0, U64), np.zeros(0, np.int64)
-    to_count = places_to_count(seq, least) if len(seq) > 1 else np.zeros(0, np.int64)
+    n = len(seq)
+    # places stay where they are: each knows the next and the one before that are still in use
+    follow, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    alive = np.ones(n, bool)
+    to_count = np.arange(max(n - 1, 0))
+    renewed: list[np.ndarray] = []
     while len(to_count):
-        place, rank, pair, every = frequent_pairs(seq, to_count, least)
+        place, rank, pair, every = frequent_pairs(seq, to_count, follow[to_count], least)
         if not len(place):
-            break
-        next_to = place[1:] == place[:-1] + 1
+            if not renewed:
+                break
+            # symbols placed again may make pairs with places that were not counted since
+            again = np.zeros(symbol, bool)
+            again[np.concatenate(renewed)] = True
+            renewed, wanted = [], np.zeros(n + 1, bool)
+            own = np.flatnonzero(again[seq] & alive)
+            wanted[own] = wanted[before[own]] = True
+            to_count = np.flatnonzero(wanted[:n])
+            to_count = to_count[follow[to_count] < n]
+            continue
+        next_to = place[1:] == follow[place[:-1]]
         wins = np.ones(len(place), bool)
         wins[1:] &= ~next_to | (rank[1:] > rank[:-1])
         wins[:-1] &= ~next_to | (rank[:-1] > rank[1:])
@@ -148,30 +191,31 @@ def compress(
         symbol += len(new)
         if symbol >= 1 << 24:
             raise ValueError("a shard's symbols must fit 24 bits")
-        stay = np.ones(len(seq), bool)
-        stay[place + 1] = False
-        seq = seq[stay]
-        moved = np.cumsum(stay) - 1
-        wanted = np.zeros(len(seq) + 1, bool)
-        wanted[moved[every[stay[every]]]] = True
-        wanted[moved[place]] = True
-        wanted[moved[place] - 1] = True  # before the first symbol: the entry at the end
-        if has_rule.any():
-            renewed = np.zeros(symbol, bool)
-            renewed[name[has_rule]] = True
-            own = np.flatnonzero(renewed[seq])
-            wanted[own] = wanted[own - 1] = True
-        to_count = np.flatnonzero(wanted[: len(seq) - 1])
-    return terminals, np.concatenate(left), np.concatenate(right), seq
-
-
-def expansions(terminals: int, left: np.ndarray, right: np.ndarray) -> list[int]:
-    """How many ids each rule stands for."""
-    n: list[int] = []
-    size = lambda x: 1 if x < terminals else n[x - terminals]
-    for a, b in zip(left.tolist(), right.tolist()):
-        n.append(size(a) + size(b))
-    return n
+        gone = follow[place]
+        after = follow[gone]
+        alive[gone] = False
+        follow[place] = after
+        inside = after < n
+        before[after[inside]] = place[inside]
+        wanted = np.zeros(n + 1, bool)
+        wanted[every[alive[every]]] = wanted[place] = True
+        wanted[before[place]] = True  # before the first place: the entry at the end
+        renewed += [name[has_rule]] if has_rule.any() else []
+        to_count = np.flatnonzero(wanted[:n])
+        to_count = to_count[follow[to_count] < n]
+    return terminals, np.concatenate(left), np.concatenate(right), seq[alive]
+
+
+def expansions(terminals: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many ids each rule stands for, found for all rules at once that refer to symbols
+    known before them."""
+    size = np.ones(terminals + len(left), np.int64)
+    at, reach = 0, np.maximum.accumulate(np.maximum(left, right)) if len(left) else left
+    while at < len(left):
+        stop = int(np.searchsorted(reach, terminals + at))  # rules that need none from here on
+        size[terminals + at : terminals + stop] = size[left[at:stop]] + size[right[at:stop]]
+        at = stop
+    return size[terminals:]
 
 
 def to_bytes(doc_ids: list[int | None], lengths: list[int], ids: bytes) -> bytes:
@@ -184,7 +228,7 @@ def to_bytes(doc_ids: list[int | None], lengths: list[int], ids: bytes) -> bytes
             struct.pack("<4I", terminals, len(left), len(seq), len(doc_ids)),
             left.astype("<u4").tobytes(),
             right.astype("<u4").tobytes(),
-            np.array(expansions(terminals, left, right), "<u4").tobytes(),
+            expansions(terminals, left, right).astype("<u4").tobytes(),
             np.array([x or 0 for x in doc_ids], "<i8").tobytes(),
             np.array(lengths, "<u4").tobytes(),
             bytes(x is not None for x in doc_ids),

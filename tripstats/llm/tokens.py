@@ -266,7 +266,13 @@ class Encoder:
         data, offsets = text_bytes(texts)
         start, end, kind, text, whole = self._cut(data, offsets)
         value = mix(hash_spans(data, start, end) + kind.astype(U64))
-        value, first, number = np.unique(value, return_index=True, return_inverse=True)
+        order = np.argsort(value)
+        value = value[order]
+        head = np.ones(len(value), bool)
+        head[1:] = value[1:] != value[:-1]
+        number = np.empty(len(value), np.int64)
+        number[order] = np.cumsum(head) - 1
+        value, first = value[head], order[head]
         # words of one hash are one word, but for a clash: then its texts are encoded whole
         same = self._same(data, start, end, data, start[first][number], end[first][number])
         same &= kind == kind[first][number]
