@@ -31,7 +31,7 @@ SORT_BYTES = 1 << 19
 #: An anchor with so many places is split: its strings go to buckets of their own hash.
 HOT = 4096
 #: Parts of the texts for each shuffle partition, at least, and bytes of their files in one.
-PARTS, PART_BYTES = 4, 16 << 20
+PARTS, PART_BYTES = 1, 16 << 20
 #: Buckets of passages for each shuffle partition; anchors, far less text, have one.
 BUCKETS = 4
 
@@ -242,7 +242,8 @@ def _send_texts(texts: DataFrame, met: DataFrame, length: int, buckets: int) ->
             twice[:-1] |= ~new[1:]
             settled += [(r, p, p + 1) for r, p in places[twice].tolist()]
             both, places, twice = both[new], places[new], twice[new]
-            bucket = (both[:, 0] % U64(buckets)).astype(np.int64)
+            # they are few next to passages, and so are their buckets
+            bucket = (both[:, 0] % U64(max(buckets // BUCKETS, 1))).astype(np.int64)
             for b in np.unique(bucket).tolist():
                 own = bucket == b
                 rest = np.column_stack([places[own], places[own][:, 1] + 1, twice[own]]).astype("<i8")
