@@ -1,7 +1,8 @@
 """The corpus pipeline: language, exact and near duplicates, mix, and packed sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but
-the last return the columns of documents; extra columns of their input are dropped.
+the last return the columns of documents; extra columns of their input are dropped. An empty
+table gives an empty one at every stage.
 """
 
 from __future__ import annotations
@@ -21,7 +22,11 @@ SHARE, MAX_EPOCHS = (4, 5), 1
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters of which one language has at least LEAST_SHARE."""
+    """Documents with letters of which one language has at least LEAST_SHARE.
+
+    Texts that are null or have no letter go. A null lang is not learned from, a null doc_id
+    neither; both kinds of rows are judged like others. Repeated rows are judged alike.
+    """
     docs = docs.select(*COLUMNS)
     model = language.fit(docs.filter(~language.held_out()))
     labelled = language.label_spans(docs, model, keep_text=True)
@@ -30,21 +35,24 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each content."""
+    """One row of each content: the longest text, then the smallest doc_id, which a null one
+    follows. Null texts count as empty; of rows that agree in all this one stays."""
     return exact.deduplicated(docs.select(*COLUMNS))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class of near duplicates; documents with a
-    null doc_id, which have no class, all stay."""
-    docs = docs.select(*COLUMNS)
-    classes = jaccard.near_duplicates(docs)
-    others = classes.filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
+    """The row with the least doc_id of each class of near duplicates, whatever other rows
+    share its doc_id. Rows with a null doc_id or without words are in no class and stay; rows
+    that share doc_id and text stay or go together."""
+    return jaccard.without_near_duplicates(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the target weights take, the last one of each leaf cut."""
+    """The documents that the target weights take, the last one of each leaf cut.
+
+    Null langs and sources form a leaf of their own, null texts have no tokens and are not
+    taken. Rows that share a doc_id are taken one by one; n_chars is that of the cut text.
+    """
     chosen = mixing.mix(docs.select(*COLUMNS), domain(), mix_weights(spark), SHARE, MAX_EPOCHS)
     is_cut = F.col("n_take") < F.col("n_tokens")
     chosen = mixing.cut_text(chosen)
@@ -53,8 +61,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens and their places in sequences."""
-    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    """Pieces of at most 1024 tokens with their ids and their places in sequences: all that a
+    trainer needs. A null text is the end id alone, repeated rows are packed once each."""
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
