@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tripstats.llm.preference import format_pairs, pairs_of
+from tripstats.llm.preference import format_pairs, pair_rows, pairs_of
 
 TURNS = "pair_id long, turn long, role string, text string"
 
@@ -66,6 +66,50 @@ def test_pairs_of_a_group_are_one_fewer_than_its_members(spark):
     assert [x[0] for x in shown(df, 99)] == ["prompt", "prompt"]
 
 
+def test_ids_of_any_type(spark):
+    rows = [("b", 0, "user", "q"), ("b", 1, "assistant", "yes"), ("a", 0, "user", "q"), ("a", 1, "assistant", "no!"), (None, 0, "user", "q")]
+    conversations = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    rows = format_pairs(*pairs_of(conversations)).collect()
+    assert {(r.pair_id, r.part, r.text) for r in rows} == {("b", "prompt", "q"), ("b", "chosen", "no!"), ("b", "rejected", "yes")}
+    assert pairs_of(conversations.limit(0))[0].collect() == []
+
+
+def test_one_row_per_pair(spark):
+    """Prompt, both completions, and spans that cover just what is learned."""
+    rows = [(c, t, ("user", "assistant")[t % 2], f"é{c % 3}-{t}" + "x" * (c * t % 5)) for c in range(40) for t in range(c % 7)]
+    rows += [(50, 0, "user", "q"), (50, 1, "assistant", "one"), (50, 2, "user", None), (50, 3, "assistant", "two"), (50, 3, "assistant", "too")]
+    conversations = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    formatted = format_pairs(*pairs_of(conversations))
+    by_part = {}
+    for r in sorted(formatted.collect(), key=lambda r: (r.turn, r.role, r.text)):
+        text, learned = by_part.setdefault(r.pair_id, {}).setdefault(r.part, ["", ""])
+        by_part[r.pair_id][r.part] = [text + r.rendered, learned + (r.rendered[r.learn_from :] if r.trained else "")]
+    pairs = pair_rows(formatted).collect()
+    assert {p.pair_id for p in pairs} == set(by_part) and len(pairs) == len(by_part) > 20
+    for p in pairs:
+        parts = by_part[p.pair_id]
+        assert p.prompt == parts.get("prompt", [""])[0]
+        for part in ("chosen", "rejected"):
+            text, learned = parts.get(part, ["", ""])
+            assert p[part] == text
+            assert "".join(text[s.start : s.end] for s in p[f"{part}_mask"]) == learned
+    few = pair_rows(formatted, most_turns=6).collect()
+    assert 0 < len(few) < len(pairs)
+    assert pair_rows(formatted.limit(0)).collect() == []
+
+
+def scans(df):
+    import re
+
+    return len(re.findall(r"Scan parquet", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_few_scans(spark):
+    good, bad = pairs_of(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet"))
+    df = format_pairs(good, bad)
+    assert scans(df) <= 6 and scans(good) + scans(bad) <= 8
+
+
 def test_native(spark):
     good, bad = pairs_of(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet"))
     plan = format_pairs(good, bad)._jdf.queryExecution().executedPlan().toString()

@@ -2,18 +2,24 @@
 functions only.
 
 All work is on rows of single turns: nothing gathers a conversation, so one of any length
-costs no more than its turns.
+costs no more than its turns. Turns, pairs and the turns where pairs part are written tables, so
+each is read where it is needed, and joins with a hot opening or conversation have exchanges
+of their own, which adaptive execution can split. ``pair_rows`` puts a pair into one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripstats.llm.groups import written
+
 # The marks of a rendered turn.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 ASSISTANT = "assistant"
 NO_TURN = -1
+#: Rows of a pair that are put into one row; a longer pair keeps its rows.
+MOST_TURNS = 10_000
 
 
 def turns_of(conversations: DataFrame, key: str) -> DataFrame:
@@ -67,10 +73,16 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     once; several rows of one turn number are all rendered and compared together. Other
     columns are not read.
     """
-    good, bad = turns_of(chosen, "pair_id"), turns_of(rejected, "pair_id")
+    good = written(turns_of(chosen, "pair_id"), "chosen")
+    bad = written(turns_of(rejected, "pair_id"), "rejected")
+    return _formatted(good, bad)
+
+
+def _formatted(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """format_pairs of written tables of distinct turns."""
     both = _signed(good, "good").join(_signed(bad, "bad"), ["pair_id", "turn"], "full")
     first = both.filter(~F.col("good").eqNullSafe(F.col("bad"))).groupBy("pair_id")
-    first = first.agg(F.min("turn").alias("splits_at"))
+    first = written(first.agg(F.min("turn").alias("splits_at")), "splits")
 
     def of(side: DataFrame, part: str) -> DataFrame:
         cut = side.join(first, "pair_id", "left")
@@ -92,9 +104,11 @@ def pairs_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     (then the least id) is preferred to each of the others; a pair is named after
     the other. So a group costs a row per member, not per two members. A conversation with
     an opening of its own is preferred to itself with the last answer replaced by the one
-    before, or left out if there is none; both end with that answer.
+    before, or left out if there is none; both end with that answer. conv_id may be of any type
+    that can be sorted; rows where it is null are in no pair. An empty table gives no turns.
+    Other columns are not read.
     """
-    turns = turns_of(conversations, "conv_id")
+    turns = written(turns_of(conversations, "conv_id"), "turns")
     answer = F.col("role") == ASSISTANT
     known = turns.groupBy("conv_id").agg(
         F.min(F.struct("turn", "role", "text")).alias("first"),
@@ -105,17 +119,17 @@ def pairs_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = known.select(
         "conv_id", F.col("first.role").alias("open_role"), F.col("first.text").alias("open_text"), "said", "last"
     )
+    known = written(known, "conversations")
     best = known.groupBy(*opening).agg(
-        F.max(F.struct("said", (-F.col("conv_id")).alias("back"))).alias("best"), F.count(F.lit(1)).alias("n")
-    )
-    known = known.join(best, opening).select(
-        "conv_id", "last", "n", (-F.col("best.back")).alias("best_id")
+        F.min(F.struct((-F.col("said")).alias("less"), "conv_id")).alias("best"), F.count(F.lit(1)).alias("n")
     )
+    best = written(best.select(*opening, F.col("best.conv_id").alias("best_id"), "n"), "openings")
+    known = written(known.join(best, opening).select("conv_id", "last", "n", "best_id"), "pairs")
     paired = known.filter("n > 1 and conv_id <> best_id").select(F.col("conv_id").alias("pair_id"), "best_id")
     alone = known.filter("n = 1").select("conv_id", "last")
 
     own = turns.join(alone, "conv_id").withColumnRenamed("conv_id", "pair_id")
-    own = own.filter("last is null or turn <= last")
+    own = written(own.filter("last is null or turn <= last"), "alone")
     earlier = (
         own.filter(answer & (F.col("turn") < F.col("last")))
         .groupBy("pair_id")
@@ -130,3 +144,34 @@ def pairs_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         chosen.union(own.select(*columns)),
         rejected.select(*columns).union(cut.select(*columns)).union(earlier.select(*columns)),
     )
+
+
+def pair_rows(formatted: DataFrame, most_turns: int = MOST_TURNS) -> DataFrame:
+    """One row per pair: what a trainer reads.
+
+    Takes the rows of format_pairs. Returns pair_id, prompt, chosen and rejected (texts, the
+    prompt once), and chosen_mask and rejected_mask: the spans (start, end, in code points of the
+    completion) that are learned; all else is masked, the prompt wholly. A pair without a
+    prompt or a completion has an empty text there. A pair of more than ``most_turns`` rows is
+    left out here and keeps its rows in ``formatted``, so no row grows without bound.
+    """
+    size = formatted.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n"))
+    small = written(size.filter(F.col("n") <= most_turns).select("pair_id"), "pair-sizes")
+    order = ["turn", "role", "text"]
+    length = F.length("rendered").cast("long")
+    earlier = Window.partitionBy("pair_id", "part").orderBy(*order)
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(length).over(earlier), F.lit(0))
+    rows = formatted.join(small, "pair_id").withColumn("before", start)
+    learned = F.struct(
+        (F.col("before") + F.col("learn_from")).alias("start"), (F.col("before") + length).alias("end")
+    )
+    turn = F.struct(*order, "rendered", F.when(F.col("trained"), learned).alias("learned"))
+    parts = ("prompt", "chosen", "rejected")
+    of_part = [
+        F.array_sort(F.collect_list(F.when(F.col("part") == part, turn))).alias(part) for part in parts
+    ]
+    rows = rows.groupBy("pair_id").agg(*of_part)
+    texts = [F.expr(f"concat_ws('', {x}.rendered)").alias(x) for x in parts]
+    masks = [F.array_compact(f"{x}.learned").alias(f"{x}_mask") for x in parts[1:]]
+    return rows.select("pair_id", *texts, *masks)
