@@ -82,8 +82,48 @@ def test_base_rules(spark):
     assert [(rows[i].base_failed, rows[i].kept) for i in range(3)] == [(True, False), (False, True), (True, False)]
 
 
+def test_query_and_rows_left_out_of_calibration(spark):
+    """Columns in order, base statistics by plain counting, and what a forest and a threshold
+    of four fifths of the labels say of the others."""
+    from zlib import crc32
+
+    from tripstats.llm import queries
+
+    sf_dir = "/root/testdata/sf0.01"
+    df = queries.op5_isolation_forest(spark, sf_dir)
+    names = ["doc_id", *Q.COUNTS, "base_failed", "kept"]
+    assert df.columns[:8] == names and [t for _, t in df.dtypes[:8]] == ["bigint"] * 6 + ["boolean"] * 2
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = df.collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        if len(texts[r.doc_id] or "") < 4000:
+            counts = plain(texts[r.doc_id])
+            assert tuple(r[x] for x in Q.COUNTS) == counts
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.kept and r.base_failed)
+
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    out = {d for d in quality if crc32(str(d).encode()) % 5 == 0}
+    seen = labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0")
+    found = {r.doc_id: r for r in Q.judge(docs, seen).select("doc_id", "base_failed", "kept").collect()}
+    left = [d for d in out if not found[d].base_failed]
+    bad, good = ([d for d in left if quality[d] == q] for q in (0, 1))
+    caught, lost = (sum(not found[d].kept for d in x) / len(x) for x in (bad, good))
+    assert len(bad) > 30 and len(good) > 400
+    assert caught >= 0.95 and lost <= 0.02, (caught, lost)
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(8, 1, 0), (8, 0, 0), (6, 0, 0)], "doc_id long, quality int, toxic int")
-    assert len(Q.judge(docs, labels).collect()) == docs.count()
+    rows = Q.judge(docs, labels).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        if r.doc_id is not None:
+            assert tuple(r[x] for x in Q.COUNTS) == plain(ODD[r.doc_id])
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+    assert all(not r.kept for r in rows if r.base_failed)
     assert Q.judge(docs.limit(0), labels).collect() == []

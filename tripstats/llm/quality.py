@@ -29,6 +29,9 @@ _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+# Shares of repeated lines and words are left to the base rules: in the forest they hide the
+# others, as good documents repeat too (rows left out of calibration: 14 to 92 % of the bad ones
+# caught with them, 98 % without).
 FEATURES = ["chars_per_word", "symbols_per_word", "mark_share", "upper_share"]
 SCHEMA = pa.schema(
     [("doc_id", pa.int64())]
