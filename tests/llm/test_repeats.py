@@ -74,3 +74,28 @@ def test_a_passage_in_every_document(spark):
     texts = [f"{prose(random.Random(100 + i), 10)} {shared}" for i in range(300)]
     rows = remove_repeats(documents(spark, texts)).collect()
     assert sum(r.n_removed >= 25 for r in rows) == 299
+
+
+def test_a_part_sends_a_key_once():
+    """However many of its documents hold it, and whichever they are."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tripstats.llm.repeats import PASSAGES, Part
+
+    rng = random.Random(6)
+    passage = prose(rng, 30, 9000)
+    texts = [f"{prose(rng, 5, 9000)} {passage} {prose(rng, 5, 9000)}" for _ in range(300)]
+    rows = pa.table({"doc_id": list(range(300)), "text": texts, "part": pa.array([2] * 300, pa.int32())})
+    part = Part(rows, 7, 13, 4)
+    sent = part.block_rows()
+    found = [(2, 0, b, np.packbits(np.ones(len(k) // 4, bool)).tobytes()) for b, _, _, k in sent]
+    part.passages(pa.table([list(x) for x in zip(*found)], names=["of", "step", "bucket", "bits"]))
+    n = sum(len(k) // 12 for *_, k in part.passage_rows())
+    windows = {tuple(w[i : i + 13]) for w in map(str.split, texts) for i in range(len(w) - 12)}
+    assert n == len(windows) < 300 * 13
+    assert sum(len(k) // 4 for *_, k in sent) == len({tuple(w[i : i + 7]) for w in map(str.split, texts) for i in range(len(w) - 6)})
+    none = pa.table([[], [], [], []], names=["of", "step", "bucket", "bits"])
+    hit = part.repeated(none)  # within the part all but the first document lose the passage
+    assert len(np.concatenate(hit)) == 299 * 18
+    assert PASSAGES == 1

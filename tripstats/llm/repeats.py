@@ -5,41 +5,40 @@ one whole block of the earlier document when that document is cut into blocks of
 ``(length + 1) // 2`` words. So only those non-overlapping blocks are indexed, and every
 rolling window of that size is a probe. Where a probe meets a block, the windows of
 ``length`` words around it are compared; adjoining ones that match are one maximal repeat.
+
+Documents are dealt to parts, and a part sends each key once, whatever the number of its
+documents that hold it: a passage in a third of all documents costs a key for each part. The
+answers come back as a bit for each key, in the order in which the part sent them.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstats.llm.arrays import (
-    U64,
-    PairSet,
-    Words,
-    distinct_pairs,
-    mix,
-    pack_keys,
-    text_slices,
-    unpack_docs,
-    windows,
-    words,
-)
+from tripstats.llm.arrays import U64, Words, mix, text_slices, windows, words
+from tripstats.llm.groups import parts_for, written
 
 LENGTH = 13
-PROBE, ANCHOR = 0, 1
+#: Bytes of the input files in one part, about.
+PART_BYTES = 8 << 20
 
-PACKED = "bucket int, kind int, docs binary, keys binary"
-PACKED_ARROW = pa.schema(
-    [("bucket", pa.int32()), ("kind", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary())]
+SENT = "bucket int, part int, info binary, keys binary"
+SENT_ARROW = pa.schema(
+    [("bucket", pa.int32()), ("part", pa.int32()), ("info", pa.binary()), ("keys", pa.binary())]
+)
+BLOCKS, PASSAGES = 0, 1
+FOUND = "of int, step int, bucket int, bits binary"
+FOUND_ARROW = pa.schema(
+    [("of", pa.int32()), ("step", pa.int32()), ("bucket", pa.int32()), ("bits", pa.binary())]
 )
-FOUND = "part int, docs binary, keys binary"
-FOUND_ARROW = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("keys", pa.binary())])
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 RESULT = (
     "doc_id long, n_words long, n_removed long, "
@@ -54,6 +53,8 @@ RESULT_ARROW = pa.schema(
         ("kept_text", pa.string()),
     ]
 )
+#: A passage: 64 bits of its words, and 32 others.
+PASSAGE = np.dtype([("value", "<u8"), ("more", "<u4")])
 
 
 def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
@@ -63,205 +64,246 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _part(parts: int):
-    """The part of a document as a column; _part_of is the same in numpy."""
-    return F.expr(
-        f"cast(coalesce(pmod(doc_id ^ shiftright(doc_id, 17) ^ shiftright(doc_id, 31), {parts}), 0) as int)"
-    )
-
-
-def _part_of(doc_ids: np.ndarray, parts: int) -> np.ndarray:
-    return (doc_ids ^ (doc_ids >> 17) ^ (doc_ids >> 31)) % parts
-
-
 def _ids(batch) -> np.ndarray:
     """Document ids; 0 for null, which has_id tells apart."""
     return batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
 
 
-def _anchors_and_probes(docs: DataFrame, block: int, buckets: int) -> DataFrame:
-    """32 bits of every rolling window and of every block, by bucket of further bits."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            found = words(batch["text"])
-            place, value = windows(found, block)
-            doc = found.doc[place]
-            ids = _ids(batch)[doc]
-            bucket = ((value >> U64(32)) % U64(buckets)).astype(np.int64)
-            key = value.astype(np.uint32)
-            fixed = (place - found.first[doc]) % block == 0
-            rows = [(b, PROBE, d, k) for b, d, k in pack_keys(bucket, ids, key)]
-            anchors = pack_keys(bucket[fixed], ids[fixed], key[fixed])
-            rows += [(b, ANCHOR, d, k) for b, d, k in anchors]
-            yield _batch(rows, PACKED_ARROW)
-
-    return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, PACKED)
-
-
-def _unpacked(docs: list[bytes], keys: list[bytes], dtype) -> tuple[np.ndarray, np.ndarray]:
-    """(document ids, keys) of packed rows."""
-    ids = [unpack_docs(x) for x in docs]
-    return np.concatenate([np.zeros(0, np.int64), *ids]), np.frombuffer(b"".join(keys), dtype)
-
-
-def _of_kind(table: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray]:
-    own = table.filter(pc.equal(table["kind"], kind))
-    return _unpacked(own["docs"].to_pylist(), own["keys"].to_pylist(), dtype)
-
-
-def _smallest(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each distinct key with its smallest document."""
-    order = np.argsort(keys)
-    keys, docs = keys[order], docs[order]
-    cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[cuts], np.minimum.reduceat(docs, cuts)
-
-
-def _found(docs: np.ndarray, keys: np.ndarray, parts: int) -> pa.Table:
-    docs, keys = distinct_pairs(docs, keys)
-    rows = list(pack_keys(_part_of(docs, parts), docs, keys))
-    return pa.Table.from_batches([_batch(rows, FOUND_ARROW)])
-
-
-def _meetings(anchored: DataFrame, parts: int) -> DataFrame:
-    """By document, the keys of probes that meet an earlier block and of blocks met."""
-
-    def run(table: pa.Table) -> pa.Table:
-        probe_docs, probes = _of_kind(table, PROBE, np.uint32)
-        anchor_docs, anchors = _of_kind(table, ANCHOR, np.uint32)
-        if not len(anchors):
-            return FOUND_ARROW.empty_table()
-        known, least = _smallest(anchors, anchor_docs)
-        at = np.minimum(np.searchsorted(known, probes), len(known) - 1)
-        hit = (known[at] == probes) & (least[at] < probe_docs)
-        last = np.full(len(known), np.iinfo(np.int64).min)
-        np.maximum.at(last, at[hit], probe_docs[hit])
-        used = anchor_docs < last[np.searchsorted(known, anchors)]
-        docs = np.r_[probe_docs[hit], anchor_docs[used]]
-        return _found(docs, np.r_[probes[hit], anchors[used]], parts)
-
-    return anchored.groupBy("bucket").applyInArrow(run, FOUND)
-
-
-def _with_texts(docs: DataFrame, found: DataFrame, run, schema: str) -> DataFrame:
-    """Apply run to the texts of each part together with what was found for them."""
-    return docs.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(run, schema)
-
-
-def _pairs(found: pa.Table, dtype) -> PairSet:
-    return PairSet(*_unpacked(found["docs"].to_pylist(), found["keys"].to_pylist(), dtype))
-
-
-def _around_meetings(
-    docs: DataFrame, met: DataFrame, block: int, length: int, buckets: int
-) -> DataFrame:
-    """64 bits of every window of ``length`` words around a meeting, by bucket of others."""
-
-    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        pairs, out = _pairs(found, np.uint32), []
-        texts = texts.filter(pc.is_valid(texts["doc_id"]))
-        for batch in text_slices(texts.to_batches()):
-            own, ids = words(batch["text"]), _ids(batch)
-            place, value = windows(own, block)
-            met = np.zeros(len(own.hash) + 1, np.int64)
-            met[place] = pairs.has(ids[own.doc[place]], value.astype(np.uint32))
-            before = np.r_[0, np.cumsum(met)]
-            place, value = windows(own, length)
-            near = before[place + length - block + 1] > before[place]
-            place, value = place[near], value[near]
-            bucket = (_second_hash(own, length, place) % U64(buckets)).astype(np.int64)
-            packed = pack_keys(bucket, ids[own.doc[place]], value)
-            out.append(_batch([(b, PROBE, d, k) for b, d, k in packed], PACKED_ARROW))
-        return pa.Table.from_batches(out, PACKED_ARROW)
-
-    return _with_texts(docs, met, run, PACKED)
-
-
 def _second_hash(found: Words, length: int, place: np.ndarray) -> np.ndarray:
     """Further hash bits of the windows at these places."""
     value = np.zeros(len(place), U64)
     for k in range(length):
-        value = value * U64(0xA0761D6478BD642F) + found.hash[place + k]
+        value = mix(value, k) + found.hash[place + k]
     return mix(value, 5)
 
 
-def _later(around: DataFrame, parts: int) -> DataFrame:
-    """By document, the windows that a smaller doc_id has too."""
+def _bits(packed: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
+
+
+class Part:
+    """The documents of one part: their blocks and probes, and the passages around meetings."""
+
+    def __init__(self, rows: pa.Table, block: int, length: int, buckets: int):
+        self.block, self.length, self.buckets = block, length, buckets
+        self.number = rows["part"][0].as_py() if rows.num_rows else 0
+        self.batches = list(text_slices(rows.select(["doc_id", "text"]).to_batches()))
+        self.words = [words(x["text"]) for x in self.batches]
+        self.has_id = [x["doc_id"].is_valid().to_numpy(zero_copy_only=False) for x in self.batches]
+
+    def _probes(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place, bucket and 32 bits) of every rolling window of a slice; rows without an id
+        have none."""
+        found = self.words[k]
+        place, value = windows(found, self.block)
+        own = self.has_id[k][found.doc[place]]
+        place, value = place[own], value[own]
+        bucket = (value >> U64(32)) % U64(self.buckets)
+        return place, (bucket << U64(32)) | (value & U64(0xFFFFFFFF))
+
+    @cached_property
+    def probes(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [self._probes(k) for k in range(len(self.batches))]
+
+    @cached_property
+    def block_keys(self) -> np.ndarray:
+        """The distinct keys of all rolling windows, in the order in which they are sent."""
+        return np.unique(np.concatenate([np.zeros(0, U64), *(key for _, key in self.probes)]))
+
+    def block_rows(self) -> list[tuple]:
+        known = self.block_keys
+        anchor, count = np.zeros(len(known), bool), np.zeros(len(known), np.int64)
+        for found, (place, key) in zip(self.words, self.probes):
+            at = np.searchsorted(known, key)
+            count += np.bincount(at, minlength=len(known))
+            anchor[at[(place - found.first[found.doc[place]]) % self.block == 0]] = True
+        rows = []
+        for b, i, j in self._cuts(known >> U64(32)):
+            info = np.packbits(anchor[i:j]).tobytes() + np.packbits(count[i:j] > 1).tobytes()
+            rows.append((b, self.number, info, known[i:j].astype("<u4").tobytes()))
+        return rows
+
+    def _cuts(self, bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(bucket, from, to) of sorted buckets."""
+        cuts = np.searchsorted(bucket, np.arange(self.buckets + 1, dtype=np.uint64)).tolist()
+        yield from ((b, i, j) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i)
+
+    def _answers(self, found: pa.Table, step: int, bucket: np.ndarray) -> np.ndarray:
+        """The bit of every key of a step; keys of buckets without an answer have none."""
+        bits = {
+            b: x
+            for s, b, x in zip(*(found[c].to_pylist() for c in ("step", "bucket", "bits")))
+            if s == step
+        }
+        out = np.zeros(len(bucket), bool)
+        for b, i, j in self._cuts(bucket):
+            if b in bits:
+                out[i:j] = _bits(bits[b], j - i)
+        return out
+
+    def passages(self, found: pa.Table) -> None:
+        """Find the windows of ``length`` words around meetings, and their distinct keys in
+        the order in which they are sent, with the least document of each."""
+        met = self._answers(found, BLOCKS, self.block_keys >> U64(32))
+        near = []
+        for k, (batch, own, (place, key)) in enumerate(zip(self.batches, self.words, self.probes)):
+            hit = np.zeros(len(own.hash) + 1, np.int64)
+            hit[place] = met[np.searchsorted(self.block_keys, key)]
+            before = np.r_[0, np.cumsum(hit)]
+            place, value = windows(own, self.length)
+            close = before[place + self.length - self.block + 1] > before[place]
+            place, value = place[close], value[close]
+            other = _second_hash(own, self.length, place)
+            near.append((np.full(len(place), k), place, value, other, _ids(batch)[own.doc[place]]))
+        none = [np.zeros(0, t) for t in (np.int64, np.int64, U64, U64, np.int64)]
+        self.slice, self.place, value, other, self.doc = map(np.concatenate, zip(none, *near))
+        bucket = other % U64(self.buckets)
+        more = (other >> U64(32)).astype("<u4")
+        order = np.lexsort((self.doc, more, value, bucket))
+        value, more, bucket = value[order], more[order], bucket[order]
+        head = np.ones(len(order), bool)
+        head[1:] = (value[1:] != value[:-1]) | (more[1:] != more[:-1]) | (bucket[1:] != bucket[:-1])
+        self.number_of = np.empty(len(order), np.int64)
+        self.number_of[order] = np.cumsum(head) - 1
+        self.keys = np.empty(int(head.sum()), PASSAGE)
+        self.keys["value"], self.keys["more"] = value[head], more[head]
+        self.bucket, self.least = bucket[head], self.doc[order][head]
+
+    def passage_rows(self) -> list[tuple]:
+        return [
+            (b, self.number, zlib.compress(self.least[i:j].tobytes(), 1), self.keys[i:j].tobytes())
+            for b, i, j in self._cuts(self.bucket)
+        ]
+
+    def repeated(self, found: pa.Table) -> list[np.ndarray]:
+        """For every slice, the places of passages that a smaller doc_id also has: elsewhere, as
+        the answers say, or in this part."""
+        elsewhere = self._answers(found, PASSAGES, self.bucket)
+        hit = elsewhere[self.number_of] | (self.doc > self.least[self.number_of])
+        return [self.place[hit & (self.slice == k)] for k in range(len(self.batches))]
+
+
+def _meetings(sent: DataFrame) -> DataFrame:
+    """For every key of a part whether it is a block somewhere and occurs in two places."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, "<u4") for x in rows["keys"].to_pylist()]
+        sizes = [len(x) for x in keys]
+        flags = [
+            (_bits(x[: (n + 7) // 8], n), _bits(x[(n + 7) // 8 :], n))
+            for x, n in zip(rows["info"].to_pylist(), sizes)
+        ]
+        anchor, twice = (np.concatenate(x) for x in zip(*flags))
+        known, number = np.unique(np.concatenate(keys), return_inverse=True)
+        is_block = np.bincount(number, weights=anchor) > 0
+        met = (is_block & (np.bincount(number, weights=1.0 + twice) > 1))[number]
+        return _answered(rows, sizes, met, BLOCKS)
+
+    return sent.groupBy("bucket").applyInArrow(run, FOUND)
+
+
+def _answered(rows: pa.Table, sizes: list[int], bits: np.ndarray, step: int) -> pa.Table:
+    """A row of bits for each row of keys; rows of which no bit is set need none."""
+    ends = np.cumsum(sizes).tolist()
+    out = [
+        (part, step, bucket, np.packbits(bits[j - n : j]).tobytes())
+        for part, bucket, n, j in zip(rows["part"].to_pylist(), rows["bucket"].to_pylist(), sizes, ends)
+        if bits[j - n : j].any()
+    ]
+    return pa.Table.from_batches([_batch(out, FOUND_ARROW)])
 
-    def run(table: pa.Table) -> pa.Table:
-        docs, keys = _of_kind(table, PROBE, np.uint64)
-        if not len(keys):
-            return FOUND_ARROW.empty_table()
-        known, least = _smallest(keys, docs)
-        later = least[np.searchsorted(known, keys)] < docs
-        return _found(docs[later], keys[later], parts)
 
-    return around.groupBy("bucket").applyInArrow(run, FOUND)
+def _earlier(sent: DataFrame) -> DataFrame:
+    """For every passage of a part whether another part has it in a smaller document."""
 
+    def run(rows: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, PASSAGE) for x in rows["keys"].to_pylist()]
+        least = np.frombuffer(b"".join(map(zlib.decompress, rows["info"].to_pylist())), np.int64)
+        every = np.concatenate(keys)
+        order = np.lexsort((every["more"], every["value"]))
+        ordered = every[order]
+        head = np.ones(len(order), bool)
+        head[1:] = (ordered["value"][1:] != ordered["value"][:-1]) | (ordered["more"][1:] != ordered["more"][:-1])
+        first = np.minimum.reduceat(least[order], np.flatnonzero(head))
+        bits = np.empty(len(order), bool)
+        bits[order] = first[np.cumsum(head) - 1] < least[order]
+        return _answered(rows, [len(x) for x in keys], bits, PASSAGES)
+
+    return sent.groupBy("bucket").applyInArrow(run, FOUND)
 
-def _cut(docs: DataFrame, later: DataFrame, length: int) -> DataFrame:
-    """Words, removed words, maximal repeats and kept text of every document."""
 
-    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        pairs, out = _pairs(found, np.uint64), []
-        for batch in text_slices(texts.to_batches()):
-            own, ids = words(batch["text"]), _ids(batch)
-            has_id = batch["doc_id"].is_valid().to_numpy(zero_copy_only=False)
-            place, value = windows(own, length)
-            doc = own.doc[place]
-            hit = place[pairs.has(ids[doc], value) & has_id[doc]]
-            edge = np.zeros(len(own.hash) + 1, np.int64)
-            np.add.at(edge, hit, 1)
-            np.add.at(edge, hit + length, -1)
-            gone = np.cumsum(edge)[:-1] > 0
-            total = np.r_[0, np.cumsum(gone)]
-            n_removed = total[own.first[1:]] - total[own.first[:-1]]
-            rows = []
-            for i, text in enumerate(batch["text"].to_pylist()):
-                kept, spans = text.encode().split(), []
-                if n_removed[i]:
-                    mask = gone[own.first[i] : own.first[i + 1]]
-                    turn = np.flatnonzero(np.diff(np.r_[False, mask, False]))
-                    spans = [{"start": int(s), "end": int(e)} for s, e in turn.reshape(-1, 2)]
-                    kept = compress(kept, ~mask)
-                rows.append((spans, b" ".join(kept).decode()))
-            spans, kept = zip(*rows)
-            columns = [
-                batch["doc_id"],
-                pa.array(np.diff(own.first), pa.int64()),
-                pa.array(n_removed, pa.int64()),
-                pa.array(spans, SPANS),
-                pa.array(kept, pa.string()),
-            ]
-            out.append(pa.RecordBatch.from_arrays(columns, schema=RESULT_ARROW))
-        return pa.Table.from_batches(out, RESULT_ARROW)
-
-    return _with_texts(docs, later, run, RESULT)
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH, buckets: int | None = None) -> DataFrame:
+def _cut_part(part: Part, repeated: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Words, removed words, maximal repeats and kept text of every document."""
+    length = part.length
+    for batch, own, hit in zip(part.batches, part.words, repeated):
+        edge = np.zeros(len(own.hash) + 1, np.int64)
+        np.add.at(edge, hit, 1)
+        np.add.at(edge, hit + length, -1)
+        gone = np.cumsum(edge)[:-1] > 0
+        total = np.r_[0, np.cumsum(gone)]
+        n_removed = total[own.first[1:]] - total[own.first[:-1]]
+        rows = []
+        for i, text in enumerate(batch["text"].to_pylist()):
+            kept, spans = text.encode().split(), []
+            if n_removed[i]:
+                mask = gone[own.first[i] : own.first[i + 1]]
+                turn = np.flatnonzero(np.diff(np.r_[False, mask, False]))
+                spans = [{"start": int(s), "end": int(e)} for s, e in turn.reshape(-1, 2)]
+                kept = compress(kept, ~mask)
+            rows.append((spans, b" ".join(kept).decode()))
+        spans, kept = zip(*rows)
+        columns = [
+            batch["doc_id"],
+            pa.array(np.diff(own.first), pa.int64()),
+            pa.array(n_removed, pa.int64()),
+            pa.array(spans, SPANS),
+            pa.array(kept, pa.string()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, schema=RESULT_ARROW)
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, buckets: int | None = None, parts: int | None = None
+) -> DataFrame:
     """Remove from every document each word of a passage that a smaller doc_id also has.
 
     A passage is ``length`` or more consecutive words. All documents are judged on the
-    input. Texts cross the network once, dealt to parts by doc_id; both steps that need
-    them read that one exchange. Window keys travel packed, and a document's own answer is
-    bounded by its length, so a passage in a third of all documents adds one key to
-    each. ``buckets`` (default: twice the shuffle partitions) bounds the keys, and half of it the
-    texts, that one task holds.
+    input. Texts cross the network once, dealt to ``parts`` (default: one for each shuffle
+    partition, more where one would hold over PART_BYTES of files); all three steps read that
+    one exchange. Keys go to ``buckets`` (default: as many as shuffle partitions). A task holds
+    the words of one part, some 60 bytes each, or the keys of one bucket.
 
     A null text has no words. A row with a null doc_id is returned unchanged and is no
-    reference for others. Rows that share a doc_id don't remove each other's words.
-    Returns doc_id, n_words, n_removed, repeats (word spans of the maximal repeats, end
-    exclusive) and kept_text (kept words joined by one space). Other columns are not read.
-    Windows are compared by 64 hash bits within a bucket of independent ones.
+    reference for others. Rows that share a doc_id don't remove each other's words. An empty
+    table gives no rows. Returns doc_id, n_words, n_removed, repeats (word spans of the
+    maximal repeats, end exclusive) and kept_text (kept words joined by one space). Other
+    columns are not read. Passages are compared by 96 hash bits within a bucket of further ones.
     """
     spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = buckets // 2 + 1
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or parts_for(docs, 1, PART_BYTES)
     block = (length + 1) // 2
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    docs = docs.withColumn("part", _part(parts))
-    met = _meetings(_anchors_and_probes(docs, block, buckets), parts)
-    later = _later(_around_meetings(docs, met, block, length, buckets), parts)
-    return _cut(docs, later, length)
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("part")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", part)
+
+    def blocks(rows: pa.Table) -> pa.Table:
+        own = Part(rows, block, length, buckets)
+        return pa.Table.from_batches([_batch(own.block_rows(), SENT_ARROW)])
+
+    def passages(rows: pa.Table, found: pa.Table) -> pa.Table:
+        own = Part(rows, block, length, buckets)
+        own.passages(found)
+        return pa.Table.from_batches([_batch(own.passage_rows(), SENT_ARROW)])
+
+    def cut(rows: pa.Table, found: pa.Table) -> pa.Table:
+        own = Part(rows, block, length, buckets)
+        own.passages(found)
+        return pa.Table.from_batches(_cut_part(own, own.repeated(found)), RESULT_ARROW)
+
+    met = written(_meetings(texts.groupBy("part").applyInArrow(blocks, SENT)), "met")
+
+    def with_texts(found: DataFrame, run, schema: str) -> DataFrame:
+        return texts.groupBy("part").cogroup(found.groupBy("of")).applyInArrow(run, schema)
+
+    earlier = _earlier(with_texts(met, passages, SENT))
+    return with_texts(met.union(earlier), cut, RESULT)
