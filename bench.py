@@ -33,11 +33,17 @@ HEADLINES = [
     "job_filtered_by_day_lexical",
     "job_topk_combined",
     "job_daily_with_mean",
+    "job_daily_with_mean_all",
     "job_fare_per_mile",
+    "job_fare_per_mile_all",
     "job_share",
     "job_durations",
+    "job_durations_all",
     "job_top_boroughs_merged",
+    "job_top_boroughs_merged_compat",
     "job_busiest_month",
+    "job_busiest_month_compat",
+    "job_busiest_month_named",
     "job_anomaly_bands",
     "job_share_complement",
 ]
