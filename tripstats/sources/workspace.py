@@ -33,6 +33,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(spark.sparkContext.applicationId)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tripstats/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one written table."""
-    return f"{shared_folder(spark)}/tripstats/{name}-{uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def drop_written(spark: SparkSession) -> bool:
+    """Delete the tables that this application has written so far. Results that still read them
+    can't be computed afterwards; tables of other applications stay."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
