@@ -308,22 +308,15 @@ def test_shared_folder_is_read_from_the_session():
         workspace.shared_folder(_Session("yarn"))
 
 
-def test_written_tables_can_be_dropped(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-        other = tmp_path / "tripstats" / "another-application" / "table"
-        other.mkdir(parents=True)
-        path = workspace.new_path(spark, "numbers")
-        spark.range(3).write.parquet(path)
-        assert spark.read.parquet(path).count() == 3
-        assert workspace.drop_written(spark) and not workspace.drop_written(spark)
-        assert os.listdir(tmp_path / "tripstats") == ["another-application"] and other.exists()
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_written_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_folder", lambda spark: f"file://{tmp_path}")
+    other = tmp_path / "tripstats" / "another-application" / "table"
+    other.mkdir(parents=True)
+    path = workspace.new_path(spark, "numbers")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert workspace.drop_written(spark) and not workspace.drop_written(spark)
+    assert os.listdir(tmp_path / "tripstats") == ["another-application"] and other.exists()
 
 
 # ---- command line -----------------------------------------------------------
