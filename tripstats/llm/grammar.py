@@ -145,9 +145,9 @@ def compress(
     known, known_name = np.zeros(0, U64), np.zeros(0, np.int64)
     n = len(seq)
     # places stay where they are: each knows the next and the one before that are still in use
-    follow, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    follow, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
     alive = np.ones(n, bool)
-    to_count = np.arange(max(n - 1, 0))
+    to_count = np.arange(max(n - 1, 0), dtype=np.int32)
     renewed: list[np.ndarray] = []
     while len(to_count):
         place, rank, pair, every = frequent_pairs(seq, to_count, follow[to_count], least)
@@ -160,7 +160,7 @@ def compress(
             renewed, wanted = [], np.zeros(n + 1, bool)
             own = np.flatnonzero(again[seq] & alive)
             wanted[own] = wanted[before[own]] = True
-            to_count = np.flatnonzero(wanted[:n])
+            to_count = np.flatnonzero(wanted[:n]).astype(np.int32)
             to_count = to_count[follow[to_count] < n]
             continue
         next_to = place[1:] == follow[place[:-1]]
@@ -201,7 +201,7 @@ def compress(
         wanted[every[alive[every]]] = wanted[place] = True
         wanted[before[place]] = True  # before the first place: the entry at the end
         renewed += [name[has_rule]] if has_rule.any() else []
-        to_count = np.flatnonzero(wanted[:n])
+        to_count = np.flatnonzero(wanted[:n]).astype(np.int32)
         to_count = to_count[follow[to_count] < n]
     return terminals, np.concatenate(left), np.concatenate(right), seq[alive]
 

@@ -14,8 +14,9 @@ import pyarrow as pa
 
 from tripstats.llm.arrays import U64, hash_spans, mix, text_bytes
 
-#: Words remembered by one Python worker, about 60 bytes each.
-MEMORY = 1_000_000
+#: Words remembered by one Python worker, about 70 bytes each; above it the half that was not
+#: seen for longest is forgotten.
+MEMORY = 1_500_000
 
 #: Words encoded in one call, parted by a mark that is a token of its own.
 TOGETHER = 200
@@ -92,6 +93,13 @@ def _joined(data: np.ndarray, start: np.ndarray, end: np.ndarray, after: bytes)
     return out
 
 
+def _picked(data: np.ndarray, end: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of data that belong to some rows, and where each ends, after a 0."""
+    size = end[row + 1] - end[row]
+    stop = np.r_[0, np.cumsum(size)]
+    return data[np.repeat(end[row] - stop[:-1], size) + np.arange(stop[-1])], stop
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -126,15 +134,23 @@ class Encoder:
         self.folds = normal is not None and normal.normalize_str("Aa") == "aa"
         ((piece, _),) = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")
         self.lead = piece[:-1]  # how a piece shows the blank before it
-        self._forget()
-
-    def _forget(self) -> None:
         self.hash = np.zeros(0, U64)  # sorted
         self.row = np.zeros(0, np.int64)  # of each hash
         self.word_end = np.zeros(1, np.int64)  # in words, after a 0
         self.ids_end = np.zeros(1, np.int64)
         self.words = np.zeros(0, np.uint8)
         self.ids = np.zeros(0, "<u4")
+        self.seen = np.zeros(0, np.int32)  # of each row, the slice that had it last
+        self.slice = 0
+
+    def _forget(self) -> None:
+        """Keep the words that were seen last."""
+        order = np.argsort(-self.seen[self.row], kind="stable")[: MEMORY // 2]
+        kept = np.sort(order)
+        self.hash, row = self.hash[kept], self.row[kept]
+        self.words, self.word_end = _picked(self.words, self.word_end, row)
+        self.ids, self.ids_end = _picked(self.ids, self.ids_end, row)
+        self.seen, self.row = self.seen[row], np.arange(len(row))
 
     def _library(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
         found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
@@ -221,6 +237,7 @@ class Encoder:
         self.word_end = np.concatenate([self.word_end, self.word_end[-1] + np.cumsum(size[order] + 1)])
         self.ids = np.concatenate([self.ids, ids])
         self.ids_end = np.concatenate([self.ids_end, self.ids_end[-1] + np.cumsum(sizes)])
+        self.seen = np.concatenate([self.seen, np.zeros(len(size), np.int32)])
         at = np.searchsorted(self.hash, value)
         self.hash, self.row = np.insert(self.hash, at, value), np.insert(self.row, at, row)
         return row
@@ -280,6 +297,7 @@ class Encoder:
         start, end, kind = start[first], end[first], kind[first]
         if len(self.row) > MEMORY:
             self._forget()
+        self.slice += 1
         row = self._known_rows(data, start, end, kind, value)
         new = np.flatnonzero(row < 0)
         if len(new):
@@ -290,11 +308,10 @@ class Encoder:
             letter = np.r_[0, np.cumsum(_letters(data))] if len(data) else np.zeros(1, np.int64)
             letters = (letter[end[new]] - letter[start[new]] == (end - start)[new]) & (end > start)[new]
             row[new] = self._remember(data, start[new], end[new], kind[new], value[new], letters)
+        self.seen[row] = self.slice
         row = row[number]
-        size = self.ids_end[row + 1] - self.ids_end[row]
-        total = np.r_[0, np.cumsum(size)]
-        place = np.repeat(self.ids_end[row] - total[:-1], size) + np.arange(total[-1])
-        raw = self.ids[place].tobytes()
+        ids, total = _picked(self.ids, self.ids_end, row)
+        raw = ids.tobytes()
         cuts = total[np.searchsorted(text, np.arange(len(texts) + 1))] * 4
         out = [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
         for i, ids in zip(whole.tolist(), self._library(texts.take(pa.array(whole)).to_pylist())):
