@@ -25,9 +25,9 @@ from tripstats.llm.suffixes import shared_prefixes
 LENGTH = 200
 GRAM = 32
 #: Bytes of text looked at together.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Bytes of passages whose suffixes are sorted together; those of one anchor always are.
-SORT_BYTES = 1 << 19
+SORT_BYTES = 1 << 18
 #: An anchor with so many places is split: its strings go to buckets of their own hash.
 HOT = 4096
 #: Parts of the texts for each shuffle partition, at least, and bytes of their files in one.
