@@ -223,7 +223,8 @@ def label_spans(
     spans are stretches of words of one language (code points, end exclusive). lang_pred is
     the language of most letters, ties going to the first by name, and score its share of
     them. A text that is null or has no letter, and any text under a model that has
-    learned nothing, has ``und``, score 0 and no spans. A language without a
+    learned nothing, has ``und``, score 0 and no spans. Texts are looked at SLICE_BYTES at a time;
+    a single text above that takes some 60 bytes a code point while it is looked at. A language without a
     script of its own in training is never predicted for another script's words. A null text
     that is kept comes back empty.
     """
@@ -276,7 +277,8 @@ def identify(docs: DataFrame, penalty: float = SWITCH_PENALTY) -> DataFrame:
     """Learn on the rows of docs that are not held out, then label all of them.
 
     Returns doc_id, held_out, lang_pred, score and spans, a row per input row. A null
-    doc_id counts as held out; a null lang is not learned from.
+    doc_id counts as held out; a null lang is not learned from. An empty table gives no rows;
+    repeated rows are judged alike; other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = fit(docs.filter(~held_out()))
