@@ -9,10 +9,9 @@ modulo their number; the checksum of an n-gram comes from those of its words.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +32,12 @@ SENTINEL = b"\0"
 WORD = re.compile(rb"[0-9a-z\x80-\xFF]+")
 SMALL = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
 
+_IN_WORD = np.array([WORD.fullmatch(bytes([x])) is not None for x in range(256)])
+#: Words below this size share tables of their own for each size.
+SHORT = 64
+#: Text joined together.
+SLICE_BYTES = 1 << 20
+
 SCORED = "doc_id long, n_words long, n_features long, weight long"
 SCORED_ARROW = pa.schema([(x.split()[0], pa.int64()) for x in SCORED.split(", ")])
 
@@ -57,14 +62,37 @@ def _through(tables: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return out
 
 
+@cache
+def _zeros_by_size() -> np.ndarray:
+    """The tables of 0 to SHORT - 1 zero bytes."""
+    one = _zeros(0)
+    own = np.arange(256, dtype=np.uint32)
+    tables = [np.stack([own, own << 8, own << 16, own << 24])]
+    while len(tables) < SHORT:
+        tables.append(np.stack([_through(one, table) for table in tables[-1]]))
+    return np.stack(tables)
+
+
+def _shifted(sums: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """What ``size`` zero bytes do to each checksum."""
+    tables, short = _zeros_by_size(), np.minimum(size, SHORT - 1)
+    out = tables[short, 0, sums & 255]
+    for k in (1, 2, 3):
+        out ^= tables[short, k, (sums >> (8 * k)) & 255]
+    long = np.flatnonzero(size >= SHORT)
+    if len(long):
+        own, left, power = sums[long], size[long], 0
+        while (left >> power).any():
+            some = np.flatnonzero((left >> power) & 1)
+            own[some] = _through(_zeros(power), own[some])
+            power += 1
+        out[long] = own
+    return out
+
+
 def joined_crc(left: np.ndarray, right: np.ndarray, right_size: np.ndarray) -> np.ndarray:
     """CRC-32 of each left part followed by the right one, from the sums of both."""
-    out, power = left.copy(), 0
-    while (right_size >> power).any():
-        own = np.flatnonzero((right_size >> power) & 1)
-        out[own] = _through(_zeros(power), out[own])
-        power += 1
-    return out ^ right
+    return _shifted(left, right_size) ^ right
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,21 +100,23 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = SENTINEL.join(texts).translate(SMALL)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     starts = np.cumsum(sizes + 1) - (sizes + 1)
-    spans = [x.span() for x in WORD.finditer(data)]
-    span = np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(spans)).reshape(-1, 2)
-    doc = np.searchsorted(starts, span[:, 0], "right") - 1
-    crc = np.fromiter((zlib.crc32(data[a:b]) for a, b in spans), np.uint32, len(spans))
-    size = span[:, 1] - span[:, 0]
+    found = WORD.findall(data)
+    crc = np.fromiter(map(crc32, found), np.uint32, len(found))
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    inside = _IN_WORD[np.frombuffer(data, np.uint8)]
+    head = inside.copy()
+    head[1:] &= ~inside[:-1]
+    doc = np.searchsorted(starts, np.flatnonzero(head), "right") - 1
     # a word with the blank before it, which is how it follows another
-    blank = np.full(len(crc), zlib.crc32(b" "), np.uint32)
+    blank = np.full(len(crc), crc32(b" "), np.uint32)
     after, after_size = joined_crc(blank, crc, size), size + 1
     sums, docs = [crc], [doc]
     now = crc
     for n in range(2, LONGEST + 1):
         now = joined_crc(now[:-1], after[n - 1 :], after_size[n - 1 :])
-        inside = doc[: len(now)] == doc[n - 1 :]
-        sums.append(now[inside])
-        docs.append(doc[: len(now)][inside])
+        whole = doc[: len(now)] == doc[n - 1 :]
+        sums.append(now[whole])
+        docs.append(doc[: len(now)][whole])
     words = np.bincount(doc, minlength=len(texts))
     return words, np.concatenate(sums), np.concatenate(docs)
 
@@ -100,7 +130,7 @@ def bucket_counts(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES):
             _, sums, _ = features(_texts(part))
             total += np.bincount(sums % buckets, minlength=buckets)
         some = np.flatnonzero(total)
@@ -130,7 +160,7 @@ def weighted(docs: DataFrame, gain: np.ndarray) -> DataFrame:
     """doc_id, n_words, n_features and weight (the sum of gains) of every row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES):
             n = part.num_rows
             words, sums, doc = features(_texts(part))
             each = np.bincount(doc, minlength=n)
