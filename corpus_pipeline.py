@@ -50,8 +50,9 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target weights take, the last one of each leaf cut.
 
-    Null langs and sources form a leaf of their own, null texts have no tokens and are not
-    taken. Rows that share a doc_id are taken one by one; n_chars is that of the cut text.
+    Null langs and sources form a leaf of their own; texts without tokens come along where the
+    texts around them are taken. Rows that share a doc_id are taken one by one; n_chars is that
+    of a cut text.
     """
     chosen = mixing.mix(docs.select(*COLUMNS), domain(), mix_weights(spark), SHARE, MAX_EPOCHS)
     is_cut = F.col("n_take") < F.col("n_tokens")
