@@ -106,17 +106,25 @@ class Part:
         return [self._probes(k) for k in range(len(self.batches))]
 
     @cached_property
-    def block_keys(self) -> np.ndarray:
-        """The distinct keys of all rolling windows, in the order in which they are sent."""
-        return np.unique(np.concatenate([np.zeros(0, U64), *(key for _, key in self.probes)]))
+    def _numbered(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The distinct keys of all rolling windows, in the order in which they are sent, and the
+        number of the key of each window."""
+        keys = [key for _, key in self.probes]
+        every = np.concatenate([np.zeros(0, U64), *keys])
+        order = np.argsort(every)
+        ordered = every[order]
+        head = np.ones(len(every), bool)
+        head[1:] = ordered[1:] != ordered[:-1]
+        number = np.empty(len(every), np.int64)
+        number[order] = np.cumsum(head) - 1
+        return ordered[head], np.split(number, np.cumsum([len(x) for x in keys])[:-1])
 
     def block_rows(self) -> list[tuple]:
-        known = self.block_keys
+        known, numbers = self._numbered
         anchor, count = np.zeros(len(known), bool), np.zeros(len(known), np.int64)
-        for found, (place, key) in zip(self.words, self.probes):
-            at = np.searchsorted(known, key)
-            count += np.bincount(at, minlength=len(known))
-            anchor[at[(place - found.first[found.doc[place]]) % self.block == 0]] = True
+        for found, (place, _), number in zip(self.words, self.probes, numbers):
+            count += np.bincount(number, minlength=len(known))
+            anchor[number[(place - found.first[found.doc[place]]) % self.block == 0]] = True
         rows = []
         for b, i, j in self._cuts(known >> U64(32)):
             info = np.packbits(anchor[i:j]).tobytes() + np.packbits(count[i:j] > 1).tobytes()
@@ -144,11 +152,12 @@ class Part:
     def passages(self, found: pa.Table) -> None:
         """Find the windows of ``length`` words around meetings, and their distinct keys in
         the order in which they are sent, with the least document of each."""
-        met = self._answers(found, BLOCKS, self.block_keys >> U64(32))
+        known, numbers = self._numbered
+        met = self._answers(found, BLOCKS, known >> U64(32))
         near = []
-        for k, (batch, own, (place, key)) in enumerate(zip(self.batches, self.words, self.probes)):
+        for k, (batch, own, (place, _)) in enumerate(zip(self.batches, self.words, self.probes)):
             hit = np.zeros(len(own.hash) + 1, np.int64)
-            hit[place] = met[np.searchsorted(self.block_keys, key)]
+            hit[place] = met[numbers[k]]
             before = np.r_[0, np.cumsum(hit)]
             place, value = windows(own, self.length)
             close = before[place + self.length - self.block + 1] > before[place]

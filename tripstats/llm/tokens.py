@@ -302,9 +302,11 @@ class Encoder:
         new = np.flatnonzero(row < 0)
         if len(new):
             # a word whose hash is that of another one remembered takes its place
-            clash = np.isin(self.hash, value[new])
-            if clash.any():
-                self.hash, self.row = self.hash[~clash], self.row[~clash]
+            at = np.searchsorted(self.hash, value[new])
+            at, wanted = at[at < len(self.hash)], value[new][at < len(self.hash)]
+            clash = at[self.hash[at] == wanted]
+            if len(clash):
+                self.hash, self.row = np.delete(self.hash, clash), np.delete(self.row, clash)
             letter = np.r_[0, np.cumsum(_letters(data))] if len(data) else np.zeros(1, np.int64)
             letters = (letter[end[new]] - letter[start[new]] == (end - start)[new]) & (end > start)[new]
             row[new] = self._remember(data, start[new], end[new], kind[new], value[new], letters)
