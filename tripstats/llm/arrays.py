@@ -6,6 +6,7 @@ hashed for a whole slice of documents at once; nothing loops over words in Pytho
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -34,6 +35,17 @@ def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
     return x
 
 
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+
+
+def give_back() -> None:
+    """Return memory that is free to the system; a Python worker holds on to it otherwise, beside
+    the JVM and the other workers of its executor."""
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim:
+        _malloc_trim(0)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch],
     column: str = "text",
@@ -58,7 +70,7 @@ def text_slices(
             stop = min(max(stop, start + 1), start + max_rows)
             yield batch.slice(start, stop - start)
             start = stop
-    pa.default_memory_pool().release_unused()  # what a finished task held goes back
+        give_back()  # what a batch took, and a finished task
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -20,6 +20,8 @@ TOLERANCE = 1e-6
 BANDS, ROWS = 32, 4
 VALUES = BANDS * ROWS
 STEP = 16
+#: Text looked at together; a byte takes some 30 bytes on the way.
+SLICE_BYTES = 1 << 20
 MILLION = 1_000_000
 
 SKETCH = "doc_id long, text_hash long, n_shingles int, set_a long, set_b long, sketch binary"
@@ -78,7 +80,7 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
     """Set digest and MinHash sketch of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES):
             doc, value = shingles(part["text"], size)
             n = part.num_rows
             count = np.bincount(doc, minlength=n).astype(np.int32)
@@ -193,7 +195,7 @@ def _with_shingles(docs: DataFrame, size: int) -> DataFrame:
     """The same rows with the sorted distinct shingles instead of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES):
             doc, value = shingles(part["text"], size)
             ends = np.cumsum(np.bincount(doc, minlength=part.num_rows)) * 8
             raw = value.tobytes()

@@ -17,6 +17,8 @@ CAPACITY = 1024
 OPEN_BINS = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
+#: Text encoded together; a byte takes some 25 bytes on the way.
+SLICE_BYTES = 1 << 20
 
 SCHEMA = pa.schema(
     [
@@ -108,7 +110,7 @@ def pack(
         encode = encoder(tokenizer).encode
         bins = BestFit(capacity, open_bins)
         base = TaskContext.get().partitionId() << 40
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES):
             rows = []
             for doc_id, ids in zip(part["doc_id"].to_pylist(), encode(part["text"].to_pylist())):
                 ids += last
