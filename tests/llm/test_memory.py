@@ -3,6 +3,7 @@
 import platform
 import random
 import tracemalloc
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -73,6 +74,23 @@ def test_shingles_hold_a_small_slice():
         assert peak < 11 * size
 
 
+def test_a_part_of_anchors_holds_few_bytes_a_word():
+    from tripstats.llm.repeats import SENT_ARROW, Part, _batch
+
+    batch, _ = one_batch()
+    rows = pa.Table.from_batches([batch]).append_column("part", pa.array([1] * batch.num_rows, pa.int32()))
+    kept = []
+
+    def sent():
+        kept.append(Part(rows, 7, 13, 12))
+        yield _batch(kept[0].block_rows(), SENT_ARROW)
+
+    _, peak = traced_peak(sent())
+    assert peak < 75 * WORDS  # was 99
+    held = chain.from_iterable((x.start, x.end, x.doc, x.first, x.hash) for x in kept[0].words)
+    assert sum(x.nbytes for x in held) < 15 * WORDS  # was 32
+
+
 @pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="other memory allocators")
 def test_what_is_free_goes_back():
     def used():

@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstats.llm.arrays import U64, Words, mix, text_slices, windows, words
+from tripstats.llm.arrays import U64, Words, give_back, mix, text_slices, windows, words
 from tripstats.llm.groups import parts_for, written
 
 LENGTH = 13
 #: Bytes of the input files in one part, about.
 PART_BYTES = 8 << 20
+#: Text of a part looked at together.
+SLICE_BYTES = 1 << 20
 
 SENT = "bucket int, part int, info binary, keys binary"
 SENT_ARROW = pa.schema(
@@ -81,14 +83,20 @@ def _bits(packed: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
 
 
+def _kept_words(texts: pa.Array) -> Words:
+    """The words of texts without their byte places, which no step needs."""
+    found, none = words(texts), np.zeros(0, np.int64)
+    return found._replace(start=none, end=none, doc=found.doc.astype(np.int32))
+
+
 class Part:
     """The documents of one part: their blocks and probes, and the passages around meetings."""
 
     def __init__(self, rows: pa.Table, block: int, length: int, buckets: int):
         self.block, self.length, self.buckets = block, length, buckets
         self.number = rows["part"][0].as_py() if rows.num_rows else 0
-        self.batches = list(text_slices(rows.select(["doc_id", "text"]).to_batches()))
-        self.words = [words(x["text"]) for x in self.batches]
+        self.batches = list(text_slices(rows.select(["doc_id", "text"]).to_batches(), max_bytes=SLICE_BYTES))
+        self.words = [_kept_words(x["text"]) for x in self.batches]
         self.has_id = [x["doc_id"].is_valid().to_numpy(zero_copy_only=False) for x in self.batches]
 
     def _probes(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,32 +110,36 @@ class Part:
         return place, (bucket << U64(32)) | (value & U64(0xFFFFFFFF))
 
     @cached_property
-    def probes(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [self._probes(k) for k in range(len(self.batches))]
-
-    @cached_property
-    def _numbered(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The distinct keys of all rolling windows, in the order in which they are sent, and the
-        number of the key of each window."""
-        keys = [key for _, key in self.probes]
-        every = np.concatenate([np.zeros(0, U64), *keys])
-        order = np.argsort(every)
-        ordered = every[order]
-        head = np.ones(len(every), bool)
-        head[1:] = ordered[1:] != ordered[:-1]
-        number = np.empty(len(every), np.int64)
-        number[order] = np.cumsum(head) - 1
-        return ordered[head], np.split(number, np.cumsum([len(x) for x in keys])[:-1])
+    def _numbered(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """The distinct keys of all rolling windows, in the order in which they are sent, whether
+        each occurs twice, and by slice the place of each window and the number of its key."""
+        places, keys = [], [np.zeros(0, U64)]
+        for k in range(len(self.batches)):
+            place, key = self._probes(k)
+            places.append(place.astype(np.int32))
+            keys.append(key)
+        sizes = [len(x) for x in places]
+        keys = np.concatenate(keys)
+        order = np.argsort(keys)
+        keys = keys[order]
+        head = np.ones(len(keys), bool)
+        head[1:] = keys[1:] != keys[:-1]
+        known = keys[head]
+        del keys
+        twice = np.diff(np.r_[np.flatnonzero(head), len(head)]) > 1
+        rank = np.cumsum(head, dtype=np.int32 if len(head) < 1 << 31 else np.int64)
+        number = np.empty_like(rank)
+        number[order] = rank - 1
+        return known, twice, places, np.split(number, np.cumsum(sizes)[:-1])
 
     def block_rows(self) -> list[tuple]:
-        known, numbers = self._numbered
-        anchor, count = np.zeros(len(known), bool), np.zeros(len(known), np.int64)
-        for found, (place, _), number in zip(self.words, self.probes, numbers):
-            count += np.bincount(number, minlength=len(known))
+        known, twice, places, numbers = self._numbered
+        anchor = np.zeros(len(known), bool)
+        for found, place, number in zip(self.words, places, numbers):
             anchor[number[(place - found.first[found.doc[place]]) % self.block == 0]] = True
         rows = []
         for b, i, j in self._cuts(known >> U64(32)):
-            info = np.packbits(anchor[i:j]).tobytes() + np.packbits(count[i:j] > 1).tobytes()
+            info = np.packbits(anchor[i:j]).tobytes() + np.packbits(twice[i:j]).tobytes()
             rows.append((b, self.number, info, known[i:j].astype("<u4").tobytes()))
         return rows
 
@@ -152,20 +164,23 @@ class Part:
     def passages(self, found: pa.Table) -> None:
         """Find the windows of ``length`` words around meetings, and their distinct keys in
         the order in which they are sent, with the least document of each."""
-        known, numbers = self._numbered
+        known, _, places, numbers = self._numbered
+        del self._numbered  # not needed any more
         met = self._answers(found, BLOCKS, known >> U64(32))
         near = []
-        for k, (batch, own, (place, _)) in enumerate(zip(self.batches, self.words, self.probes)):
+        for k, (batch, own) in enumerate(zip(self.batches, self.words)):
             hit = np.zeros(len(own.hash) + 1, np.int64)
-            hit[place] = met[numbers[k]]
+            hit[places[k]] = met[numbers[k]]
             before = np.r_[0, np.cumsum(hit)]
             place, value = windows(own, self.length)
             close = before[place + self.length - self.block + 1] > before[place]
             place, value = place[close], value[close]
             other = _second_hash(own, self.length, place)
             near.append((np.full(len(place), k), place, value, other, _ids(batch)[own.doc[place]]))
+        del known, places, numbers, met
         none = [np.zeros(0, t) for t in (np.int64, np.int64, U64, U64, np.int64)]
         self.slice, self.place, value, other, self.doc = map(np.concatenate, zip(none, *near))
+        del near
         bucket = other % U64(self.buckets)
         more = (other >> U64(32)).astype("<u4")
         order = np.lexsort((self.doc, more, value, bucket))
@@ -280,7 +295,7 @@ def remove_repeats(
     input. Texts cross the network once, dealt to ``parts`` (default: one for each shuffle
     partition, more where one would hold over PART_BYTES of files); all three steps read that
     one exchange. Keys go to ``buckets`` (default: as many as shuffle partitions). A task holds
-    the words of one part, some 60 bytes each, or the keys of one bucket.
+    the words of one part, some 50 bytes each, or the keys of one bucket.
 
     A null text has no words. A row with a null doc_id is returned unchanged and is no
     reference for others. Rows that share a doc_id don't remove each other's words. An empty
@@ -297,17 +312,26 @@ def remove_repeats(
 
     def blocks(rows: pa.Table) -> pa.Table:
         own = Part(rows, block, length, buckets)
-        return pa.Table.from_batches([_batch(own.block_rows(), SENT_ARROW)])
+        out = pa.Table.from_batches([_batch(own.block_rows(), SENT_ARROW)])
+        del own
+        give_back()
+        return out
 
     def passages(rows: pa.Table, found: pa.Table) -> pa.Table:
         own = Part(rows, block, length, buckets)
         own.passages(found)
-        return pa.Table.from_batches([_batch(own.passage_rows(), SENT_ARROW)])
+        out = pa.Table.from_batches([_batch(own.passage_rows(), SENT_ARROW)])
+        del own
+        give_back()
+        return out
 
     def cut(rows: pa.Table, found: pa.Table) -> pa.Table:
         own = Part(rows, block, length, buckets)
         own.passages(found)
-        return pa.Table.from_batches(_cut_part(own, own.repeated(found)), RESULT_ARROW)
+        out = pa.Table.from_batches(_cut_part(own, own.repeated(found)), RESULT_ARROW)
+        del own
+        give_back()
+        return out
 
     met = written(_meetings(texts.groupBy("part").applyInArrow(blocks, SENT)), "met")
 
