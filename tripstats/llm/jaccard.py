@@ -20,7 +20,7 @@ TOLERANCE = 1e-6
 BANDS, ROWS = 32, 4
 VALUES = BANDS * ROWS
 STEP = 16
-#: Text looked at together; a byte takes some 30 bytes on the way.
+#: Text looked at together; a byte takes some 20 bytes on the way.
 SLICE_BYTES = 1 << 20
 MILLION = 1_000_000
 
